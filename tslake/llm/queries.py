@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tslake.llm import decontam, secret_scan, tokens
+from tslake.llm import decontam, langid, packing, secret_scan, tokens, toxicity
 from tslake.llm.common import table
 
 
@@ -19,16 +19,30 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), limit=512)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = langid.train(docs.filter(~langid.held_out("doc_id")))
+    return langid.identify(docs, field).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.find_secrets(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_token_counts, op5_decontamination, op9_secret_scan)}
+    return {f.__name__: f for f in (op2_token_counts, op3_language_id, op5_decontamination, op8_packing, op9_secret_scan, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

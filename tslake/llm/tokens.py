@@ -132,3 +132,30 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str =
     return docs.select(
         F.col(id_col), F.octet_length(text).cast("long").alias("n_bytes"), n_tokens(text, tokenizer_path).alias("n_tokens")
     ).withColumn("over_limit", F.col("n_tokens") > limit)
+
+
+def encoded(texts: list[str], path: str, most: int = 1 << 20) -> Iterator[tuple[int, bytes, bool]]:
+    """(index of the text, little-endian 32-bit ids of its next part, whether that is its last part)."""
+    batch: list[str] = []
+    owner: list[tuple[int, bool]] = []
+    size = 0
+
+    def flush() -> Iterator[tuple[int, bytes, bool]]:
+        for (i, last), values in zip(owner, encoder(path, "ids").values(batch)):
+            yield i, b"".join(values), last
+
+    for i, text in enumerate(texts):
+        held = None
+        for s in segments(text):
+            if held is not None:
+                batch.append(held)
+                owner.append((i, False))
+                size += len(held)
+                if size > most:
+                    yield from flush()
+                    batch, owner, size = [], [], 0
+            held = s
+        batch.append(held or "")
+        owner.append((i, True))
+        size += len(held or "")
+    yield from flush()
