@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tslake.llm import decontam, langid, packing, secret_scan, tokens, toxicity
+from tslake.llm import byte_dedup, decontam, langid, packing, secret_scan, tokens, toxicity, word_dedup
 from tslake.llm.common import table
 
 
@@ -15,6 +15,10 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_dedup.remove_repeats(table(spark, sf_dir, "documents"), texts=False)
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path(), limit=512)
 
@@ -25,6 +29,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, field).select("doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_dedup.remove_repeats(table(spark, sf_dir, "documents"), texts=False)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
@@ -42,7 +50,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_token_counts, op3_language_id, op5_decontamination, op8_packing, op9_secret_scan, op10_toxicity)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_language_id, op4_substring_dedup, op5_decontamination, op8_packing, op9_secret_scan, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:

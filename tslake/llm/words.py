@@ -102,9 +102,7 @@ def inside(counts: np.ndarray, n: int) -> np.ndarray:
 
 def cover(begins: np.ndarray, n: int, total: int) -> np.ndarray:
     """Which of ``total`` places lie in a run of ``n`` that starts at one of ``begins``."""
-    step = np.zeros(total + 1, np.int64)
-    np.add.at(step, begins, 1)
-    np.add.at(step, begins + n, -1)
+    step = np.bincount(begins, minlength=total + 1)[: total + 1] - np.bincount(np.minimum(begins + n, total), minlength=total + 1)
     return np.cumsum(step[:total]) > 0
 
 
