@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from tslake.llm.common import slices
 
-#: Bound of the training sample: labelled rows for each value of each category, and text bytes of a row.
-SAMPLE_ROWS, SAMPLE_BYTES = 4000, 1 << 17
+#: Bound of the training sample: labelled rows for each combination of label values, and text bytes of a row.
+SAMPLE_ROWS, SAMPLE_BYTES = 1500, 1 << 16
 #: Features that a model keeps: those most associated with its label, by a test statistic of at least LEAST_Z.
 FEATURES, LEAST_Z, FOLDS, RIDGE = 400, 4.0, 3, 1.0
 PREFIXES = (4, 5, 6)
@@ -69,7 +69,7 @@ class Chain:
         every = np.concatenate(rows) if n else np.zeros(0, np.uint32)
         names, where = np.unique(every, return_inverse=True)
         owner = np.repeat(np.arange(n), [len(r) for r in rows])
-        seen = np.unique(np.stack([owner, where]), axis=1) if len(every) else np.zeros((2, 0), int)
+        seen = np.divmod(np.unique(owner * max(1, len(names)) + where), max(1, len(names)))  # rows, features
         fold = np.arange(n) % FOLDS
         earlier = np.zeros((n, 0))
         for k in range(labels.shape[1]):
