@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,11 +22,13 @@ from tslake.llm.common import slices
 #: Characters after which a long text is cut at the next safe boundary.
 SEGMENT_CHARS = 1 << 16
 #: Remembered parts of a worker; the memo starts afresh beyond it. Longer parts aren't remembered.
-MEMO_PARTS, MEMO_CHARS = 300_000, 64
+MEMO_PARTS, MEMO_CHARS = 800_000, 64
 
 _UNSAFE = re.compile(r"\s | \s|^ | $")
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _CUT = re.compile(r"\S \S")
+#: Letters, marks, and perhaps a new line with letters and marks: the pre-split cuts such a part just between these groups.
+_PLAIN = re.compile(r"(\w+)([.,;:!?]*)(?:(\n)(\w+)([.,;:!?]*))?")
 
 
 def segments(text: str, size: int = SEGMENT_CHARS) -> Iterator[str]:
@@ -65,15 +67,40 @@ class Encoder:
         wanted: set[str] = set()
         for parts, cut in zip(split, spaced):
             wanted.update(parts if cut else parts[1:])
-        passing = self._learn(self.later, wanted, " ") + self._learn(self.first, {p[0] for p, cut in zip(split, spaced) if not cut}, "")
+        passing = self._learn(self.first, {p[0] for p, cut in zip(split, spaced) if not cut}, "") + self._learn(self.later, wanted, " ")
         known = self.later.__getitem__
         out = [[*map(known, p)] if cut else [self.first[p[0]], *map(known, p[1:])] for p, cut in zip(split, spaced)]
         for memo, part in passing:
-            del memo[part]
+            memo.pop(part, None)
         return out
 
     def _learn(self, memo: dict, parts: set[str], before: str) -> list[tuple[dict, str]]:
-        """Encodes unknown ``parts`` into ``memo``; returns the entries that are too long to stay."""
+        """Values of unknown ``parts`` into ``memo``; returns the entries that are too long to stay.
+
+        A part of letters and marks is put together from its groups, so that a word is encoded once whatever marks follow it.
+        """
+        new = list(parts.difference(memo))
+        whole, made = [], []
+        heads, tails = set(), set()
+        for p in new:
+            m = _PLAIN.fullmatch(p)
+            if m and m[1].isalpha() and (m[4] is None or m[4].isalpha()) and (m[2] or m[3]):
+                rest = [x for x in m.groups()[1:] if x]
+                made.append((p, m[1], rest))
+                heads.add(m[1])
+                tails.update(rest)
+            else:
+                whole.append(p)
+        heads.update(whole)
+        long = self._encode(memo, heads, before) + self._encode(self.first, tails, "")
+        for p, head, rest in made:
+            value = memo[head]
+            for x in rest:
+                value = value + self.first[x]
+            memo[p] = value
+        return list({(id(m), p): (m, p) for m, p in long + [(memo, p) for p, _, _ in made if len(p) > MEMO_CHARS]}.values())
+
+    def _encode(self, memo: dict, parts: set[str], before: str) -> list[tuple[dict, str]]:
         new = list(parts.difference(memo))
         for i in range(0, len(new), 2048):
             some = new[i : i + 2048]
@@ -86,9 +113,9 @@ _encoders: dict[tuple, Encoder] = {}
 
 
 def encoder(path: str, kind: str) -> Encoder:
-    """The worker's encoder for a file; ``kind`` is ``count`` or ``ids`` (little-endian 32-bit)."""
+    """The worker's encoder for a file; ``kind`` is ``count`` or ``ids`` (32-bit, little-endian as on all of Spark's platforms)."""
     if (path, kind) not in _encoders:
-        value = (lambda e: len(e)) if kind == "count" else (lambda e: np.array(e.ids, "<u4").tobytes())
+        value = (lambda e: len(e)) if kind == "count" else (lambda e: array("I", e.ids).tobytes())
         _encoders[path, kind] = Encoder(path, value)
     return _encoders[path, kind]
 
