@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tslake.llm import byte_dedup, decontam, langid, packing, secret_scan, tokens, toxicity, word_dedup
+from tslake.llm import ann, byte_dedup, decontam, forest, langid, packing, secret_scan, tokens, toxicity, word_dedup
 from tslake.llm.common import table
 
 
@@ -37,6 +37,14 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("items")
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, top=20)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -49,8 +57,18 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_language_id, op4_substring_dedup, op5_decontamination, op8_packing, op9_secret_scan, op10_toxicity)}
+    own = (
+        op1_suffix_dedup, op2_token_counts, op3_language_id, op4_substring_dedup, op5_decontamination, op6_ngram_jaccard_join,
+        op7_nearest_neighbours, op8_packing, op9_secret_scan, op10_toxicity, pipeline,
+    )
+    return {f.__name__: f for f in own}
 
 
 def oracle_sql() -> dict[str, str]:
