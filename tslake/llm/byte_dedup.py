@@ -19,101 +19,93 @@ from pyspark.sql import DataFrame
 from tslake.llm.blocks import Blocks, answered, answers, bounds, distinct, message
 from tslake.llm.common import slices, utf8
 from tslake.llm.suffix import MEMORY, suffix_array
-from tslake.llm.words import _BYTE, U, cover, mix, powers, sha
+from tslake.llm.words import _BYTE, U, cover, powers, sha
 
 LENGTH, GRAM = 200, 48
-#: Bytes of text whose marks are found at once.
-PIECE = 1 << 20
+#: Bytes of text whose marks are found at once; what a shard sorts at once, unless one mark has more.
+PIECE, SORTED = 1 << 18, 2 << 20
+#: Low bits that hold a place within a piece while marks are chosen.
+_PLACE = 20
 
 SLICES = "_bucket bigint, _block bigint, _data binary, _sizes binary, _marks binary, _many binary"
 
 
-def _sums(x: np.ndarray, lane: int) -> tuple[np.ndarray, np.ndarray]:
-    p, inverse = powers(lane, len(x) + 1)
-    sums = np.zeros(len(x) + 1, np.uint64)
-    np.cumsum(_BYTE[x] * p[: len(x)], out=sums[1:])
-    return sums, inverse
-
-
-def rolling(x: np.ndarray, n: int, lane: int = 0) -> np.ndarray:
+def rolling(x: np.ndarray, n: int) -> np.ndarray:
     """Hashes of all strings of ``n`` bytes."""
     if len(x) < n:
         return np.zeros(0, np.uint64)
-    sums, inverse = _sums(x, lane)
-    return mix((sums[n:] - sums[:-n]) * inverse[: len(x) - n + 1])
+    p, inverse = powers(0, len(x) + 1)
+    sums = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(_BYTE[x] * p[: len(x)], out=sums[1:])
+    h = sums[n:] - sums[:-n]
+    h *= inverse[: len(h)]
+    h ^= h >> U(32)
+    h *= U(0xD6E8FEB86659FD93)
+    return h
 
 
 def marks(x: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, place) of the mark of every string of ``length`` bytes."""
+    """(hash, place) of the mark of every string of ``length`` bytes: its least gram by the hash's leading bits, the left-most of equals."""
     h, w = rolling(x, gram), length - gram + 1
     if len(h) < w:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    # The place rides in the low bits of no hash: the least hash is found first, then its left-most place.
-    low = sliding_least(h, w)
-    n = len(low)
-    equal = np.flatnonzero(h[: n + w - 1] == _spread(low, h, w))
-    following = np.searchsorted(equal, np.arange(n))
-    place = equal[np.minimum(following, len(equal) - 1)]
-    wrong = np.flatnonzero(h[place] != low)  # a smaller neighbour's place lies before the own one
-    for i in wrong.tolist():
-        place[i] = i + int(np.argmin(h[i : i + w]))
-    return low, place
-
-
-def sliding_least(h: np.ndarray, w: int) -> np.ndarray:
-    size, out = 1, h
+    key = (h >> U(_PLACE) << U(_PLACE)) | np.arange(len(h), dtype=np.uint64)
+    size = 1
     while size < w:
         step = min(size, w - size)
-        out = np.minimum(out[:-step], out[step:])
+        key = np.minimum(key[:-step], key[step:])
         size += step
-    return out
+    place = (key & U((1 << _PLACE) - 1)).astype(np.int64)
+    return h[place], place
 
 
-def _spread(low: np.ndarray, h: np.ndarray, w: int) -> np.ndarray:
-    """For each gram the largest minimum of the strings that hold it; the gram is some string's mark if it equals that."""
-    padded = np.concatenate([np.zeros(w - 1, np.uint64), low, np.zeros(w - 1, np.uint64)])
-    size, out = 1, padded
-    while size < w:
-        step = min(size, w - size)
-        out = np.maximum(out[:-step], out[step:])
-        size += step
-    return out
-
-
-def strings(texts: pa.Array, length: int, gram: int) -> Iterator[tuple]:
-    """(document, begin of the piece in it, bytes of the piece, hash and place of each string's mark), pieces overlapping by ``length`` - 1."""
+def pieces(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
+    """(bytes, offsets of the texts in them, number of the first text, begin in it): runs of whole texts, or parts of a long text that overlap by ``length`` - 1."""
     at = 0
-    for part in slices(texts):
+    for part in slices(texts, PIECE):
         data, off, _ = utf8(part)
-        for i in range(len(part)):
-            x = data[off[i] : off[i + 1]]
-            for lo in range(0, max(1, len(x) - length + 1), PIECE):
+        if len(part) > 1 or off[-1] - off[0] <= 2 * PIECE:
+            yield data[off[0] : off[-1]], off - off[0], at, 0
+        else:
+            x = data[off[0] : off[-1]]
+            for lo in range(0, len(x) - length + 1, PIECE):
                 piece = x[lo : lo + PIECE + length - 1]
-                if len(piece) >= length:
-                    yield (at + i, lo, piece, *marks(piece, length, gram))
+                yield piece, np.array([0, len(piece)]), at, lo
         at += len(part)
 
 
+def runs_of_marks(x: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(mark, first beginning, number) of the runs of consecutive strings with one mark; strings don't cross texts."""
+    h, place = marks(x, length, gram)
+    if not len(h):
+        return h, place, place
+    ok = np.zeros(len(h) + 1, bool)
+    for a, b in zip(off[:-1].tolist(), off[1:].tolist()):
+        ok[a : max(a, b - length + 1)] = True
+    change = np.append(np.concatenate([[True], place[1:] != place[:-1]]), True)
+    change[1:] |= ok[1:] != ok[:-1]
+    at = np.flatnonzero(change)
+    begin, count = at[:-1], np.diff(at)
+    keep = ok[begin]
+    return h[begin[keep]], begin[keep], count[keep]
+
+
 def mark_hashes(texts: pa.Array, length: int, gram: int) -> np.ndarray:
     """The hash of each mark, once for each place where it is one."""
-    out = [np.zeros(0, np.uint64)]
-    for *_, low, place in strings(texts, length, gram):
-        new = np.flatnonzero(np.diff(place, prepend=-1))
-        out.append(low[new])
-    return np.concatenate(out)
+    return np.concatenate([np.zeros(0, np.uint64), *[runs_of_marks(x, off, length, gram)[0] for x, off, _, _ in pieces(texts, length)]])
 
 
 def block_slices(texts: pa.Array, length: int, gram: int, repeated: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes]]:
     """(mark, document, first beginning, number of beginnings, bytes) of each slice whose mark is repeated."""
-    for doc, lo, piece, low, place in strings(texts, length, gram):
-        new = np.flatnonzero(np.diff(place, prepend=-1))
-        end = np.append(new[1:], len(place))
-        h = low[new]
-        at = np.minimum(np.searchsorted(repeated, h), max(0, len(repeated) - 1))
-        hit = np.flatnonzero(repeated[at] == h) if len(repeated) else np.zeros(0, np.int64)
-        raw = piece.tobytes()
-        for a, b, m in zip(new[hit].tolist(), end[hit].tolist(), h[hit].tolist()):
-            yield m, doc, lo + a, b - a, raw[a : b + length - 1]
+    if not len(repeated):
+        return
+    for x, off, first, shift in pieces(texts, length):
+        h, begin, count = runs_of_marks(x, off, length, gram)
+        hit = np.flatnonzero(repeated[np.minimum(np.searchsorted(repeated, h), len(repeated) - 1)] == h)
+        doc = np.searchsorted(off, begin[hit], side="right") - 1
+        raw = x.tobytes() if len(hit) else b""
+        for m, d, a, n, base in zip(h[hit].tolist(), doc.tolist(), begin[hit].tolist(), count[hit].tolist(), off[doc].tolist()):
+            yield m, first + d, shift + a - base, n, raw[a : a + n + length - 1]
 
 
 def folded(found: list[tuple[int, int, int, int, bytes]]) -> tuple[list[tuple[int, bytes]], list[bool], dict]:
@@ -132,7 +124,7 @@ def repeated_beginnings(raws: list[bytes], many: np.ndarray, length: int, memory
     """
     sizes = np.array([len(r) for r in raws])
     text = np.zeros(int(sizes.sum()) + len(raws), np.uint16)
-    begin = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
+    begin = np.cumsum(sizes + 1) - sizes - 1
     inside = np.ones(len(text), bool)
     inside[begin + sizes] = False
     x = np.frombuffer(b"".join(raws), np.uint8)
@@ -152,26 +144,41 @@ def repeated_beginnings(raws: list[bytes], many: np.ndarray, length: int, memory
 
 
 def sort_shard(key: tuple, t: pa.Table, length: int, memory: int) -> pa.Table:
-    """Answers of one shard: for each block that sent slices, a bit for each of their beginnings."""
-    number: dict[bytes, int] = {}
-    raws: list[bytes] = []
+    """Answers of one shard: for each block that sent slices, a bit for each of their beginnings.
+
+    Slices of different marks have no string in common, so a shard is sorted in batches of whole marks.
+    """
+    number: dict[tuple[int, bytes], int] = {}
     many: list[bool] = []
     sent = []
-    for data, sizes, own in zip(*(t.column(c).to_pylist() for c in ("_data", "_sizes", "_many"))):
+    for data, sizes, own, hashes in zip(*(t.column(c).to_pylist() for c in ("_data", "_sizes", "_many", "_marks"))):
         ends = np.cumsum(np.frombuffer(sizes, np.int32)).tolist()
         again = np.unpackbits(np.frombuffer(own, np.uint8), count=len(ends)).tolist()
         ids = []
-        for lo, hi, more in zip([0, *ends], ends, again):
-            raw = data[lo:hi]
-            k = number.setdefault(raw, len(raws))
-            if k == len(raws):
-                raws.append(raw)
+        for lo, hi, more, m in zip([0, *ends], ends, again, np.frombuffer(hashes, np.uint64).tolist()):
+            k = number.setdefault((m, data[lo:hi]), len(number))
+            if k == len(many):
                 many.append(bool(more))
             else:
                 many[k] = True
             ids.append(k)
         sent.append(ids)
-    found = repeated_beginnings(raws, np.array(many), length, memory)
+    found: list = [None] * len(number)
+    batch: list[tuple[tuple[int, bytes], int]] = []
+    size = 0
+
+    def flush() -> None:
+        own = [k for _, k in batch]
+        for k, bits in zip(own, repeated_beginnings([raw for (_, raw), _ in batch], np.array([many[k] for k in own]), length, memory)):
+            found[k] = bits
+
+    for (m, raw), k in sorted(number.items(), key=lambda x: x[0][0]):
+        if size > SORTED and batch[-1][0][0] != m:
+            flush()
+            batch, size = [], 0
+        batch.append(((m, raw), k))
+        size += len(raw)
+    flush()
     bits, n = [], []
     for ids in sent:
         own = np.concatenate([found[k] for k in ids])
@@ -208,7 +215,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         out = []
         for bucket, lo, hi in bounds(np.array([m for m, _ in ordered], np.uint64), n):
             raws = [r for _, r in ordered[lo:hi]]
-            out.append((bucket, block, b"".join(raws), np.array([len(r) for r in raws], np.int32).tobytes(), None, np.packbits(many[lo:hi]).tobytes()))
+            out.append((bucket, block, b"".join(raws), np.array([len(r) for r in raws], np.int32).tobytes(), np.array([m for m, _ in ordered[lo:hi]], np.uint64).tobytes(), np.packbits(many[lo:hi]).tobytes()))
         columns = list(zip(*out)) or [()] * 6
         types = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
         return pa.table([pa.array(c, k) for c, k in zip(columns, types)], ["_bucket", "_block", "_data", "_sizes", "_marks", "_many"])

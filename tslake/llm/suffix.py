@@ -93,7 +93,7 @@ def _named(text: np.ndarray, s: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
         for k in range(step):
             inside = length[todo] > offset + k
             key = (key << bits) | np.where(inside, padded[np.minimum(at[todo] + offset + k, len(padded) - 1)], 0)
-        order = np.lexsort((key, rank[todo])) if offset else np.argsort(key, kind="stable")
+        order = np.lexsort((key, rank[todo])) if offset else np.argsort(key)
         r, key = rank[todo][order], key[order]
         new = np.concatenate([[True], (r[1:] != r[:-1]) | (key[1:] != key[:-1])])
         group = np.concatenate([[True], r[1:] != r[:-1]])
@@ -112,7 +112,7 @@ def _named(text: np.ndarray, s: np.ndarray, at: np.ndarray) -> tuple[np.ndarray,
 def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
     """Order of the suffixes of ``names`` by their first ``depth`` names at least."""
     n = len(names)
-    order = np.argsort(names, kind="stable")
+    order = np.argsort(names)
     ranked = names[order]
     start = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
     size = np.diff(np.append(start, n))
@@ -122,7 +122,7 @@ def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
     todo, h = order[np.repeat(size > 1, size)], 1
     while len(todo) and h < depth:
         after = rank[np.minimum(todo + h, n)]
-        order = np.lexsort((after, rank[todo]))
+        order = np.argsort((rank[todo] << 32) | (after + 1))
         todo, after = todo[order], after[order]
         r = rank[todo]
         group = np.concatenate([[True], r[1:] != r[:-1]])
@@ -132,7 +132,7 @@ def _doubled(names: np.ndarray, depth: int) -> np.ndarray:
         size = np.diff(np.append(np.flatnonzero(new), len(todo)))
         todo = todo[np.repeat(size > 1, size)]
         h *= 2
-    return np.argsort(rank[:n], kind="stable")
+    return np.argsort(rank[:n])
 
 
 def suffix_array(text: np.ndarray, depth: int, memory: int = MEMORY) -> np.ndarray:
