@@ -24,7 +24,7 @@ SEGMENT_CHARS = 1 << 16
 #: Remembered parts of a worker; the memo starts afresh beyond it. Longer parts aren't remembered.
 MEMO_PARTS, MEMO_CHARS = 800_000, 64
 
-_UNSAFE = re.compile(r"\s | \s|^ | $")
+_OTHER = re.compile(r"[^\S \n]")  # white space but blanks and new lines
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
 _CUT = re.compile(r"\S \S")
 #: Letters, marks, and perhaps a new line with letters and marks: the pre-split cuts such a part just between these groups.
@@ -55,7 +55,9 @@ class Encoder:
         self.later: dict[str, object] = {}  # parts that a space precedes, without it
 
     def parts(self, segment: str) -> list[str]:
-        return _SAFE.split(segment) if _UNSAFE.search(segment) else segment.split(" ")
+        """``segment`` cut at all safe boundaries; the blanks there are left out."""
+        unsafe = "  " in segment or " \n" in segment or "\n " in segment or segment[:1] == " " or segment[-1:] == " " or _OTHER.search(segment)
+        return _SAFE.split(segment) if unsafe else segment.split(" ")
 
     def values(self, batch: list[str]) -> list[list]:
         """For each segment of ``batch``, the values of its parts in order."""
@@ -64,12 +66,18 @@ class Encoder:
             self.later.clear()
         spaced = [x.startswith(" ") and x[1:2].strip() != "" for x in batch]
         split = [self.parts(x[1:] if cut else x) for x, cut in zip(batch, spaced)]
-        wanted: set[str] = set()
-        for parts, cut in zip(split, spaced):
-            wanted.update(parts if cut else parts[1:])
+        known = self.later.get
+        own = [p if cut else p[1:] for p, cut in zip(split, spaced)]
+        out: list[list] = [list(map(known, p)) for p in own]
+        holes = [[k for k, v in enumerate(values) if v is None] if None in values else () for values in out]
+        wanted = {p[k] for p, ks in zip(own, holes) for k in ks}
         passing = self._learn(self.first, {p[0] for p, cut in zip(split, spaced) if not cut}, "") + self._learn(self.later, wanted, " ")
-        known = self.later.__getitem__
-        out = [[*map(known, p)] if cut else [self.first[p[0]], *map(known, p[1:])] for p, cut in zip(split, spaced)]
+        for p, values, ks in zip(own, out, holes):
+            for k in ks:
+                values[k] = known(p[k])
+        for p, cut, values in zip(split, spaced, out):
+            if not cut:
+                values.insert(0, self.first[p[0]])
         for memo, part in passing:
             memo.pop(part, None)
         return out
