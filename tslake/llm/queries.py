@@ -71,5 +71,29 @@ def queries() -> dict:
     return {f.__name__: f for f in own}
 
 
+_OP4 = r"""
+with d as (select row_number() over () as rid, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+win as (select rid, i, array_to_string(w[i:i + 34], ' ') as s from d, unnest(range(1, len(w) - 33)) u(i)),
+rep as (select rid, i from win qualify count(*) over (partition by s) > 1),
+gone as (select distinct rid, p from rep, unnest(range(i, i + 35)) u(p)),
+word as (select rid, unnest(w) as x, generate_subscripts(w, 1) as p from d),
+kept as (select rid, string_agg(x, ' ' order by p) as k, count(*) as n from word anti join gone using (rid, p) group by rid)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed, sha256(coalesce(k, '')) as kept_sha256 from d left join kept using (rid)"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP5 = rf"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+bw as (select distinct item_id, n, array_to_string(w[i:i + n - 1], ' ') as s from (select item_id, w, least(13, len(w)) as n from b where len(w) > 0), unnest(range(1, len(w) - n + 2)) u(i)),
+dw as (select rid, i, n, array_to_string(w[i:i + n - 1], ' ') as s from d, (select distinct n from bw), unnest(range(1, len(w) - n + 2)) u(i)),
+found as (select rid, i, n, item_id from dw join bw using (n, s)),
+hit as (select rid, count(distinct p) as n_hit from found, unnest(range(i, i + n)) u(p) group by rid),
+item as (select rid, count(*) as n_items, string_agg(id, ',' order by id) as ids from (select distinct rid, cast(item_id as varchar) as id from found where item_id is not null) group by rid)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+  coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from d left join hit using (rid) left join item using (rid)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The operators that SQL can express as they are; the others are tested against plain versions."""
+    return {"op4_substring_dedup": _OP4, "op5_decontamination": _OP5}
