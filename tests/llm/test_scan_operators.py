@@ -38,6 +38,31 @@ def test_token_counts(spark, documents):
     assert tokens.count_tokens(table(spark, []), path, 512).count() == 0
 
 
+def test_word_table_is_the_tokenizer():
+    import random
+
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    library, rng = Tokenizer.from_file(path), random.Random(4)
+    atoms = ["a", "the", "é", "ÿ", "1", "23", " ", "  ", "\n", "\n\n", "\t", "\r", ".", ",,", "-", "_", "$"]
+    odd = ["'s", "'", "世", "×", "÷", "\x1c", "\xa0", "<|endoftext|>", "ª", "²", "€", "\x7f"]
+    texts = ["".join(rng.choices(atoms + odd * (k % 3 == 0), k=rng.randrange(0, 30))) for k in range(1500)] + [None, "", " ", "é " * 40000]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert tokens.token_lengths(pa.array(texts), path) == list(map(len, want))
+    got: dict[int, bytes] = {}
+    for i, ids, _ in tokens.token_ids(pa.array(texts), path):
+        got[i] = got.get(i, b"") + ids
+    assert all(got[i] == b"".join(x.to_bytes(4, "little") for x in w) for i, w in enumerate(want))
+    table = tokens.WordTable(path)
+    parts = tokens.encoded([t or "" for t in texts[:300]], table.rest, most=50)
+    whole: dict[int, bytes] = {}
+    for i, ids, _ in parts:
+        whole[i] = whole.get(i, b"") + ids
+    assert all(whole[i] == got[i] for i in range(300))
+
+
 def test_segments_are_safe():
     text = "ab cd\n ef  gh " * 50
     assert "".join(tokens.segments(text, 7)) == text

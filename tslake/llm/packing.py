@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tslake.llm.common import checkpointed, slices
-from tslake.llm.tokens import encoded
+from tslake.llm.tokens import token_ids
 
 WINDOW, OPEN_WINDOWS, END_ID = 1024, 16, 0
 #: Partitions whose open windows are merged together: at most 64 * 16 * 1024 ids.
@@ -97,7 +97,7 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, window: int, m
             ids = batch.column(0).slice(at, len(texts)).to_pylist()
             at += len(texts)
             pending, start, placed = b"", 0, []
-            for i, more, last in encoded([t or "" for t in texts.to_pylist()], path):
+            for i, more, last in token_ids(texts, path):
                 pending += more + end if last else more
                 while len(pending) >= 4 * window:
                     placed.append(Piece(ids[i], start, pending[: 4 * window]))

@@ -1,8 +1,8 @@
 """Token counts: batch encoding in Arrow functions that return lengths only.
 
 A text is cut before single spaces between two visible characters. The tokenizer's pre-split starts a new piece there
-whatever stands around it, so the tokens of the parts are the tokens of the whole. Parts recur, so each worker keeps
-their encodings in a bounded memo and sends only unknown parts to the tokenizer, in batches. Parts that have no safe
+whatever stands around it, so the tokens of the parts are the tokens of the whole. Words recur, so each worker keeps
+their encodings in a bounded table and sends only unknown ones to the tokenizer, in batches. Parts that have no safe
 boundary stay whole.
 """
 
@@ -13,16 +13,18 @@ import re
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tslake.llm.common import slices
+from tslake.llm.common import slices, utf8
+from tslake.llm.words import _BYTE, mix, powers
 
 #: Characters after which a long text is cut at the next safe boundary.
 SEGMENT_CHARS = 1 << 16
 #: Remembered parts of a worker; the memo starts afresh beyond it. Longer parts aren't remembered.
-MEMO_PARTS, MEMO_CHARS = 800_000, 64
+MEMO_PARTS, MEMO_CHARS = 200_000, 64
 
 _OTHER = re.compile(r"[^\S \n]")  # white space but blanks and new lines
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -117,29 +119,194 @@ class Encoder:
         return [(memo, p) for p in new if len(p) > MEMO_CHARS]
 
 
-_encoders: dict[tuple, Encoder] = {}
+#: By byte: 0 marks, 1 letters, 2 digits, 3 white space, 4 what only the tokenizer itself is to judge.
+_CLASS = np.array([3 if c in (9, 10, 13, 32) else 4 if c < 32 or c == 39 or c >= 127 else 1 if chr(c).isalpha() else 2 if chr(c).isdigit() else 0 for c in range(256)], np.uint8)
+#: Known words of a worker's table, and its slots (a power of two).
+TABLE_WORDS, TABLE_SLOTS = 1_200_000, 1 << 21
+#: Text bytes up to which a run of texts is encoded by table; longer texts go by segments.
+TABLE_BYTES = 4 << 20
 
 
-def encoder(path: str, kind: str) -> Encoder:
-    """The worker's encoder for a file; ``kind`` is ``count`` or ``ids`` (32-bit, little-endian as on all of Spark's platforms)."""
-    if (path, kind) not in _encoders:
-        value = (lambda e: len(e)) if kind == "count" else (lambda e: array("I", e.ids).tobytes())
-        _encoders[path, kind] = Encoder(path, value)
-    return _encoders[path, kind]
+class WordTable:
+    """Ids of the tokenizer's pre-split words, found for all words of many texts at once.
 
+    Texts of ASCII and Latin-1 letters, digits, marks and plain white space are split with numpy as the tokenizer's
+    pre-split does it; all others, and those with apostrophes or special strings, are left to ``Encoder``. A word is
+    known by two 64-bit hashes and its length; unknown ones are encoded by the tokenizer, each once.
+    """
+
+    def __init__(self, path: str):
+        self.rest = Encoder(path, lambda e: array("I", e.ids).tobytes())
+        self.tokenizer = self.rest.tokenizer
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.forget()
+
+    def forget(self) -> None:
+        self.one, self.two = np.zeros(TABLE_SLOTS, np.uint64), np.zeros(TABLE_SLOTS, np.uint64)
+        self.entry = np.full(TABLE_SLOTS, -1, np.int32)
+        self.size, self.used = 0, 0
+        self.begin, self.count, self.pool = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
+
+    def plain(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(class of each byte, whether each text is plain)."""
+        c = _CLASS[data]
+        lead = np.flatnonzero(data[:-1] == 0xC3)
+        tail = data[lead + 1]
+        lead = lead[(tail >= 0x80) & (tail < 0xC0) & (tail != 0x97) & (tail != 0xB7)]
+        c[lead] = c[lead + 1] = 1
+        good = np.ones(len(off) - 1, bool)
+        good[np.searchsorted(off, np.flatnonzero(c == 4), side="right") - 1] = False
+        raw = data.tobytes()
+        for special in self.special:
+            at = raw.find(special)
+            while at >= 0:
+                good[np.searchsorted(off, at, side="right") - 1] = False
+                at = raw.find(special, at + 1)
+        return c, good
+
+    @staticmethod
+    def split(data: np.ndarray, c: np.ndarray, off: np.ndarray) -> np.ndarray:
+        """Beginnings of words: runs of one class, with one blank before them; of white space before a word, the last character stands alone or is that blank."""
+        fresh = np.zeros(len(data), bool)
+        fresh[off[:-1][off[:-1] < off[1:]]] = True
+        begins = fresh.copy()
+        begins[1:] |= c[1:] != c[:-1]
+        after = np.flatnonzero(begins[1:] & ~fresh[1:] & (c[1:] != 3) & (c[:-1] == 3)) + 1
+        begins[after] = data[after - 1] != 32
+        begins[after - 1] = True
+        return np.flatnonzero(begins)
+
+    def _slots(self, one: np.ndarray) -> np.ndarray:
+        return (one >> np.uint64(64 - TABLE_SLOTS.bit_length() + 1)).astype(np.int64)
+
+    def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        out, todo, slot = np.full(len(one), -1, np.int32), np.arange(len(one)), self._slots(one)
+        while len(todo):
+            e = self.entry[slot]
+            hit = (self.one[slot] == one[todo]) & (self.two[slot] == two[todo]) & (e >= 0)
+            out[todo[hit]] = e[hit]
+            on = ~hit & (e >= 0)
+            todo, slot = todo[on], (slot[on] + 1) & (TABLE_SLOTS - 1)
+        return out
 
-def token_lengths(texts: list[str], path: str) -> list[int]:
+    def add(self, one: np.ndarray, two: np.ndarray, words: list[str]) -> None:
+        """Encodes new words; their hashes are distinct."""
+        ids: list[int] = []
+        sizes: list[int] = []
+        for i in range(0, len(words), 2048):
+            for e in self.tokenizer.encode_batch_fast(words[i : i + 2048], add_special_tokens=False):
+                own = e.ids
+                ids += own
+                sizes.append(len(own))
+        n, m = len(words), len(ids)
+        while self.size + n > len(self.begin):
+            self.begin, self.count = np.concatenate([self.begin, self.begin]), np.concatenate([self.count, self.count])
+        while self.used + m > len(self.pool):
+            self.pool = np.concatenate([self.pool, self.pool])
+        size = np.array(sizes, np.int64)
+        self.begin[self.size : self.size + n] = self.used + np.cumsum(size) - size
+        self.count[self.size : self.size + n] = size
+        self.pool[self.used : self.used + m] = ids
+        name, slot = np.arange(self.size, self.size + n, dtype=np.int32), self._slots(one)
+        self.size, self.used = self.size + n, self.used + m
+        todo = np.arange(n)
+        while len(todo):
+            free = todo[self.entry[slot[todo]] < 0]
+            self.entry[slot[free]] = name[free]
+            won = free[self.entry[slot[free]] == name[free]]
+            self.one[slot[won]], self.two[slot[won]] = one[won], two[won]
+            todo = np.setdiff1d(todo, won, assume_unique=True)
+            slot[todo] = (slot[todo] + 1) & (TABLE_SLOTS - 1)
+
+    def entries(self, data: np.ndarray, c: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(entry of each word, words of each text) of plain texts."""
+        begins = self.split(data, c, off)
+        ends = np.append(begins[1:], len(data))
+        lanes = []
+        x = _BYTE[data]
+        for lane in (0, 1):
+            p, inverse = powers(lane, len(data) + 1)
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(x * p[: len(data)], out=sums[1:])
+            lanes.append(mix((sums[ends] - sums[begins]) * inverse[begins] + (ends - begins).astype(np.uint64)))
+        one, two = lanes
+        found = self.find(one, two)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            _, at = np.unique(one[new], return_index=True)
+            at = new[at]
+            raw = data.tobytes()
+            self.add(one[at], two[at], [raw[a:b].decode() for a, b in zip(begins[at].tolist(), ends[at].tolist())])
+            found[new] = self.find(one[new], two[new])
+        return found, np.diff(np.searchsorted(begins, off))
+
+    def encode(self, texts: pa.Array, lengths_only: bool = False):
+        """Counts of each text's tokens, and all ids in order unless ``lengths_only``."""
+        if self.size > TABLE_WORDS:
+            self.forget()
+        data, off, _ = utf8(texts)
+        data, off = data[off[0] : off[-1]], off - off[0]
+        c, good = self.plain(data, off)
+        if not good.all():
+            keep = np.repeat(good, np.diff(off))
+            data, c = data[keep], c[keep]
+            off = np.concatenate([[0], np.cumsum(np.where(good, np.diff(off), 0))])
+        found, n_words = self.entries(data, c, off)
+        size = self.count[found]
+        ends = np.cumsum(n_words)
+        total = np.concatenate([[0], np.cumsum(size)])
+        counts = total[ends] - total[ends - n_words]
+        odd = np.flatnonzero(~good)
+        extra = {}
+        for i, ids, _ in encoded([texts[int(k)].as_py() or "" for k in odd], self.rest):
+            extra[int(odd[i])] = extra.get(int(odd[i]), b"") + ids
+        for k, ids in extra.items():
+            counts[k] = len(ids) >> 2
+        if lengths_only:
+            return counts, None
+        flat = self.pool[np.repeat(self.begin[found] - total[:-1], size) + np.arange(total[-1])]
+        if extra:
+            at = total[ends - n_words]
+            parts, last = [], 0
+            for k in sorted(extra):
+                parts += [flat[last : at[k]], np.frombuffer(extra[k], np.uint32)]
+                last = at[k]
+            flat = np.concatenate([*parts, flat[last:]])
+        return counts, flat
+
+
+_tables: dict[str, WordTable] = {}
+
+
+def word_table(path: str) -> WordTable:
+    """The worker's table for a file."""
+    if path not in _tables:
+        _tables[path] = WordTable(path)
+    return _tables[path]
+
+
+def token_lengths(texts: pa.Array, path: str) -> list[int]:
     """Token counts of whole texts."""
-    owner: list[int] = []
-    batch: list[str] = []
-    for i, text in enumerate(texts):
-        for s in segments(text):
-            batch.append(s)
-            owner.append(i)
-    out = [0] * len(texts)
-    for i, values in zip(owner, encoder(path, "count").values(batch)):
-        out[i] += sum(values)
-    return out
+    table = word_table(path)
+    if _long(texts):
+        return [sum(len(ids) >> 2 for _, ids, _ in encoded([t or ""], table.rest)) for t in texts.to_pylist()]
+    return table.encode(texts, lengths_only=True)[0].tolist()
+
+
+def token_ids(texts: pa.Array, path: str) -> Iterator[tuple[int, bytes, bool]]:
+    """(index of the text, little-endian 32-bit ids of its next part, whether that is its last part)."""
+    table = word_table(path)
+    if _long(texts):
+        yield from encoded([t or "" for t in texts.to_pylist()], table.rest)
+        return
+    counts, flat = table.encode(texts)
+    at = np.cumsum(counts)
+    for i, (a, b) in enumerate(zip((at - counts).tolist(), at.tolist())):
+        yield i, flat[a:b].tobytes(), True
+
+
+def _long(texts: pa.Array) -> bool:
+    return texts.nbytes > TABLE_BYTES and len(utf8(texts)[0]) > 0 and int(np.diff(utf8(texts)[1]).sum()) > TABLE_BYTES
 
 
 def n_tokens(text: F.Column, tokenizer_path: str) -> F.Column:
@@ -149,7 +316,7 @@ def n_tokens(text: F.Column, tokenizer_path: str) -> F.Column:
     def count(column: pa.Array) -> pa.Array:
         out: list[int] = []
         for part in slices(column):
-            out += token_lengths([x or "" for x in part.to_pylist()], tokenizer_path)
+            out += token_lengths(part, tokenizer_path)
         return pa.array(out, pa.int64())
 
     return count(text)
@@ -169,14 +336,14 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str =
     ).withColumn("over_limit", F.col("n_tokens") > limit)
 
 
-def encoded(texts: list[str], path: str, most: int = 1 << 20) -> Iterator[tuple[int, bytes, bool]]:
+def encoded(texts: list[str], by: Encoder, most: int = 1 << 20) -> Iterator[tuple[int, bytes, bool]]:
     """(index of the text, little-endian 32-bit ids of its next part, whether that is its last part)."""
     batch: list[str] = []
     owner: list[tuple[int, bool]] = []
     size = 0
 
     def flush() -> Iterator[tuple[int, bytes, bool]]:
-        for (i, last), values in zip(owner, encoder(path, "ids").values(batch)):
+        for (i, last), values in zip(owner, by.values(batch)):
             yield i, b"".join(values), last
 
     for i, text in enumerate(texts):
