@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from tslake.llm.blocks import Blocks, answered, answers, bounds, distinct, message
 from tslake.llm.common import slices, utf8
 from tslake.llm.suffix import MEMORY, suffix_array
-from tslake.llm.words import _BYTE, U, cover, powers, sha
+from tslake.llm.words import _BYTE, U, cover, mix, powers, sha
 
 LENGTH, GRAM = 200, 48
 #: Bytes of text whose marks are found at once; what a shard sorts at once, unless one mark has more.
@@ -87,7 +87,7 @@ def runs_of_marks(x: np.ndarray, off: np.ndarray, length: int, gram: int) -> tup
     at = np.flatnonzero(change)
     begin, count = at[:-1], np.diff(at)
     keep = ok[begin]
-    return h[begin[keep]], begin[keep], count[keep]
+    return mix(h[begin[keep]]), begin[keep], count[keep]  # least hashes are small; mixed, they fill all buckets alike
 
 
 def mark_hashes(texts: pa.Array, length: int, gram: int) -> np.ndarray:
