@@ -12,7 +12,8 @@ def connected(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (src, dst); a component is named by its least node.
 
     Labels fall to the least among a node's neighbours and then jump to their label's label, until none changes; each
-    round is checkpointed. Rows grow with the edges only, and minima are combined before they are shuffled. Nulls and
+    half round is checkpointed, so that both sides of each join are plain shuffles and Spark can split a label that many
+    nodes share. Rows grow with the edges only, and minima are combined before they are shuffled. Nulls and
     loops are allowed: a null end is dropped with its edge, a loop makes a component of one.
     """
     known = edges.filter("src is not null and dst is not null").select("src", "dst")
@@ -20,7 +21,7 @@ def connected(edges: DataFrame) -> DataFrame:
     labels = checkpointed(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("label")).withColumnRenamed("src", "node"))
     while True:
         near = both.join(labels, both.dst == labels.node).groupBy("src").agg(F.min("label").alias("least"))
-        lower = labels.join(near, labels.node == near.src, "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label"))
+        lower = checkpointed(labels.join(near, labels.node == near.src, "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label")))
         up = lower.select(F.col("node").alias("up"), F.col("label").alias("top"))
         new = checkpointed(lower.join(up, lower.label == up.up, "left").select("node", "old", F.least("label", "top").alias("label")))
         labels = new.select("node", "label")
