@@ -24,7 +24,7 @@ from tslake.llm.words import _BYTE, mix, powers
 #: Characters after which a long text is cut at the next safe boundary.
 SEGMENT_CHARS = 1 << 16
 #: Remembered parts of a worker; the memo starts afresh beyond it. Longer parts aren't remembered.
-MEMO_PARTS, MEMO_CHARS = 200_000, 64
+MEMO_PARTS, MEMO_CHARS = 100_000, 64
 
 _OTHER = re.compile(r"[^\S \n]")  # white space but blanks and new lines
 _SAFE = re.compile(r"(?<=\S) (?=\S)")
@@ -122,7 +122,7 @@ class Encoder:
 #: By byte: 0 marks, 1 letters, 2 digits, 3 white space, 4 what only the tokenizer itself is to judge.
 _CLASS = np.array([3 if c in (9, 10, 13, 32) else 4 if c < 32 or c == 39 or c >= 127 else 1 if chr(c).isalpha() else 2 if chr(c).isdigit() else 0 for c in range(256)], np.uint8)
 #: Known words of a worker's table, and its slots (a power of two).
-TABLE_WORDS, TABLE_SLOTS = 1_200_000, 1 << 21
+TABLE_WORDS, TABLE_SLOTS = 1_000_000, 1 << 21
 #: Text bytes up to which a run of texts is encoded by table; longer texts go by segments.
 TABLE_BYTES = 4 << 20
 

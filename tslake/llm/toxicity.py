@@ -25,7 +25,7 @@ FEATURES, LEAST_Z, FOLDS, RIDGE = 400, 4.0, 3, 1.0
 PREFIXES = (4, 5, 6)
 
 _WORD = re.compile(r"[^\W\d_]+")
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 
 def distinct_words(text: str) -> set[str]:
@@ -66,10 +66,11 @@ class Chain:
     def __init__(self, rows: list[np.ndarray], labels: np.ndarray, n_features: int = FEATURES):
         self.models: list[tuple[dict[int, int], np.ndarray]] = []
         n = len(rows)
-        every = np.concatenate(rows) if n else np.zeros(0, np.uint32)
-        names, where = np.unique(every, return_inverse=True)
-        owner = np.repeat(np.arange(n), [len(r) for r in rows])
-        seen = np.divmod(np.unique(owner * max(1, len(names)) + where), max(1, len(names)))  # rows, features
+        own = [np.unique(r) for r in rows]
+        every = np.concatenate(own) if n else np.zeros(0, np.uint32)
+        names = np.unique(every)
+        seen = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in own]), np.searchsorted(names, every).astype(np.int32)  # rows, features
+        del own, every
         fold = np.arange(n) % FOLDS
         earlier = np.zeros((n, 0))
         for k in range(labels.shape[1]):
@@ -82,11 +83,10 @@ class Chain:
                 continue
             chosen = self._choose(seen, len(names), y, known, n_features)
             index = {int(names[f]): i for i, f in enumerate(chosen)}
-            column = np.full(len(names), -1)
-            column[chosen] = np.arange(len(chosen))
-            x = np.zeros((n, len(chosen)))
-            at = column[where]
-            np.add.at(x, (owner[at >= 0], at[at >= 0]), 1)
+            x, ordered, order = np.zeros((n, len(chosen))), np.sort(names[chosen]), np.argsort(names[chosen])
+            for i, r in enumerate(rows if len(chosen) else []):
+                at = np.minimum(np.searchsorted(ordered, r), len(ordered) - 1)
+                np.add.at(x[i], order[at[ordered[at] == r]], 1)
             x = np.column_stack([x, earlier])
             out_of_fold = np.zeros(n)
             for f in range(FOLDS):
