@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a Python task works on at once; larger batches are cut into runs of rows.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 _shipped: set[str] = set()

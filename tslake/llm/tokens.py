@@ -326,7 +326,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int, id_col: str =
     """One row per row of ``docs``: id, n_bytes, n_tokens, over_limit.
 
     No shuffle: Spark's byte-sized input splits balance the work, and within a task texts are taken in runs of about
-    a megabyte. Null text counts as empty (0 bytes, 0 tokens); a null id stays null; repeated rows are counted each;
+    a quarter of a megabyte. Null text counts as empty (0 bytes, 0 tokens); a null id stays null; repeated rows are counted each;
     an empty table gives none; other columns are ignored. Begin, end and added special tokens aren't counted;
     a special string inside a text is what the library makes of it by default.
     """

@@ -14,7 +14,7 @@ U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240501))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
 _BASES = (_RNG.integers(1, 2**62, 3, dtype=np.uint64) * U(8) + U(5)).tolist()
-_CUT = 1 << 20
+_CUT = 1 << 18
 
 #: ``[^\\x20\\x09-\\x0D]+``
 BLANK_SEPARATED = np.array([c not in (9, 10, 11, 12, 13, 32) for c in range(256)])
