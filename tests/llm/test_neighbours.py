@@ -125,3 +125,24 @@ def test_recall(spark):
     assert hits / sum(map(len, want.values())) > 0.95
     assert [v for _, v, _ in by[9020]] == [j for _, j in want[9020]]
     assert ann.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("noise", [0.05, 0.2, 0.5])
+def test_close_vectors_are_all_ranked(spark, noise):
+    """A third of all rows close to one vector but not equal, which share their codes; at the production value."""
+    import pyspark.sql.functions as F
+
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(3000, 64))
+    near = np.arange(3000) % 3 == 0
+    x[near] = rng.normal(size=64) + noise * x[near]
+    x /= np.sqrt((x**2).sum(axis=1, keepdims=True))
+    got = ann.nearest(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>"), F.col("vec_id") % 60 == 0).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert len(by) == 50
+    for q, own in by.items():
+        score = x @ x[q]
+        score[q] = -np.inf
+        assert own == np.argsort(-score, kind="stable")[:20].tolist()

@@ -1,9 +1,10 @@
-"""Approximate nearest neighbours by inner product: anisotropic four-bit quantisation, table scans, exact reranking.
+"""Nearest neighbours by inner product: anisotropic four-bit quantisation, table scans, exact reranking.
 
 A vector is coded by one of 16 centres in each pair of dimensions. Codes and centres are chosen so that the part of
 the error that is parallel to the vector weighs more than the rest, as it is what changes large inner products. A query
 scans the codes of all rows through tables of its products with the centres; the best of each block of rows are then
-scored exactly in double precision.
+scored exactly in double precision. A row's table score errs by no more than the query's length times that of the row's
+residual, so all rows that this lets reach the last of the best are scored exactly as well, and none is missed.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ SAMPLE_ROWS = 8192
 CENTRES, DIMENSIONS = 16, 2
 #: Share of a vector's length that an inner product has to reach to matter; sets the weight of parallel errors.
 SCORE_SHARE = 0.2
+#: Rows of a block, queries of a lot, rows of a block that are scored first; how many more are scored, their bounds tell.
 BLOCK_ROWS, QUERY_ROWS, RERANKED = 4096, 2048, 96
 
 
@@ -89,10 +91,18 @@ class Quantiser:
             residual[:, j] = x[:, j] - self.centres[j, codes[:, j]]
             along = rest + (residual[:, j] * u[:, j]).sum(-1)
 
-    def encode(self, x: np.ndarray) -> np.ndarray:
-        """Two codes a byte."""
-        codes = self.encode_split(self.split(x)).astype(np.uint8)
-        return codes[:, ::2] * np.uint8(16) + codes[:, 1::2]
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two codes a byte; how far a table score may lie from the exact one, for a query of length 1.
+
+        That is the length of the residual, and a margin for sums in single precision.
+        """
+        x = self.split(x)
+        codes = self.encode_split(x)
+        centres = self.centres[np.arange(self.parts), codes]
+        length = lambda v: np.sqrt((v**2).sum(axis=(1, 2)))
+        reach = length(x - centres) + (self.parts + 4) * 2.0**-23 * (length(centres) + length(x))
+        codes = codes.astype(np.uint8)
+        return codes[:, ::2] * np.uint8(16) + codes[:, 1::2], reach
 
     def tables(self, queries: np.ndarray) -> np.ndarray:
         """(queries x bytes x 256) inner products with each pair of centres."""
@@ -125,19 +135,32 @@ def train(vectors: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict[int, Quant
     return out
 
 
-def _search(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, query_ids: np.ndarray, q: np.ndarray, tables: Iterator[np.ndarray], top: int, reranked: int):
-    """(query, id, score) of the best ``top`` of a block for each query, after exact scoring of the best by table."""
+def _search(ids: np.ndarray, x: np.ndarray, codes: np.ndarray, reach: np.ndarray, query_ids: np.ndarray, q: np.ndarray, tables: Iterator[np.ndarray], top: int, reranked: int):
+    """(id, score) of the best ``top`` of a block for each query.
+
+    The best ``reranked`` by table are scored exactly; then all rows whose bound isn't below the last of their best ``top``.
+    """
     at = [codes[:, j].astype(np.intp) for j in range(codes.shape[1])]
+    longest = np.sqrt((x**2).sum(axis=1).max())
     for k, t in enumerate(tables):
-        approximate = t[0][at[0]]
-        for j in range(1, len(at)):
-            approximate += t[j][at[j]]
+        some = np.arange(len(ids))
         if len(ids) > reranked:
-            some = np.argpartition(approximate, len(ids) - reranked)[-reranked:]
-        else:
-            some = np.arange(len(ids))
-        some = some[ids[some] != query_ids[k]]
-        score = x[some] @ q[k]
+            approximate = t[0][at[0]]
+            for j in range(1, len(at)):
+                approximate += t[j][at[j]]
+            first = np.argpartition(approximate, len(ids) - reranked)[-reranked:]
+            first = first[ids[first] != query_ids[k]]
+            if len(first) >= top:
+                worst = np.partition(x[first] @ q[k], len(first) - top)[-top]
+                bound = approximate + np.sqrt(q[k] @ q[k]) * reach + 2 * len(at) * np.finfo(np.float32).tiny
+                some = np.flatnonzero(~(bound < worst) | ~np.isfinite(approximate))  # what overflows is scored
+        score = x[some] @ q[k] if 4 * len(some) < len(ids) else (x @ q[k])[some]
+        other = ids[some] != query_ids[k]
+        some, score = some[other], score[other]
+        if len(some) > top:  # products of matrices may round equal rows apart, so those at the edge are summed again alike
+            edge = np.partition(score, len(some) - top)[-top] - 2.0**-40 * longest * np.sqrt(q[k] @ q[k])
+            some = some[~(score < edge)]
+        score = (x[some] * q[k]).sum(axis=1)
         best = np.lexsort((ids[some], -score))[:top]
         yield ids[some[best]], score[best]
 
@@ -149,7 +172,8 @@ def nearest(vectors: DataFrame, is_query: F.Column, top: int = 20, reranked: int
     smaller id; a row of the query's own id is no candidate. Rows with a null id or vector, and vectors that are zero or
     hold null or non-finite components take no part; vectors of other lengths than the query's aren't candidates.
     Repeated rows are one; other columns are ignored. Of equal vectors only the ``top`` + 1 smallest ids are scanned:
-    no other can be among the nearest. Queries and rows meet in blocks of bounded size.
+    no other can be among the nearest. Queries and rows meet in blocks of bounded size. The result is that of scoring
+    all pairs, whatever ``reranked``, the number of rows of a block that are scored first.
     """
     all_ = usable(vectors, id_col, vector_col)
     queries = usable(vectors.filter(is_query), id_col, vector_col).distinct()
@@ -162,15 +186,16 @@ def nearest(vectors: DataFrame, is_query: F.Column, top: int = 20, reranked: int
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             codes: list[bytes] = [b""] * len(b)
+            reach = np.zeros(len(b))
             dims = np.asarray(b.column("_dim"))
             for dim in np.unique(dims).tolist():
                 own = np.flatnonzero(dims == dim)
-                found = held.value[dim].encode(matrix(b.column("_v").take(pa.array(own)), dim))
+                found, reach[own] = held.value[dim].encode(matrix(b.column("_v").take(pa.array(own)), dim))
                 for i, c in zip(own.tolist(), found):
                     codes[i] = c.tobytes()
-            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_v"), b.column("_dim"), pa.array(codes, pa.binary())], ["_id", "_v", "_dim", "_codes"])
+            yield pa.RecordBatch.from_arrays([b.column("_id"), b.column("_v"), b.column("_dim"), pa.array(codes, pa.binary()), pa.array(reach)], ["_id", "_v", "_dim", "_codes", "_reach"])
 
-    coded = rows.mapInArrow(encode, "_id bigint, _v array<double>, _dim int, _codes binary")
+    coded = rows.mapInArrow(encode, "_id bigint, _v array<double>, _dim int, _codes binary, _reach double")
     dealt = coded.withColumns({"_block": F.pmod(F.xxhash64("_id"), F.lit(blocks)), "_lot": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lots - 1).cast("long")))})
     asked = queries.withColumns({"_lot": F.pmod(F.xxhash64("_id"), F.lit(lots)), "_block": F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))})
 
@@ -181,9 +206,10 @@ def nearest(vectors: DataFrame, is_query: F.Column, top: int = 20, reranked: int
             quantiser = held.value[dim]
             ids, x = np.asarray(left.column("_id")), matrix(left.column("_v"), dim)
             codes = np.frombuffer(b"".join(left.column("_codes").to_pylist()), np.uint8).reshape(len(ids), -1)
+            reach = np.asarray(left.column("_reach"))
             query_ids, q = np.asarray(right.column("_id")), matrix(right.column("_v"), dim)
             tables = (t for lo in range(0, len(q), 64) for t in quantiser.tables(q[lo : lo + 64]))
-            out = list(zip(query_ids.tolist(), *zip(*_search(ids, x, codes, query_ids, q, tables, top, reranked))))
+            out = list(zip(query_ids.tolist(), *zip(*_search(ids, x, codes, reach, query_ids, q, tables, top, reranked))))
         n = [len(o[1]) for o in out]
         cat = lambda k, kind: np.concatenate([np.zeros(0, kind), *[o[k] for o in out]])
         return pa.table([pa.array(np.repeat(np.array([o[0] for o in out], np.int64), n)), pa.array(cat(1, np.int64)), pa.array(cat(2, np.float64))], ["query_id", "vec_id", "score"])
