@@ -80,6 +80,42 @@ def test_bytes_empty(spark):
     assert {r["doc_id"]: bytes(r["kept_bytes"]) for r in got} == {1: b"", 2: b"z"}
 
 
+def test_pieces_of_long_texts_after_empty_ones():
+    import pyarrow as pa
+
+    sizes = [0, 0, 600_000, 10, 0, 3 << 20, 0, 0, 270_000, 0, 100_000]
+    rng = np.random.default_rng(4)
+    raw = [rng.integers(97, 123, n).astype(np.uint8).tobytes() for n in sizes]
+    seen = [np.zeros(max(0, n - 199), int) for n in sizes]
+    for texts in (raw, [r for r in raw if r]):  # a text's pieces don't depend on what comes before it
+        where = [i for i, r in enumerate(raw) if r or len(texts) == len(raw)]
+        cut = {}
+        for x, off, first, begin in byte_dedup.pieces(pa.array([t.decode() for t in texts]), 200):
+            assert len(x) <= 2 * byte_dedup.PIECE and (begin == 0 or len(off) == 2)
+            for i, (a, b) in enumerate(zip(off.tolist(), off[1:].tolist())):
+                n = where[first + i]
+                assert x[a:b].tobytes() == raw[n][begin : begin + b - a]
+                seen[n][begin : begin + max(0, b - a - 199)] += 1
+                if b - a > byte_dedup.PIECE or begin:
+                    assert len(off) == 2
+                    cut.setdefault(n, []).append((begin, b - a))
+        assert len(cut[2]) == 3 and len(cut[5]) == 12 and cut[8] == [(0, 270_000)]
+    assert all((s == 2).all() for s in seen)
+
+
+def test_long_text_after_an_empty_one(spark):
+    """A passage near the end of a text of 3 MiB, and again near its begin; empty texts are in every block."""
+    rng = np.random.default_rng(6)
+    x = rng.integers(97, 123, 3 << 20).astype(np.uint8)
+    x[-5000:-4000] = x[1000:2000]
+    docs = [*[(k, "" if k % 2 else None) for k in range(100, 400)], (3, x.tobytes().decode()), (4, x[-4500:-4100].tobytes().decode())]
+    one = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in byte_dedup.remove_repeats(one).collect()}
+    assert got[3]["n_removed"] == 2000 and got[3]["n_spans"] == 2 and got[4]["n_removed"] == 400
+    kept = np.concatenate([x[:1000], x[2000:-5000], x[-4000:]]).tobytes()
+    assert got[3]["kept_sha256"] == sha(kept)
+
+
 def test_suffix_array_small():
     rng = np.random.default_rng(1)
     for trial in range(200):

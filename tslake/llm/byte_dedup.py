@@ -49,6 +49,7 @@ def marks(x: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
     h, w = rolling(x, gram), length - gram + 1
     if len(h) < w:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    assert len(h) <= 1 << _PLACE, "places would run into the hash"
     key = (h >> U(_PLACE) << U(_PLACE)) | np.arange(len(h), dtype=np.uint64)
     size = 1
     while size < w:
@@ -60,17 +61,22 @@ def marks(x: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray
 
 
 def pieces(texts: pa.Array, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, int, int]]:
-    """(bytes, offsets of the texts in them, number of the first text, begin in it): runs of whole texts, or parts of a long text that overlap by ``length`` - 1."""
+    """(bytes, offsets of the texts in them, number of the first text, begin in it): runs of whole texts, or parts of a long text that overlap by ``length`` - 1.
+
+    A text of more than ``PIECE`` bytes is by itself, whatever texts come before it.
+    """
     at = 0
     for part in slices(texts, PIECE):
         data, off, _ = utf8(part)
-        if len(part) > 1 or off[-1] - off[0] <= 2 * PIECE:
-            yield data[off[0] : off[-1]], off - off[0], at, 0
-        else:
-            x = data[off[0] : off[-1]]
-            for lo in range(0, len(x) - length + 1, PIECE):
-                piece = x[lo : lo + PIECE + length - 1]
-                yield piece, np.array([0, len(piece)]), at, lo
+        edges = np.unique([0, len(part), *[k for i in np.flatnonzero(np.diff(off) > PIECE).tolist() for k in (i, i + 1)]]).tolist()
+        for first, end in zip(edges, edges[1:]):
+            x, own = data[off[first] : off[end]], off[first : end + 1] - off[first]
+            if len(x) <= 2 * PIECE:
+                yield x, own, at + first, 0
+            else:
+                for lo in range(0, len(x) - length + 1, PIECE):
+                    piece = x[lo : lo + PIECE + length - 1]
+                    yield piece, np.array([0, len(piece)]), at + first, lo
         at += len(part)
 
 
