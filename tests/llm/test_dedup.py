@@ -116,6 +116,30 @@ def test_long_text_after_an_empty_one(spark):
     assert got[3]["kept_sha256"] == sha(kept)
 
 
+def test_memory_of_periodic_texts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    raw = b"q" * (2 << 20) + b"ab" * (1 << 20)
+    texts = pa.array([raw.decode()])
+    tracemalloc.start()
+    known, many = byte_dedup.distinct(byte_dedup.mark_hashes(texts, 200, 48))
+    ordered, again, seen = byte_dedup.folded(texts, 200, 48, known[many, 0])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 * len(raw)  # about 290 where each beginning holds its bytes
+    assert len(ordered) < 1000 and again.sum() >= 3 and seen[3].sum() >= len(raw) - 400
+    for k, _, begin, count in seen[:, ::9973].T.tolist():
+        assert ordered[k][1] == raw[begin : begin + count + 199]
+
+
+def test_periodic_texts(spark):
+    docs = [(1, "q" * 600_000), (2, "abc" * 200_000 + "z"), (3, "the end"), (4, "q" * 700 + "x" + "abc" * 100)]
+    got = byte_dedup.remove_repeats(table(spark, docs), texts=False).collect()
+    assert sorted(map(tuple, got), key=repr) == plain_bytes(docs, 200)
+
+
 def test_suffix_array_small():
     rng = np.random.default_rng(1)
     for trial in range(200):

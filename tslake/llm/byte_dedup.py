@@ -24,6 +24,8 @@ from tslake.llm.words import _BYTE, U, cover, mix, powers, sha
 LENGTH, GRAM = 200, 48
 #: Bytes of text whose marks are found at once; what a shard sorts at once, unless one mark has more.
 PIECE, SORTED = 1 << 18, 2 << 20
+#: Slices whose answers are read at once.
+SLICES_AT_ONCE = 1 << 13
 #: Low bits that hold a place within a piece while marks are chosen.
 _PLACE = 20
 
@@ -97,30 +99,43 @@ def runs_of_marks(x: np.ndarray, off: np.ndarray, length: int, gram: int) -> tup
 
 
 def mark_hashes(texts: pa.Array, length: int, gram: int) -> np.ndarray:
-    """The hash of each mark, once for each place where it is one."""
-    return np.concatenate([np.zeros(0, np.uint64), *[runs_of_marks(x, off, length, gram)[0] for x, off, _, _ in pieces(texts, length)]])
+    """The hash of each mark, twice if a piece has it at more than one place."""
+    out = [np.zeros(0, np.uint64)]
+    for x, off, _, _ in pieces(texts, length):
+        h, many = distinct(runs_of_marks(x, off, length, gram)[0])
+        out += [h[:, 0], h[many, 0]]
+    return np.concatenate(out)
 
 
-def block_slices(texts: pa.Array, length: int, gram: int, repeated: np.ndarray) -> Iterator[tuple[int, int, int, int, bytes]]:
-    """(mark, document, first beginning, number of beginnings, bytes) of each slice whose mark is repeated."""
+def block_slices(texts: pa.Array, length: int, gram: int, repeated: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, Iterator[tuple[int, bytes]]]]:
+    """For each piece the slices whose mark is repeated: documents, first beginnings, numbers of beginnings, and (mark, bytes) of each."""
     if not len(repeated):
         return
     for x, off, first, shift in pieces(texts, length):
         h, begin, count = runs_of_marks(x, off, length, gram)
         hit = np.flatnonzero(repeated[np.minimum(np.searchsorted(repeated, h), len(repeated) - 1)] == h)
-        doc = np.searchsorted(off, begin[hit], side="right") - 1
-        raw = x.tobytes() if len(hit) else b""
-        for m, d, a, n, base in zip(h[hit].tolist(), doc.tolist(), begin[hit].tolist(), count[hit].tolist(), off[doc].tolist()):
-            yield m, first + d, shift + a - base, n, raw[a : a + n + length - 1]
+        if len(hit):
+            begin, count, raw = begin[hit], count[hit], x.tobytes()
+            doc = np.searchsorted(off, begin, side="right") - 1
+            yield first + doc, shift + begin - off[doc], count, zip(h[hit].tolist(), (raw[a : a + n + length - 1] for a, n in zip(begin.tolist(), count.tolist())))
 
 
-def folded(found: list[tuple[int, int, int, int, bytes]]) -> tuple[list[tuple[int, bytes]], list[bool], dict]:
-    """Distinct slices in order of mark and bytes, whether each was seen again, and each one's number."""
-    count: dict[tuple[int, bytes], int] = {}
-    for m, _, _, _, raw in found:
-        count[m, raw] = count.get((m, raw), 0) + 1
-    ordered = sorted(count)
-    return ordered, [count[k] > 1 for k in ordered], {k: i for i, k in enumerate(ordered)}
+def folded(texts: pa.Array, length: int, gram: int, repeated: np.ndarray) -> tuple[list[tuple[int, bytes]], np.ndarray, np.ndarray]:
+    """Distinct slices in order of mark and bytes, whether each was seen again, and four rows of its number, document, first beginning and number of beginnings for each that was seen.
+
+    Slices are folded while they are found: in a text of a short period nearly every beginning is a slice of its own.
+    """
+    number: dict[tuple[int, bytes], int] = {}
+    seen = [np.zeros((4, 0), np.int32)]
+    for doc, begin, count, own in block_slices(texts, length, gram, repeated):
+        k = np.fromiter((number.setdefault(s, len(number)) for s in own), np.int32, len(doc))
+        seen.append(np.stack([k, doc, begin, count]).astype(np.int32))  # a text has less than 2^31 bytes
+    seen = np.concatenate(seen, axis=1)
+    ordered = sorted(number)
+    rank = np.zeros(len(ordered), np.int32)
+    rank[[number[s] for s in ordered]] = np.arange(len(ordered))
+    seen[0] = rank[seen[0]]
+    return ordered, np.bincount(seen[0], minlength=len(ordered)) > 1, seen
 
 
 def repeated_beginnings(raws: list[bytes], many: np.ndarray, length: int, memory: int = MEMORY) -> list[np.ndarray]:
@@ -212,12 +227,12 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     n = blocks.buckets
     first = answers(blocks.send(lambda block, own: message(block, n, *distinct(mark_hashes(own, length, gram)))), 1, 1)
 
-    def found(own: pa.Array, answer: pa.Table) -> list[tuple]:
+    def found(own: pa.Array, answer: pa.Table) -> tuple[list[tuple[int, bytes]], np.ndarray, np.ndarray]:
         known, _ = distinct(mark_hashes(own, length, gram))
-        return list(block_slices(own, length, gram, known[answered(answer, 1), 0]))
+        return folded(own, length, gram, known[answered(answer, 1), 0])
 
     def send(block: int, ids: pa.Array, own: pa.Array, answer: pa.Table) -> pa.Table:
-        ordered, many, _ = folded(found(own, answer))
+        ordered, many, _ = found(own, answer)
         out = []
         for bucket, lo, hi in bounds(np.array([m for m, _ in ordered], np.uint64), n):
             raws = [r for _, r in ordered[lo:hi]]
@@ -232,22 +247,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
     second = blocks.read(first, send, SLICES).groupBy("_bucket").applyInArrow(sort, ANSWER)
 
     def result(block: int, ids: pa.Array, own: pa.Array, answer: pa.Table) -> pa.Table:
-        some = found(own, answer)
-        ordered, _, number = folded(some)
+        ordered, _, seen = found(own, answer)
         bits = answered(answer, 2)
         at = np.cumsum([0, *[len(r) - length + 1 for _, r in ordered]])
-        begins: dict[int, list[np.ndarray]] = {}
-        for m, doc, a, count, raw in some:
-            k = number[m, raw]
-            hit = np.flatnonzero(bits[at[k] : at[k] + count])
-            if len(hit):
-                begins.setdefault(doc, []).append(a + hit)
+        edges = np.searchsorted(seen[1], np.arange(len(own) + 1)).tolist()
         rows, doc = [], 0
         for part in slices(own):
             data, off, _ = utf8(part)
             for i in range(len(part)):
                 x = data[off[i] : off[i + 1]]
-                gone = cover(np.concatenate(begins[doc]), length, len(x)) if doc in begins else np.zeros(len(x), bool)
+                gone = np.zeros(len(x), bool)
+                for lo in range(edges[doc], edges[doc + 1], SLICES_AT_ONCE):
+                    k, _, a, count = seen[:, lo : min(lo + SLICES_AT_ONCE, edges[doc + 1])].astype(np.int64)
+                    within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    gone[np.repeat(a, count) + within] = bits[np.repeat(at[k], count) + within]
+                if gone.any():
+                    gone = cover(np.flatnonzero(gone), length, len(x))
                 kept = x[~gone].tobytes()
                 rows.append((len(x), int(gone.sum()), int(np.count_nonzero(np.diff(gone.astype(np.int8), prepend=0) == 1)), sha(kept), kept if with_texts else None))
                 doc += 1
