@@ -72,6 +72,18 @@ def test_keep_one(spark, documents):
     assert forest.keep_one(table(spark, EDGE)).count() == len(EDGE) - 1
 
 
+def test_keep_one_judges_rows(spark):
+    """An id that comes with several texts."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    docs = [(1, a), (2, a + " more"), (2, b), (3, c), (3, c + " more"), (4, "one two"), (4, "one  two"), (5, b + " more"), (6, None), (6, ""), (None, a), (None, c)]
+    kept = [tuple(r) for r in forest.keep_one(table(spark, docs).select("doc_id", "text")).collect()]
+    assert (1, a) in kept and (2, b) in kept
+    assert not {(2, a + " more"), (5, b + " more")} & set(kept)
+    assert len({(3, c), (3, c + " more")} & set(kept)) == 1
+    assert len({(4, "one two"), (4, "one  two")} & set(kept)) == 1
+    assert sorted(map(repr, kept[:])) == sorted(map(repr, set(kept))) and len(kept) == 8
+
+
 def test_depth_reaches_the_recall():
     k = forest.depth(0.8)
     assert 1 - (1 - 0.8**k) ** forest.TRIES >= forest.RECALL > 1 - (1 - 0.8 ** (k + 1)) ** forest.TRIES

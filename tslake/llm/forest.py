@@ -237,10 +237,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each class, that of the least id; all columns stay.
+    """``docs`` with one row of each class, that of the least id (and of one id the least hash of the text); all columns stay.
 
-    Documents without words, which are like none, and rows with a null id stay; rows that repeat id and text become one.
+    Rows are judged, not ids: where an id comes with several texts, each is kept or dropped by its own class, and of
+    near-equal texts under one id one stays. Documents without words, which are like none, and rows with a null id
+    stay; rows that repeat id and text become one.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti").dropDuplicates([id_col, text_col])
+    row = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    found = near_duplicates(docs.select(F.when(F.col(id_col).isNotNull(), row).alias(id_col), text_col), id_col, text_col)
+    gone = found.filter(F.col("class_id") != F.col(id_col)).select(F.col(id_col)["id"].alias("_gone"), F.col(id_col)["hash"].alias("_gone_hash")).distinct()
+    same = (docs[id_col] == gone["_gone"]) & (F.xxhash64(docs[text_col]) == gone["_gone_hash"])
+    return docs.join(gone, same, "left_anti").dropDuplicates([id_col, text_col])
