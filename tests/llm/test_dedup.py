@@ -170,7 +170,7 @@ def test_runs_of_words():
     x = np.frombuffer(text.encode(), np.uint8)
     starts, ends, counts, h = W.words(x, np.array([0, 12, len(x)]), W.BLANK_SEPARATED)
     assert [bytes(x[a:b]).decode() for a, b in zip(starts, ends)] == ["aa", "b", "aa", "b", "aa", ",", "c", "é", "aa", "b"] and counts.tolist() == [5, 5]
-    two = W.runs(h, 2)
+    two = W.runs(h[0], 2)
     assert two[0] == two[2] == two[8] and len(set(two.tolist())) == 6
     assert W.inside(counts, 2).tolist() == [True] * 4 + [False] + [True] * 4
 

@@ -50,8 +50,8 @@ class Packer:
         self.open: list[tuple[int, list[Piece]]] = []
         self.closed: list[list[Piece]] = []
 
-    def put(self, piece: Piece) -> list[Piece]:
-        """Places a piece of less than a window; returns the parts that it was placed as."""
+    def put(self, piece: Piece) -> None:
+        """Places a piece of less than a window, cut in two where it fits nowhere whole."""
         n = len(piece)
         fit = min((k for k, (used, _) in enumerate(self.open) if used + n <= self.window), key=lambda k: -self.open[k][0], default=None)
         if fit is not None:
@@ -60,15 +60,15 @@ class Packer:
             self.open[fit] = (used + n, pieces)
             if used + n == self.window:
                 self.closed.append(self.open.pop(fit)[1])
-            return [piece]
+            return
         if len(self.open) < self.most:
             self.open.append((n, [piece]))
-            return [piece]
+            return
         k = max(range(len(self.open)), key=lambda k: self.open[k][0])
         used, pieces = self.open.pop(k)
         head, rest = piece.cut(self.window - used)
         self.closed.append([*pieces, head])
-        return [head, *self.put(rest)]
+        self.put(rest)
 
 
 def _rows(sequences: list[tuple[int, list[Piece]]], kept: bool) -> list[tuple]:
@@ -96,24 +96,20 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, window: int, m
         for texts in slices(batch.column(1)):
             ids = batch.column(0).slice(at, len(texts)).to_pylist()
             at += len(texts)
-            pending, start, placed = b"", 0, []
-            for i, more, last in token_ids(texts, path):
+            pending, start = b"", 0
+            for i, more, last, n in token_ids(texts, path):
                 pending += more + end if last else more
                 while len(pending) >= 4 * window:
-                    placed.append(Piece(ids[i], start, pending[: 4 * window]))
-                    packer.closed.append([placed[-1]])
+                    packer.closed.append([Piece(ids[i], start, pending[: 4 * window], n + 1)])
                     pending, start = pending[4 * window :], start + window
                 if last:
-                    total = start + (len(pending) >> 2)
                     if pending:
-                        placed += packer.put(Piece(ids[i], start, pending))
-                    for p in placed:
-                        p.total = total
-                    pending, start, placed = b"", 0, []
-                    if len(packer.closed) > 4096:
-                        yield out(_rows(list(enumerate(packer.closed, (part << _ID_BITS) + number)), False))
-                        number += len(packer.closed)
-                        packer.closed = []
+                        packer.put(Piece(ids[i], start, pending, n + 1))
+                    pending, start = b"", 0
+                if len(packer.closed) > 4096:
+                    yield out(_rows(list(enumerate(packer.closed, (part << _ID_BITS) + number)), False))
+                    number += len(packer.closed)
+                    packer.closed = []
     yield out(_rows(list(enumerate(packer.closed, (part << _ID_BITS) + number)), False))
     yield out(_rows([(k, pieces) for k, (_, pieces) in enumerate(packer.open)], True))
 
@@ -141,8 +137,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, open_window
 
     A document is its token ids and then the id 0; null text counts as empty (that one id). A null id stays null,
     repeated rows are documents of their own, an empty table gives no rows, other columns are ignored. Memory of a
-    task: the open windows and about a megabyte of text, whatever a document's length. The partitions' full windows
-    and leftovers are checkpointed once, so a lost executor repeats its own partition only.
+    task: the open windows, at most 4096 full ones, and a text with the ids of one of its parts; long texts are counted
+    before they are packed, so that their windows leave at once. The partitions' full windows and leftovers are checkpointed once, so a lost executor repeats its own partition only.
     """
     kind = docs.schema[id_col].dataType
     docs = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))

@@ -8,6 +8,7 @@ boundary stay whole.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tslake.llm.common import slices, utf8
-from tslake.llm.words import _BYTE, mix, powers
+from tslake.llm.words import _MASKS, eight, mix
 
 #: Characters after which a long text is cut at the next safe boundary.
 SEGMENT_CHARS = 1 << 16
@@ -53,6 +54,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.value = Tokenizer.from_file(path), value
+        self.known_split = splits_as_known(path)
         self.first: dict[str, object] = {}  # parts as they are
         self.later: dict[str, object] = {}  # parts that a space precedes, without it
 
@@ -62,7 +64,9 @@ class Encoder:
         return _SAFE.split(segment) if unsafe else segment.split(" ")
 
     def values(self, batch: list[str]) -> list[list]:
-        """For each segment of ``batch``, the values of its parts in order."""
+        """For each segment of ``batch``, the values of its parts in order; whole texts where the file's split isn't known."""
+        if not self.known_split:
+            return [[self.value(e)] for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
         if len(self.later) + len(self.first) > MEMO_PARTS:
             self.first.clear()
             self.later.clear()
@@ -123,28 +127,43 @@ class Encoder:
 _CLASS = np.array([3 if c in (9, 10, 13, 32) else 4 if c < 32 or c == 39 or c >= 127 else 1 if chr(c).isalpha() else 2 if chr(c).isdigit() else 0 for c in range(256)], np.uint8)
 #: Known words of a worker's table, and its slots (a power of two).
 TABLE_WORDS, TABLE_SLOTS = 1_000_000, 1 << 21
+#: Bytes of words of more than 16 bytes, and ids, that a table holds before it starts afresh.
+TABLE_HELD = 16 << 20
 #: Text bytes up to which a run of texts is encoded by table; longer texts go by segments.
 TABLE_BYTES = 4 << 20
 
 
+def splits_as_known(path: str) -> bool:
+    """Whether a file splits texts by the byte-level pattern that ``WordTable`` and ``Encoder`` know, and nothing else changes them."""
+    with open(path, encoding="utf-8") as f:
+        own = json.load(f)
+    split = own.get("pre_tokenizer") or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+    return bool(plain and not own.get("normalizer") and not (own.get("model") or {}).get("dropout"))
+
+
 class WordTable:
     """Ids of the tokenizer's pre-split words, found for all words of many texts at once.
 
     Texts of ASCII and Latin-1 letters, digits, marks and plain white space are split with numpy as the tokenizer's
-    pre-split does it; all others, and those with apostrophes or special strings, are left to ``Encoder``. A word is
-    known by two 64-bit hashes and its length; unknown ones are encoded by the tokenizer, each once.
+    pre-split does it; all others, and those with apostrophes or special strings, are left to ``Encoder``, and so is
+    everything where the file's pre-split is another. A word of up to 16 bytes is known by these bytes themselves, as
+    two numbers (plain texts hold no zero byte), a longer one is looked up in a dictionary; unknown ones are encoded by
+    the tokenizer, each once.
     """
 
     def __init__(self, path: str):
         self.rest = Encoder(path, lambda e: array("I", e.ids).tobytes())
         self.tokenizer = self.rest.tokenizer
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known_split = splits_as_known(path)
         self.forget()
 
     def forget(self) -> None:
         self.one, self.two = np.zeros(TABLE_SLOTS, np.uint64), np.zeros(TABLE_SLOTS, np.uint64)
         self.entry = np.full(TABLE_SLOTS, -1, np.int32)
-        self.size, self.used = 0, 0
+        self.size, self.used, self.held = 0, 0, 0
+        self.long: dict[bytes, int] = {}
         self.begin, self.count, self.pool = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
 
     def plain(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,7 +173,7 @@ class WordTable:
         tail = data[lead + 1]
         lead = lead[(tail >= 0x80) & (tail < 0xC0) & (tail != 0x97) & (tail != 0xB7)]
         c[lead] = c[lead + 1] = 1
-        good = np.ones(len(off) - 1, bool)
+        good = np.full(len(off) - 1, self.known_split)
         good[np.searchsorted(off, np.flatnonzero(c == 4), side="right") - 1] = False
         raw = data.tobytes()
         for special in self.special:
@@ -176,11 +195,11 @@ class WordTable:
         begins[after - 1] = True
         return np.flatnonzero(begins)
 
-    def _slots(self, one: np.ndarray) -> np.ndarray:
-        return (one >> np.uint64(64 - TABLE_SLOTS.bit_length() + 1)).astype(np.int64)
+    def _slots(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        return (mix(one * np.uint64(0x9E3779B97F4A7C15) + two) >> np.uint64(64 - TABLE_SLOTS.bit_length() + 1)).astype(np.int64)
 
     def find(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-        out, todo, slot = np.full(len(one), -1, np.int32), np.arange(len(one)), self._slots(one)
+        out, todo, slot = np.full(len(one), -1, np.int32), np.arange(len(one)), self._slots(one, two)
         while len(todo):
             e = self.entry[slot]
             hit = (self.one[slot] == one[todo]) & (self.two[slot] == two[todo]) & (e >= 0)
@@ -190,7 +209,20 @@ class WordTable:
         return out
 
     def add(self, one: np.ndarray, two: np.ndarray, words: list[str]) -> None:
-        """Encodes new words; their hashes are distinct."""
+        """Encodes new words of up to 16 bytes; their pairs of numbers are distinct."""
+        n = len(words)
+        name, slot = self._store(words), self._slots(one, two)
+        todo = np.arange(n)
+        while len(todo):
+            free = todo[self.entry[slot[todo]] < 0]
+            self.entry[slot[free]] = name[free]
+            won = free[self.entry[slot[free]] == name[free]]
+            self.one[slot[won]], self.two[slot[won]] = one[won], two[won]
+            todo = np.setdiff1d(todo, won, assume_unique=True)
+            slot[todo] = (slot[todo] + 1) & (TABLE_SLOTS - 1)
+
+    def _store(self, words: list[str]) -> np.ndarray:
+        """Encodes ``words`` and returns the numbers under which their ids are kept."""
         ids: list[int] = []
         sizes: list[int] = []
         for i in range(0, len(words), 2048):
@@ -207,42 +239,39 @@ class WordTable:
         self.begin[self.size : self.size + n] = self.used + np.cumsum(size) - size
         self.count[self.size : self.size + n] = size
         self.pool[self.used : self.used + m] = ids
-        name, slot = np.arange(self.size, self.size + n, dtype=np.int32), self._slots(one)
         self.size, self.used = self.size + n, self.used + m
-        todo = np.arange(n)
-        while len(todo):
-            free = todo[self.entry[slot[todo]] < 0]
-            self.entry[slot[free]] = name[free]
-            won = free[self.entry[slot[free]] == name[free]]
-            self.one[slot[won]], self.two[slot[won]] = one[won], two[won]
-            todo = np.setdiff1d(todo, won, assume_unique=True)
-            slot[todo] = (slot[todo] + 1) & (TABLE_SLOTS - 1)
+        return np.arange(self.size - n, self.size, dtype=np.int32)
 
     def entries(self, data: np.ndarray, c: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(entry of each word, words of each text) of plain texts."""
         begins = self.split(data, c, off)
         ends = np.append(begins[1:], len(data))
-        lanes = []
-        x = _BYTE[data]
-        for lane in (0, 1):
-            p, inverse = powers(lane, len(data) + 1)
-            sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(x * p[: len(data)], out=sums[1:])
-            lanes.append(mix((sums[ends] - sums[begins]) * inverse[begins] + (ends - begins).astype(np.uint64)))
-        one, two = lanes
+        size, own = ends - begins, eight(data)
+        one, two = own[begins] & _MASKS[np.minimum(size, 8)], np.zeros(len(begins), np.uint64)
+        more = np.flatnonzero(size > 8)
+        two[more] = own[begins[more] + 8] & _MASKS[np.minimum(size[more] - 8, 8)]
         found = self.find(one, two)
+        long = np.flatnonzero(size > 16)
+        found[long] = 0
         new = np.flatnonzero(found < 0)
         if len(new):
-            _, at = np.unique(one[new], return_index=True)
-            at = new[at]
-            raw = data.tobytes()
-            self.add(one[at], two[at], [raw[a:b].decode() for a, b in zip(begins[at].tolist(), ends[at].tolist())])
+            order = new[np.lexsort((two[new], one[new]))]
+            at = order[np.concatenate([[True], (one[order[1:]] != one[order[:-1]]) | (two[order[1:]] != two[order[:-1]])])]
+            raw = memoryview(data)
+            self.add(one[at], two[at], [bytes(raw[a:b]).decode() for a, b in zip(begins[at].tolist(), ends[at].tolist())])
             found[new] = self.find(one[new], two[new])
+        if len(long):
+            raw = memoryview(data)
+            spelt = [bytes(raw[a:b]) for a, b in zip(begins[long].tolist(), ends[long].tolist())]
+            unknown = list(set(spelt).difference(self.long))
+            self.long.update(zip(unknown, self._store([w.decode() for w in unknown]).tolist()))
+            self.held += sum(map(len, unknown))
+            found[long] = [self.long[w] for w in spelt]
         return found, np.diff(np.searchsorted(begins, off))
 
     def encode(self, texts: pa.Array, lengths_only: bool = False):
         """Counts of each text's tokens, and all ids in order unless ``lengths_only``."""
-        if self.size > TABLE_WORDS:
+        if self.size > TABLE_WORDS or self.held > TABLE_HELD or self.used > TABLE_HELD:
             self.forget()
         data, off, _ = utf8(texts)
         data, off = data[off[0] : off[-1]], off - off[0]
@@ -289,20 +318,28 @@ def token_lengths(texts: pa.Array, path: str) -> list[int]:
     """Token counts of whole texts."""
     table = word_table(path)
     if _long(texts):
-        return [sum(len(ids) >> 2 for _, ids, _ in encoded([t or ""], table.rest)) for t in texts.to_pylist()]
+        counts = [0] * len(texts)
+        for i, ids, _ in encoded([t or "" for t in texts.to_pylist()], table.rest):
+            counts[i] += len(ids) >> 2
+        return counts
     return table.encode(texts, lengths_only=True)[0].tolist()
 
 
-def token_ids(texts: pa.Array, path: str) -> Iterator[tuple[int, bytes, bool]]:
-    """(index of the text, little-endian 32-bit ids of its next part, whether that is its last part)."""
+def token_ids(texts: pa.Array, path: str) -> Iterator[tuple[int, bytes, bool, int]]:
+    """(index of the text, little-endian 32-bit ids of its next part, whether that is its last part, number of its ids).
+
+    A text that is encoded in several parts is counted first, so that no part waits for the last one.
+    """
     table = word_table(path)
     if _long(texts):
-        yield from encoded([t or "" for t in texts.to_pylist()], table.rest)
+        counts = token_lengths(texts, path)
+        for i, ids, last in encoded([t or "" for t in texts.to_pylist()], table.rest):
+            yield i, ids, last, counts[i]
         return
     counts, flat = table.encode(texts)
     at = np.cumsum(counts)
     for i, (a, b) in enumerate(zip((at - counts).tolist(), at.tolist())):
-        yield i, flat[a:b].tobytes(), True
+        yield i, flat[a:b].tobytes(), True, b - a
 
 
 def _long(texts: pa.Array) -> bool:
@@ -348,7 +385,7 @@ def encoded(texts: list[str], by: Encoder, most: int = 1 << 20) -> Iterator[tupl
 
     for i, text in enumerate(texts):
         held = None
-        for s in segments(text):
+        for s in segments(text) if by.known_split else [text]:
             if held is not None:
                 batch.append(held)
                 owner.append((i, False))

@@ -45,8 +45,8 @@ def anchor_hashes(texts: pa.Array, c: Cover) -> np.ndarray:
     out = [np.zeros(0, np.uint64)]
     for part in slices(texts):
         data, off, _ = utf8(part)
-        *_, counts, h = words(data, off, BLANK_SEPARATED)
-        grams = runs(h, c.length)
+        *_, counts, h = words(data, off, BLANK_SEPARATED, lanes=1)
+        grams = runs(h[0], c.length)
         out.append(grams[_at(counts, c, len(grams))])
     return np.concatenate(out)
 
@@ -56,14 +56,15 @@ def candidate_windows(texts: pa.Array, c: Cover, repeated: np.ndarray) -> Iterat
     for part in slices(texts):
         data, off, _ = utf8(part)
         starts, ends, counts, h = words(data, off, BLANK_SEPARATED)
-        grams, ok = runs(h, c.length), inside(counts, c.window)
+        grams, ok = runs(h[0], c.length), inside(counts, c.window)
         at = _at(counts, c, len(grams))
         hit = at[_in_sorted(grams[at], repeated)]
-        around = np.zeros(len(h) + c.period, bool)
+        n = h.shape[1]
+        around = np.zeros(n + c.period, bool)
         if len(hit):
-            around = cover(hit, c.period, len(h) + c.period)  # windows beginning at hit - period + 1 ... hit, moved by period - 1
+            around = cover(hit, c.period, n + c.period)  # windows beginning at hit - period + 1 ... hit, moved by period - 1
         place = np.flatnonzero(around[c.period - 1 :][: len(ok)] & ok)
-        yield data, starts, ends, counts, place, runs(h, c.window, 1)[place], runs(h, c.window, 2)[place]
+        yield data, starts, ends, counts, place, runs(h[0], c.window, 0)[place], runs(h[1], c.window, 1)[place]
 
 
 def _in_sorted(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:

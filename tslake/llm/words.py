@@ -1,7 +1,9 @@
 """Words of many texts at once: their places and hashes, and hashes of runs of words, with numpy.
 
 Word bytes are given as a table of 256 booleans, which is enough for patterns that treat all bytes of a multi-byte
-character alike. Hashes are 64-bit polynomial sums over words, mixed; runs of words use two of them (128 bits).
+character alike. A hash has one or two lanes of 64 bits with their own constants. It takes a word's eight bytes at a
+time and mixes after each step by shifts and products, as joins of runs do: sums of powers modulo 2**64, which collide
+on regular strings whatever their base, are used where nothing depends on equality alone (``powers``).
 """
 
 from __future__ import annotations
@@ -14,7 +16,11 @@ U = np.uint64
 _RNG = np.random.Generator(np.random.PCG64(20240501))
 _BYTE = _RNG.integers(1, 2**63, 256, dtype=np.uint64)
 _BASES = (_RNG.integers(1, 2**62, 3, dtype=np.uint64) * U(8) + U(5)).tolist()
-_CUT = 1 << 18
+#: Keys of two lanes, four odd numbers each; masks of the first 0 to 8 bytes.
+_KEYS = _RNG.integers(1, 2**63, (2, 4), dtype=np.uint64) * U(2) + U(1)
+_MASKS = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: Bytes beyond which a word is hashed by itself.
+LONG_WORD = 512
 
 #: ``[^\\x20\\x09-\\x0D]+``
 BLANK_SEPARATED = np.array([c not in (9, 10, 11, 12, 13, 32) for c in range(256)])
@@ -50,12 +56,52 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def words(data: np.ndarray, off: np.ndarray, kind: np.ndarray, fold: np.ndarray | None = None):
-    """(starts, ends, count per text, hashes) of the words of texts ``data[off[i]:off[i+1]]``; places are in ``data``."""
+def _step(h: np.ndarray, lane: int) -> np.ndarray:
+    """One keyed step of a lane: distinct values stay distinct."""
+    h = h * _KEYS[lane, 0]
+    h ^= h >> U(32)
+    h *= _KEYS[lane, 1]
+    h ^= h >> U(29)
+    return h
+
+
+def eight(data: np.ndarray) -> np.ndarray:
+    """The eight bytes that begin at each place of ``data``, as one number each; zeros follow the end."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def spelled(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lanes: int = 2) -> np.ndarray:
+    """(lanes x words) hashes of ``data[starts[i]:ends[i]]``, by eight bytes at a time, each step mixed."""
+    size = ends - starts
+    h = np.empty((lanes, len(starts)), np.uint64)
+    if not lanes:
+        return h
+    at, todo, own = starts, np.arange(len(starts)), eight(data)
+    for lane in range(lanes):
+        h[lane] = size.astype(np.uint64) * _KEYS[lane, 2] + _KEYS[lane, 3]
+    long = size > LONG_WORD
+    if long.any():
+        for i in np.flatnonzero(long).tolist():
+            h[:, i] = np.frombuffer(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=16).digest(), np.uint64)[:lanes]
+        todo = np.flatnonzero(~long)
+    done = 0
+    while len(todo):
+        left = size[todo] - done
+        x = own[at[todo] + done] & _MASKS[np.minimum(left, 8)]
+        for lane in range(lanes):
+            h[lane, todo] = _step(h[lane, todo] ^ x, lane)
+        todo, done = todo[left > 8], done + 8
+    return h
+
+
+def words(data: np.ndarray, off: np.ndarray, kind: np.ndarray, fold: np.ndarray | None = None, lanes: int = 2):
+    """(starts, ends, count per text, lanes x hashes) of the words of texts ``data[off[i]:off[i+1]]``; places are in ``data``."""
     base, last = int(off[0]), int(off[-1])
     fresh = np.zeros(last - base + 1, bool)  # a text begins here
     fresh[off - base] = True
-    w = kind[data[base:last]]
+    own = data[base:last]
+    w = kind[own]
     before = np.empty(len(w) + 1, bool)
     before[0] = False
     before[1:] = w
@@ -63,32 +109,35 @@ def words(data: np.ndarray, off: np.ndarray, kind: np.ndarray, fold: np.ndarray
     starts = np.flatnonzero(after & (~before | fresh))
     ends = np.flatnonzero(before & (~after | fresh))
     counts = np.diff(np.searchsorted(starts, off - base))
-    hashes = np.empty(len(starts), np.uint64)
-    lo = 0
-    while lo < len(starts):  # in parts, so that the sums of long texts stay small
-        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + _CUT)))
-        a, b = int(starts[lo]), int(ends[hi - 1])
-        x = data[base + a : base + b]
-        p, inverse = powers(0, b - a + 1)
-        sums = np.empty(b - a + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(_BYTE[x if fold is None else fold[x]] * p[: b - a], out=sums[1:])
-        s, e = starts[lo:hi] - a, ends[lo:hi] - a
-        hashes[lo:hi] = (sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64)
-        lo = hi
-    return starts + base, ends + base, counts, mix(hashes)
-
-
-def runs(hashes: np.ndarray, n: int, lane: int = 1) -> np.ndarray:
-    """Hashes of all ``n`` consecutive word hashes, wherever they begin (boundaries of texts aren't looked at)."""
+    return starts + base, ends + base, counts, spelled(own if fold is None else fold[own], starts, ends, lanes)
+
+
+def runs(hashes: np.ndarray, n: int, lane: int = 0) -> np.ndarray:
+    """Hashes of all ``n`` consecutive word hashes, wherever they begin (boundaries of texts aren't looked at).
+
+    Runs are put together from runs of powers of two, and each join is mixed.
+    """
     m = len(hashes)
     if m < n:
         return np.zeros(0, np.uint64)
-    p, inverse = powers(lane, m + 1)
-    sums = np.empty(m + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum((hashes ^ U(_BASES[lane] >> 1)) * p[:m], out=sums[1:])
-    return mix((sums[n:] - sums[:-n]) * inverse[: m - n + 1])
+    level, size, out, taken = hashes, 1, None, 0
+    while True:
+        if n & size:
+            most = m - taken - size + 1
+            out = level if out is None else _step(out[:most] * _KEYS[lane, 2] + level[taken : taken + most], lane)
+            taken += size
+        if 2 * size > n:
+            return out[: m - n + 1]
+        level = _step(level[:-size] * _KEYS[lane, 3] + level[size:], lane)
+        size *= 2
+
+
+def sequences(hashes: np.ndarray, counts: np.ndarray, lane: int = 0) -> np.ndarray:
+    """A hash of each text's whole sequence of words: a sum of values that depend on word and place."""
+    end = np.cumsum(counts)
+    place = (np.arange(len(hashes)) - np.repeat(end - counts, counts)).astype(np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_step(hashes + place * _KEYS[lane, 2], lane))])
+    return _step(sums[end] - sums[end - counts] + counts.astype(np.uint64) * _KEYS[lane, 3], lane)
 
 
 def inside(counts: np.ndarray, n: int) -> np.ndarray:
