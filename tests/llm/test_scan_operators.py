@@ -52,7 +52,7 @@ def test_word_table_is_the_tokenizer():
     want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
     assert tokens.token_lengths(pa.array(texts), path) == list(map(len, want))
     got: dict[int, bytes] = {}
-    for i, ids, _ in tokens.token_ids(pa.array(texts), path):
+    for i, ids, *_ in tokens.token_ids(pa.array(texts), path):
         got[i] = got.get(i, b"") + ids
     assert all(got[i] == b"".join(x.to_bytes(4, "little") for x in w) for i, w in enumerate(want))
     table = tokens.WordTable(path)
@@ -88,19 +88,19 @@ def plain_contamination(text, items):
     return len(own), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), len(hit) > 0 and 20 * len(hit) >= len(own)
 
 
-@pytest.mark.parametrize("part", [decontam.BROADCAST_BYTES, 3000])
-def test_contamination(spark, documents, part):
+@pytest.mark.parametrize("rows", [decontam.BROADCAST_ROWS, 0])
+def test_contamination(spark, documents, rows):
     items = [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     items += [(900, None), (901, "!!"), (902, "Plain-WORDS"), (902, "Plain-WORDS"), (None, "id is"), (903, items[0][1])]
     some = documents[:60] + documents[-len(EDGE) :] + [(77, "Before. " + items[0][1] + " after"), (78, "x " * 3000 + items[1][1])]
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = decontam.contamination(table(spark, some), bench, broadcast_bytes=part).drop("items").collect()
+    got = decontam.contamination(table(spark, some), bench, broadcast_rows=rows).drop("items").collect()
     want = [(i, *plain_contamination(t, items)) for i, t in some]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
-    kept = decontam.drop_contaminated(table(spark, some), bench)
+    kept = decontam.drop_contaminated(table(spark, some), bench, broadcast_rows=rows)
     assert kept.columns == ["doc_id", "text", "n_words", "_p0"]
     assert kept.count() == sum(not w[-1] for w in want)
-    assert decontam.contamination(table(spark, some), bench.limit(0)).filter("n_hit > 0").count() == 0
+    assert decontam.contamination(table(spark, some), bench.limit(0), broadcast_rows=rows - 1).filter("n_hit > 0").count() == 0
 
 
 def plain_base(text):

@@ -37,18 +37,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` stored in the shared checkpoint folder, its lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; where that is unset, a temporary folder, which only a local master may use."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    return named or tempfile.mkdtemp(prefix="spark-")
+
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset, as in local tests, a fresh
-    temporary folder is taken.
-    """
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` stored in the session's shared folder, its lineage cut."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def fresh(df: DataFrame, stem: str) -> str:
+    """A column name that begins with ``stem`` and that no column of ``df`` begins with, whatever its case."""
+    taken, name = [c.lower() for c in df.columns], f"_{stem}"
+    while any(c.startswith(name) for c in taken):
+        name += "_"
+    return name
+
+
 def text_bytes(df: DataFrame, text_col: str) -> int:
     """UTF-8 bytes of the whole text column (0 for an empty table)."""
     return int(df.agg(F.sum(F.octet_length(text_col))).first()[0] or 0)

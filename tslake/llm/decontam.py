@@ -1,26 +1,32 @@
 """Benchmark decontamination by winnowing.
 
 The fingerprint of a window of 13 words is the least hash of its 9 five-word grams, so a shared window always shares a
-fingerprint. Documents' chosen grams are joined with the test set's fingerprints; each hit is extended to the windows
-around it, and a window counts only if the hash of all its 13 words (128 bits) is a test window's. Items of fewer than
-13 words are one window of their own length, which no fixed gram is sure to mark; they are looked up by their length.
+fingerprint. The test set's windows are a table (length, two hashes, fingerprint, item). Where its measured size allows,
+it is broadcast; else documents' windows whose fingerprint passes a bitmap of fixed size are joined with it. Each hit is
+extended to the windows around it, and a window counts only if the hash of all its words (128 bits) is a test window's.
+Items of fewer than 13 words are one window of their own length, whose fingerprint is its own hash.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tslake.llm.common import SLICE_BYTES, slices, utf8
+from tslake.llm.common import checkpointed, fresh, slices, utf8
 from tslake.llm.words import ALPHANUMERIC, LOWER, cover, inside, runs, sha, words
 
-#: Text bytes of the test set that one broadcast holds; a larger test set is cut into parts, each broadcast by itself.
-BROADCAST_BYTES = 16 << 20
+#: Rows and bytes of item names of the windows' table up to which it is broadcast (some 40 bytes a row besides the name).
+BROADCAST_ROWS, BROADCAST_NAMES = 500_000, 16 << 20
 WINDOW, GRAM = 13, 5
+#: Bits of the bitmap of fingerprints: 2 ** 27 are 16 MiB, whatever the test set's size.
+SIEVE_BITS = 27
+
+_WINDOW = "n int, a bigint, b bigint, mark bigint"
 
 
 def sliding(x: np.ndarray, n: int, least: bool) -> np.ndarray:
@@ -33,55 +39,74 @@ def sliding(x: np.ndarray, n: int, least: bool) -> np.ndarray:
     return out
 
 
+def fingerprints(hashes: np.ndarray, window: int, gram: int) -> np.ndarray:
+    """The least gram hash of every run of ``window`` words."""
+    return sliding(runs(hashes, gram), window - gram + 1, True)
+
+
+def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """(n, a, b, mark, item): the distinct windows of the test set and the items that hold them; items as strings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for part in slices(batch.column(1)):
+                names = batch.column(0).slice(at, len(part))
+                at += len(part)
+                data, off, _ = utf8(part)
+                *_, counts, h = words(data, off, ALPHANUMERIC, LOWER)
+                first = np.cumsum(counts) - counts
+                for n in np.unique(np.minimum(counts[counts > 0], window)).tolist():
+                    a, b = runs(h[0], n, 0), runs(h[1], n, 1)
+                    place = np.flatnonzero(inside(counts, n)) if n == window else first[counts == n]
+                    mark = fingerprints(h[0], window, gram) if n == window else a
+                    owner = np.searchsorted(np.cumsum(counts), place, side="right")
+                    own = [pa.array(x[place].view(np.int64)) for x in (a, b, mark)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(place), n, np.int32)), *own, names.take(pa.array(owner))], ["n", "a", "b", "mark", "item"])
+
+    known = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(id_col).cast("string"), F.col(text_col))
+    return known.mapInArrow(run, f"{_WINDOW}, item string").distinct()
+
+
 class Fingerprints:
-    """Windows of a test set: hash to items, and the fingerprints that documents are joined with."""
+    """The windows' table in memory: by length, sorted hashes and the items of each; and the sorted fingerprints of full windows."""
 
-    def __init__(self, items: list[tuple[object, str]], window: int = WINDOW, gram: int = GRAM):
+    def __init__(self, table: pa.Table, window: int = WINDOW, gram: int = GRAM):
         self.window, self.gram = window, gram
-        owners: dict[tuple[int, int, int], set] = defaultdict(set)
-        marks: list[np.ndarray] = []
-        for item, text in items:
-            raw = np.frombuffer((text or "").encode(), np.uint8)
-            *_, h = words(raw, np.array([0, len(raw)]), ALPHANUMERIC, LOWER)
-            n = min(window, len(h))
-            if n:
-                for a, b in zip(runs(h, n, 1).tolist(), runs(h, n, 2).tolist()):
-                    owners[n, a, b].add(None if item is None else str(item))
-            if n == window:
-                marks.append(sliding(runs(h, gram), window - gram + 1, True))
-        self.marks = np.unique(np.concatenate(marks)) if marks else np.zeros(0, np.uint64)
-        self.lengths: dict[int, tuple[np.ndarray, np.ndarray, list[set]]] = {}
-        for n in {k[0] for k in owners}:
-            keys = sorted(k for k in owners if k[0] == n)
-            self.lengths[n] = (np.array([k[1] for k in keys], np.uint64), np.array([k[2] for k in keys], np.uint64), [owners[k] for k in keys])
-
-    def candidates(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Places where a window of full length may be a test window: those around a chosen gram that the test set has."""
-        grams, w = runs(hashes, self.gram), self.window - self.gram + 1
-        ok = inside(counts, self.window)
+        n, a, b, mark = (np.asarray(table.column(c)) for c in ("n", "a", "b", "mark"))
+        a, b, mark = a.view(np.uint64), b.view(np.uint64), mark.view(np.uint64)
+        self.items = table.column("item").to_pylist()
+        self.marks = np.unique(mark[n == window])
+        self.lengths: dict[int, tuple[np.ndarray, ...]] = {}
+        for k in np.unique(n).tolist():
+            own = np.flatnonzero(n == k)
+            own = own[np.lexsort((b[own], a[own]))]
+            self.lengths[k] = (a[own], b[own], own)
+
+    def candidates(self, hashes: np.ndarray, ok: np.ndarray) -> np.ndarray:
+        """Places where a window of full length may be a test window: those whose fingerprint the test set has."""
         if not ok.any() or not len(self.marks):
             return np.zeros(0, np.int64)
-        low = np.where(ok, sliding(grams, w, True), np.uint64(0))
-        padded = np.concatenate([np.zeros(w - 1, np.uint64), low, np.zeros(w - 1, np.uint64)])
-        chosen = np.flatnonzero(sliding(padded, w, False) == grams)
-        hit = chosen[_isin(grams[chosen], self.marks)]
-        around = np.unique((hit[:, None] - np.arange(w)).ravel())
-        around = around[(around >= 0) & (around < len(ok))]
-        return around[ok[around]]
-
-    def windows(self, hashes: np.ndarray, counts: np.ndarray):
-        """(length, place, items) of each occurrence of a test window."""
-        for n, (first, second, owners) in self.lengths.items():
-            if len(hashes) < n:
+        return np.flatnonzero(_isin(fingerprints(hashes, self.window, self.gram), self.marks) & ok)
+
+    def windows(self, hashes: np.ndarray, counts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each length the places of test windows, and rows of the table for each (a place may come with several)."""
+        for n, (first, second, row) in self.lengths.items():
+            ok = inside(counts, n)
+            if not len(ok):
                 continue
-            a, b = runs(hashes, n, 1), runs(hashes, n, 2)
-            at = self.candidates(hashes, counts) if n == self.window else np.flatnonzero(_isin(a, np.unique(first)) & inside(counts, n))
-            for i in at[_isin(a[at], np.unique(first))].tolist():
-                k = int(np.searchsorted(first, a[i]))
-                while k < len(first) and first[k] == a[i]:
-                    if second[k] == b[i]:
-                        yield n, i, owners[k]
-                    k += 1
+            at = self.candidates(hashes[0], ok) if n == self.window else np.flatnonzero(ok)
+            a = runs(hashes[0], n, 0)[at]
+            hit = _isin(a, first)
+            at, a = at[hit], a[hit]
+            if not len(at):
+                continue
+            b = runs(hashes[1], n, 1)[at]
+            lo, hi = np.searchsorted(first, a), np.searchsorted(first, a, side="right")
+            which = np.repeat(np.arange(len(at)), hi - lo)
+            k = np.arange(len(which)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[which]
+            same = second[k] == b[which]
+            yield n, at[which[same]], row[k[same]]
 
 
 def _isin(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -95,93 +120,161 @@ def _isin(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return out
 
 
-_HIT = "struct<n_words: bigint, runs: array<bigint>, items: array<string>>"
+_HIT = "struct<n_words: bigint, n_hit: bigint, n_items: bigint, items_sha256: string, items: array<string>>"
 
 
-def _hits(part) -> F.Column:
-    """Function of a text column: number of words, hit words as begin and end of runs, items (sorted strings)."""
+def hit_column(held) -> F.Column:
+    """Function of a text column: words, hit words, items by number, digest and name (sorted strings)."""
 
     @F.arrow_udf(_HIT)
     def hits(column: pa.Array) -> pa.Array:
-        marks, out = part.value, []
+        marks, rows = held.value, []
         for some in slices(column):
             data, off, _ = utf8(some)
             *_, counts, h = words(data, off, ALPHANUMERIC, LOWER)
             ends = np.cumsum(counts)
-            runs_of: dict[int, list] = defaultdict(list)
-            items: dict[int, set] = defaultdict(set)
-            for n, i, owners in marks.windows(h, counts):
-                doc = int(np.searchsorted(ends, i, side="right"))
-                runs_of[doc].append((i - int(ends[doc] - counts[doc]), n))
-                items[doc] |= owners
-            for doc, count in enumerate(counts.tolist()):
-                out.append({"n_words": count, "runs": _merged(runs_of[doc]) if doc in runs_of else [], "items": sorted(items[doc] - {None}) if doc in items else []})
-        return pa.array(out, pa.struct({"n_words": pa.int64(), "runs": pa.list_(pa.int64()), "items": pa.list_(pa.string())}))
+            hit = np.zeros(h.shape[1], bool)
+            items: dict[int, set] = {}
+            for n, place, row in marks.windows(h, counts):
+                hit |= cover(np.unique(place), n, h.shape[1])
+                for doc, k in {*zip(np.searchsorted(ends, place, side="right").tolist(), row.tolist())}:
+                    items.setdefault(doc, set()).add(marks.items[k])
+            total = np.concatenate([[0], np.cumsum(hit)])
+            n_hit = total[ends] - total[ends - counts]
+            for doc, (count, covered) in enumerate(zip(counts.tolist(), n_hit.tolist())):
+                own = sorted(items.get(doc, set()) - {None})
+                rows.append((count, covered, len(own), sha(",".join(own).encode()), own))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())]
+        columns = list(zip(*rows)) or [()] * 5
+        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["n_words", "n_hit", "n_items", "items_sha256", "items"])
 
     return hits
 
 
-def _merged(found: list[tuple[int, int]]) -> list[int]:
-    out: list[int] = []
-    for a, b in sorted((i, i + n) for i, n in found):
-        if out and a <= out[-1]:
-            out[-1] = max(out[-1], b)
-        else:
-            out += [a, b]
-    return out
-
-
-def _summed(*columns) -> F.Column:
-    return F.arrow_udf(_sums, "struct<n_hit: bigint, n_items: bigint, items_sha256: string, items: array<string>>")(*columns)
-
-
-def _sums(*parts: pa.Array) -> pa.Array:
-    out = []
-    for row in zip(*(p.to_pylist() for p in parts)):
-        runs_ = _merged([(a, b - a) for p in row for a, b in zip(p["runs"][::2], p["runs"][1::2])])
-        items = sorted({x for p in row for x in p["items"]})
-        out.append({"n_hit": sum(runs_[1::2]) - sum(runs_[::2]), "n_items": len(items), "items_sha256": sha(",".join(items).encode()), "items": items})
-    return pa.array(out, pa.struct({"n_hit": pa.int64(), "n_items": pa.int64(), "items_sha256": pa.string(), "items": pa.list_(pa.string())}))
-
-
-def parts_of(benchmark: DataFrame, id_col: str, text_col: str, window: int = WINDOW, gram: int = GRAM, most: int = BROADCAST_BYTES) -> list:
-    """The test set's windows as broadcasts, each made of about ``most`` bytes of text: its size is measured first."""
-    known = benchmark.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    size = int(known.agg(F.sum(F.octet_length("_text"))).first()[0] or 0)
-    n = max(1, -(-size // most))
-    context = benchmark.sparkSession.sparkContext
-    out = []
-    for k in range(n):
-        rows = known.filter(F.pmod(F.xxhash64("_id", "_text"), F.lit(n)) == k).collect()
-        out.append(context.broadcast(Fingerprints([(r[0], r[1]) for r in rows], window, gram)))
-    return out
+def sieve(windows: DataFrame) -> np.ndarray:
+    """The bitmap of all fingerprints, in 64-bit parts that Spark has put together; its size is fixed."""
+    bit = F.shiftrightunsigned("mark", 64 - SIEVE_BITS)
+    parts = windows.groupBy(F.shiftright(bit, 6).alias("part")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(mark, {64 - SIEVE_BITS}) & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(1 << (SIEVE_BITS - 6), np.int64)
+    out[np.asarray(parts.column("part"))] = np.asarray(parts.column("bits"))
+    return out.view(np.uint64)
+
+
+def document_windows(texts: DataFrame, lengths: list[int], held, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+    """(_key, place, n, a, b, mark) of the windows of ``texts`` (_key, _text) whose fingerprint passes the bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = held.value
+        for batch in batches:
+            done = 0
+            for part in slices(batch.column(1)):
+                keys = batch.column(0).slice(done, len(part))
+                done += len(part)
+                data, off, _ = utf8(part)
+                *_, counts, h = words(data, off, ALPHANUMERIC, LOWER)
+                ends = np.cumsum(counts)
+                for n in lengths:
+                    ok = inside(counts, n)
+                    if not len(ok):
+                        continue
+                    a = runs(h[0], n, 0)
+                    mark = fingerprints(h[0], window, gram) if n == window else a
+                    bit = mark >> np.uint64(64 - SIEVE_BITS)
+                    place = np.flatnonzero(ok & ((bits[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1)).astype(bool))
+                    doc = np.searchsorted(ends, place, side="right")
+                    own = [pa.array(x[place].view(np.int64)) for x in (a, runs(h[1], n, 1), mark)]
+                    begin = (place - (ends - counts)[doc]).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [keys.take(pa.array(doc)), pa.array(begin), pa.array(np.full(len(place), n, np.int32)), *own], ["_key", "place", "n", "a", "b", "mark"]
+                    )
+
+    return texts.mapInArrow(run, f"_key binary, place bigint, {_WINDOW}")
+
+
+def joined_hits(texts: DataFrame, windows: DataFrame) -> DataFrame:
+    """(_key, n_hit, n_items, items_sha256, items) of the ``texts`` (_key, _text) that hold test windows, by joins.
+
+    Copies of a text send the same rows, which Spark combines before it shuffles them.
+    """
+    lengths = sorted(r[0] for r in windows.select("n").distinct().collect())  # at most as many as a window has words
+    held = texts.sparkSession.sparkContext.broadcast(sieve(windows))
+    names = ["n", "a", "b", "mark"]
+    found = checkpointed(document_windows(texts, lengths, held).distinct().join(windows.select(names).distinct(), names, "left_semi"))
+    before = W.partitionBy("_key").orderBy("place", "n").rowsBetween(W.unboundedPreceding, -1)
+    end = F.col("place") + F.col("n")
+    fresh_words = F.greatest(F.lit(0), end - F.greatest("place", F.coalesce(F.max(end).over(before), F.lit(0))))
+    hit = found.withColumn("_fresh", fresh_words).groupBy("_key").agg(F.sum("_fresh").cast("long").alias("n_hit"))
+    items = found.select("_key", *names).distinct().join(windows, names).filter("item is not null").groupBy("_key").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    own = F.coalesce("items", F.array().cast("array<string>"))
+    return hit.join(items, "_key", "left").select("_key", "n_hit", F.size(own).cast("long").alias("n_items"), F.sha2(F.array_join(own, ",").cast("binary"), 256).alias("items_sha256"), own.alias("items"))
+
+
+def _table(benchmark: DataFrame, item_col: str, item_text_col: str, rows: int):
+    """(windows' table, its broadcast or None): the size is measured first."""
+    windows = checkpointed(item_windows(benchmark, item_col, item_text_col))
+    size = windows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("item")), F.lit(0))).first()
+    if size[0] <= rows and size[1] <= BROADCAST_NAMES:
+        return windows, benchmark.sparkSession.sparkContext.broadcast(Fingerprints(windows.toArrow()))
+    return windows, None
+
+
+def _word_count() -> F.Column:
+    @F.arrow_udf("long")
+    def count(column: pa.Array) -> pa.Array:
+        out = [np.zeros(0, np.int64)]
+        for part in slices(column):
+            data, off, _ = utf8(part)
+            out.append(words(data, off, ALPHANUMERIC, LOWER, lanes=0)[2])
+        return pa.array(np.concatenate(out))
+
+    return count
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, rows: int, name: str) -> DataFrame:
+    """``docs`` with one more column ``name``: words, hit words, items."""
+    windows, held = _table(benchmark, item_col, item_text_col, rows)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    if held is not None:
+        return docs.withColumn(name, hit_column(held)(text))
+    key = F.unhex(F.md5(text.cast("binary")))
+    hits = joined_hits(docs.select(key.alias("_key"), text.alias("_text")), windows)
+    hits = hits.select(F.col("_key").alias(f"{name}_key"), F.struct("n_hit", "n_items", "items_sha256", "items").alias(f"{name}_hits"))
+    counted = docs.withColumns({f"{name}_words": _word_count()(text), f"{name}_own": key})
+    out = counted.join(hits, F.col(f"{name}_own") == F.col(f"{name}_key"), "left")
+    hit = lambda c, none: F.coalesce(F.col(f"{name}_hits.{c}"), none)
+    return out.select(*docs.columns, F.struct(
+        F.col(f"{name}_words").alias("n_words"), hit("n_hit", F.lit(0)).cast("long").alias("n_hit"), hit("n_items", F.lit(0)).cast("long").alias("n_items"),
+        hit("items_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("items_sha256"), hit("items", F.array().cast("array<string>")).alias("items"),
+    ).alias(name))
 
 
 def contamination(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_hit, n_items, items_sha256, contaminated, items.
 
     A word is hit if it lies in an occurrence of a window of the test set; a document is contaminated if a twentieth
-    of its words or more are hit. No shuffle: the test set is broadcast in parts of measured size and each part is one
-    more pass over a text that is already in memory. Null or empty texts have no words and aren't contaminated; items
-    without words mark nothing; an item with a null id marks words but isn't listed; repeated items count once; an
-    empty test set marks nothing; repeated rows are judged each; other columns are ignored.
+    of its words or more are hit. A test set of up to ``broadcast_rows`` distinct windows is broadcast and nothing is
+    shuffled; a larger one is joined. Null or empty texts have no words and aren't contaminated; items without words
+    mark nothing; an item with a null id marks words but isn't listed; repeated items count once; an empty test set
+    marks nothing; texts of any length are judged whole; repeated rows are judged each; a null id stays null; an empty
+    table gives none; other columns are ignored, whatever their names.
     """
-    parts = parts_of(benchmark, item_col, item_text_col, most=broadcast_bytes)
-    names = [f"_p{k}" for k in range(len(parts))]
-    out = docs.select(F.col(id_col), *[_hits(p)(F.col(text_col)).alias(n) for p, n in zip(parts, names)])
-    out = out.withColumn("_s", _summed(*names)).select(id_col, F.col("_p0.n_words").alias("n_words"), "_s.*")
+    judged = _judged(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")), benchmark, "_text", item_col, item_text_col, broadcast_rows, "_hits")
     bad = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
-    return out.select(id_col, "n_words", "n_hit", "n_items", "items_sha256", bad.alias("contaminated"), "items")
+    return judged.select(F.col("_id").alias(id_col), "_hits.*").select(id_col, "n_words", "n_hit", "n_items", "items_sha256", bad.alias("contaminated"), "items")
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """``docs`` without contaminated rows; all columns stay."""
-    parts = parts_of(benchmark, item_col, item_text_col)
-    hits = [_hits(p)(F.col(text_col)) for p in parts]
-    n_hit, n_words = F.col("_decontam._s.n_hit"), F.col("_decontam._p.n_words")
-    judged = docs.withColumn("_decontam_hits", F.array(*hits))
-    judged = judged.withColumn("_decontam", F.struct(_summed(*[F.col("_decontam_hits")[k] for k in range(len(hits))]).alias("_s"), F.col("_decontam_hits")[0].alias("_p")))
+def drop_contaminated(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """``docs`` without contaminated rows; all columns stay, whatever their names.
+
+    Rows are judged as by ``contamination``: null and empty texts stay, repeated rows stay or go together, an empty
+    test set or an empty table changes nothing.
+    """
+    name = fresh(docs, "hits")
+    n_hit, n_words = F.col(f"{name}.n_hit"), F.col(f"{name}.n_words")
+    judged = _judged(docs, benchmark, text_col, item_col, item_text_col, broadcast_rows, name)
     return judged.filter(~((n_hit > 0) & (20 * n_hit >= n_words))).select(docs.columns)
