@@ -1,10 +1,12 @@
 """N-gram Jaccard join by a MinHash LSH forest, verified exactly.
 
-Each text has a signature of minima over its five-word shingles, laid out in several tries of sorted prefixes. Matched
-prefixes start at the deepest level and are shortened until the tries together find a pair at the threshold with the
-target recall. Texts that share a prefix in a trie are linked to the least of them, and the groups that
-such links connect are compared pair by pair, in chunks: a group of any size is cut into chunks, each pair of chunks
-is a task of bounded size, and what leaves it is a row for each text, not for each pair.
+Each text has a signature of minima over its five-word shingles, laid out as paths of eight levels in several tries.
+Matching starts with whole paths and shortens them, for each text, until the tries together find any partner that a
+text of its size can have with the target recall; sizes of sets allow few similarities where sets are small, so short
+texts keep long prefixes. Texts that share a prefix are a bucket. Buckets of the same texts are one, and the buckets
+that overlaps connect are compared as one group where that is less work than each by itself; else, as where passages
+chain many unlike texts together, each bucket is compared alone, and a pair in the first bucket that it shares. Large groups are cut into
+chunks, each pair of chunks is a task of bounded size, and what leaves it is a row for each text, not for each pair.
 """
 
 from __future__ import annotations
@@ -18,101 +20,127 @@ from pyspark.sql import functions as F
 
 from tslake.llm.common import checkpointed, slices, utf8
 from tslake.llm.components import connected
-from tslake.llm.words import BLANK_SEPARATED, U, mix, powers, runs, words
+from tslake.llm.words import BLANK_SEPARATED, U, mix, runs, sequences, words
 
 SHINGLE, THRESHOLD_FIFTHS = 5, 4  # Jaccard of 4/5
 TRIES, DEEPEST, RECALL = 24, 8, 0.9999
-#: Texts of a chunk.
-CHUNK = 512
+#: Most texts of a chunk.
+CHUNK = 1024
 _RNG = np.random.Generator(np.random.PCG64(99))
 _XOR = _RNG.integers(0, 2**32, TRIES * DEEPEST, dtype=np.uint32)
 _TIMES = _RNG.integers(0, 2**31, TRIES * DEEPEST, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def depth(threshold: float, tries: int = TRIES, deepest: int = DEEPEST, recall: float = RECALL) -> int:
-    """Length of the prefixes to match: shortened from the deepest until a pair at the threshold is found with the target recall."""
+def depth(similarity: float, tries: int = TRIES, deepest: int = DEEPEST, recall: float = RECALL) -> int:
+    """Length of the prefixes to match: shortened from the deepest until a pair of this similarity is found with the target recall."""
     for k in range(deepest, 0, -1):
-        if 1 - (1 - threshold**k) ** tries >= recall:
+        if 1 - (1 - similarity**k) ** tries >= recall:
             return k
     return 1
 
 
+def least_similarity(n: int) -> float:
+    """The least Jaccard at the threshold that a set of ``n`` elements can have with any other."""
+    found = [1.0]
+    for m in range(-(-n * THRESHOLD_FIFTHS // 5), n * 5 // THRESHOLD_FIFTHS + 1):
+        both = -(-THRESHOLD_FIFTHS * (n + m) // (5 + THRESHOLD_FIFTHS))  # the least that reaches 4/5 of the union
+        if 0 < both <= min(n, m):
+            found.append(both / (n + m - both))
+    return min(found)
+
+
+#: Sets of this size and more all need the depth of the threshold.
+SMALL = 64
+
+
+def levels_of(n: int) -> list[int]:
+    """Levels at which a set of ``n`` elements is listed: its own depth and those of the sizes that its partners can have."""
+    sizes = range(max(1, -(-n * THRESHOLD_FIFTHS // 5)), n * 5 // THRESHOLD_FIFTHS + 1)
+    return sorted({depth(least_similarity(m)) if m < SMALL else depth(THRESHOLD_FIFTHS / 5) for m in sizes})
+
+
+_LEVELS = [levels_of(n) if n else [] for n in range(SMALL * 5 // 4 + 1)]
+
+
 def shingled(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For runs of texts: word hashes, words of each text, shingle hashes, shingles of each text.
+    """For runs of texts: word hashes (two lanes), words of each text, shingle hashes, shingles of each text.
 
     A text of fewer than five words, but not none, is one shingle.
     """
     for part in slices(texts):
         data, off, _ = utf8(part)
         *_, counts, h = words(data, off, BLANK_SEPARATED)
-        n = len(h)
+        n = h.shape[1]
         first = np.cumsum(counts) - counts
         grams = np.zeros(n, np.uint64)
-        full = runs(h, SHINGLE)
+        full = runs(h[0], SHINGLE)
         grams[: len(full)] = full
         place = np.arange(n) - np.repeat(first, counts)
         left = np.repeat(counts, counts) - place
         keep = left >= SHINGLE
         short = first[(counts > 0) & (counts < SHINGLE)]
         for i in short.tolist():
-            grams[i] = runs(h[i : i + int(left[i])], int(left[i]))[0]
+            grams[i] = runs(h[0, i : i + int(left[i])], int(left[i]))[0]
         keep[short] = True
         yield h, counts, grams[keep], np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
 
 
 def text_hashes(h: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two hashes of each text's sequence of words."""
-    end = np.cumsum(counts)
-    out = []
-    for lane in (1, 2):
-        p, inverse = powers(lane, len(h) + 1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(h * p[: len(h)])])
-        out.append(mix((sums[end] - sums[end - counts]) * inverse[end - counts] + counts.astype(np.uint64)))
-    return out[0], out[1]
-
-
-def trie_keys(grams: np.ndarray, sizes: np.ndarray, level: int, tries: int = TRIES) -> np.ndarray:
-    """(texts x tries) hashes of the prefixes; rows of texts without shingles are 0."""
-    out = np.zeros((len(sizes), tries), np.uint64)
+    return sequences(h[0], counts, 0), sequences(h[1], counts, 1)
+
+
+def trie_keys(grams: np.ndarray, sizes: np.ndarray, tries: int = TRIES) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the prefixes by which texts are listed, how many each text has): a text's levels in each trie."""
     some = np.flatnonzero(sizes)
     step = 1 << 15  # shingles at once, so that they stay near the processor
     at = 0
     begin = np.cumsum(sizes) - sizes
     x32 = (grams >> U(32)).astype(np.uint32) ^ grams.astype(np.uint32)
+    listed = np.zeros((len(sizes), DEEPEST + 1), bool)
+    for n in np.unique(np.minimum(sizes[some], len(_LEVELS) - 1)).tolist():
+        listed[np.flatnonzero(np.minimum(sizes, len(_LEVELS) - 1) == n)[:, None], _LEVELS[n]] = True
+    keys, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     while at < len(some):
         hi = max(at + 1, int(np.searchsorted(begin[some], begin[some[at]] + step)))
         own = some[at:hi]
         a, b = int(begin[own[0]]), int(begin[own[-1]] + sizes[own[-1]])
         x, cut = x32[a:b], begin[own] - a
+        last = int(np.flatnonzero(listed[own].any(axis=0))[-1])
         for t in range(tries):
             key = np.full(len(own), t + 1, np.uint64)
-            for k in range(level):
+            for k in range(last):
                 f = t * DEEPEST + k
                 y = (x ^ _XOR[f]) * _TIMES[f]
                 key = mix(key * U(0x9E3779B97F4A7C15) + np.minimum.reduceat(y ^ (y >> np.uint32(15)), cut).astype(np.uint64))
-            out[own, t] = key
+                here = listed[own, k + 1]
+                keys.append(key[here])
+                owners.append(own[here])
         at = hi
-    return out
+    owner = np.concatenate(owners)
+    return np.concatenate(keys)[np.argsort(owner, kind="stable")], np.bincount(owner, minlength=len(sizes))
 
 
-def signatures(docs: DataFrame, level: int, id_col: str, text_col: str) -> DataFrame:
-    """(_id, a, b, n, keys): two hashes of the words, number of shingles, trie keys (null without shingles)."""
+def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, a, b, n, keys): two hashes of the words, number of shingles, keys of prefixes (none without shingles)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, n, keys = [], [], [], []
+            a, b, n, keys, many = [], [], [], [], []
             for h, counts, grams, sizes in shingled(batch.column(1)):
                 one, two = text_hashes(h, counts)
                 a.append(one)
                 b.append(two)
                 n.append(sizes)
-                keys.append(trie_keys(grams, sizes, level))
+                own, size = trie_keys(grams, sizes)
+                keys.append(own)
+                many.append(size)
             if not a:
                 continue
             n = np.concatenate(n)
-            flat = np.concatenate(keys).view(np.int64).ravel()
-            listed = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * TRIES), pa.array(flat))
+            edges = np.concatenate([[0], np.cumsum(np.concatenate(many))]).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(keys).view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(a).view(np.int64)), pa.array(np.concatenate(b).view(np.int64)), pa.array(n.astype(np.int64)), listed], ["_id", "a", "b", "n", "keys"])
 
     plain = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
@@ -166,13 +194,27 @@ def least_connected(nodes: np.ndarray, near: np.ndarray) -> np.ndarray:
         label = new
 
 
+def first_shared(buckets: list[np.ndarray], group: int) -> np.ndarray:
+    """Boolean matrix: the least bucket that two texts share is ``group``; each text's buckets are sorted and hold it."""
+    n = len(buckets)
+    earlier = [b[b < group] for b in buckets]
+    value, owner = np.concatenate(earlier), np.repeat(np.arange(n), [len(b) for b in earlier])
+    out = np.ones((n, n), bool)
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    at = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else []
+    for lo, hi in zip(at, [*at[1:], len(value)]):
+        if hi - lo > 1:
+            out[np.ix_(owner[lo:hi], owner[lo:hi])] = False
+    return out
+
+
 def _compare(key: tuple, t: pa.Table) -> pa.Table:
     """Links within a chunk, or between two chunks: (node, links, hub)."""
-    first, second = key[1].as_py(), key[2].as_py()
-    nodes, chunks, sets = [], [], []
+    group, first, second = (k.as_py() for k in key)
+    nodes, chunks, sets, buckets = [], [], [], []
     seen = set()
-    want = t.column("node").to_pylist()
-    place = t.column("chunk").to_pylist()
+    want, place, shared = (t.column(c).to_pylist() for c in ("node", "chunk", "buckets"))
     at = 0
     for h, counts, grams, sizes in shingled(t.column("_text").combine_chunks()):
         own, _ = text_hashes(h, counts)
@@ -183,17 +225,42 @@ def _compare(key: tuple, t: pa.Table) -> pa.Table:
                 nodes.append(hash_)
                 chunks.append(place[at + i])
                 sets.append(np.unique(grams[lo : lo + size]))
+                buckets.append(shared[at + i])
         at += len(sizes)
     nodes, chunks = np.array(nodes, np.int64), np.array(chunks, np.int64)
     near = similar(sets) if len(sets) else np.zeros((0, 0), bool)
     if first != second:
         near &= chunks[:, None] != chunks[None, :]
+    if len(sets) and buckets[0] is not None:
+        near &= first_shared([np.sort(np.array(b, np.int64)) for b in buckets], group)
     links = near.sum(axis=1)
     hub = least_connected(nodes, near)
     some = links > 0
     return pa.table([pa.array(nodes[some]), pa.array(links[some].astype(np.int64)), pa.array(hub[some])], ["node", "links", "hub"])
 
 
+def groups(classes: DataFrame) -> DataFrame:
+    """(group, node, size, buckets) of the texts to compare, from ``classes`` (node, keys).
+
+    A group is a set of buckets that overlaps connect, with no ``buckets``, or one bucket, with all of each text's.
+    """
+    keyed = classes.select("node", F.explode("keys").alias("key"))
+    same = [F.count("*"), F.bit_xor(F.xxhash64("node")), F.bit_xor(F.xxhash64(F.lit(1), "node"))]
+    buckets = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_most"), same[0].alias("size"), F.xxhash64(*same).alias("bucket"))
+    buckets = buckets.filter("hub < _most").select("key", "hub", "size", "bucket")
+    members = checkpointed(keyed.join(buckets, "key").select("bucket", "node", "hub", "size").distinct())
+    component = connected(members.filter("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct())
+    alone = members.select("bucket", "hub", "size").distinct().join(component, F.col("hub") == F.col("node")).groupBy("component").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("_alone"))
+    whole = component.groupBy("component").agg(F.count("*").alias("size")).join(alone, "component")
+    whole = whole.select("component", "size", (F.col("size").cast("double") * F.col("size") <= F.col("_alone")).alias("_whole"))
+    judged = component.join(whole, "component")
+    none = F.lit(None).cast("array<bigint>")
+    together = judged.filter("_whole").select(F.col("component").alias("group"), "node", "size", none.alias("buckets"))
+    apart = members.join(judged.filter("not _whole").select("node"), "node", "left_semi")
+    listed = apart.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))  # at most two levels of each trie
+    return together.unionByName(apart.join(listed, "node").select(F.col("bucket").alias("group"), "node", "size", "buckets"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """One row per row of ``docs``: id, class_id, n_links, n_copies.
 
@@ -202,24 +269,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``n_copies`` the number of documents with its very words, itself included. Texts of fewer than five words are one
     shingle. Null, empty and blank texts have none: they are linked with nothing and each is its own class. A row with
     a null id takes no part and gets nulls; repeated rows are copies; an empty table gives none; other columns are
-    ignored. Groups of copies are folded before anything is compared.
+    ignored. Groups of copies are folded before anything is compared. ``chunk`` bounds the texts of a chunk.
     """
-    level = depth(THRESHOLD_FIFTHS / 5)
-    sig = checkpointed(signatures(docs, level, id_col, text_col))
+    sig = checkpointed(signatures(docs, id_col, text_col))
     real = sig.filter(F.col("_id").isNotNull() & (F.col("n") > 0))
     classes = checkpointed(real.groupBy("a", "b").agg(F.min("_id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys")))
-    keyed = classes.select(F.col("a").alias("node"), F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_most")).filter("hub < _most").select("key", "hub")
-    edges = keyed.join(hubs, "key").filter("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct()
-    group = connected(edges)
-    size = group.groupBy("component").agg(F.count("*").alias("_n")).select("component", F.ceil(F.col("_n") / chunk).cast("int").alias("chunks"))
-    placed = group.join(size, "component").join(classes.select(F.col("a").alias("node"), "rep"), "node")
-    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    placed = placed.select("component", "node", "rep", "chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("_other"))
+    placed = groups(classes.select(F.col("a").alias("node"), "keys")).join(classes.select(F.col("a").alias("node"), "rep"), "node")
+    chunks = F.greatest(F.ceil(F.sqrt("size") / 2), F.ceil(F.col("size") / chunk)).cast("int")
+    placed = placed.withColumn("_chunks", F.when(F.col("size") <= min(chunk, SMALL), 1).otherwise(chunks))
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int"))
+    placed = placed.select("group", "buckets", "node", "rep", "chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_other"))
     placed = placed.withColumns({"first": F.least("chunk", "_other"), "second": F.greatest("chunk", "_other")})
     plain = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("_text"))
-    texts = plain.join(placed, "rep").select("component", "first", "second", "node", "chunk", "_text")
-    linked = checkpointed(texts.groupBy("component", "first", "second").applyInArrow(_compare, "node bigint, links bigint, hub bigint"))
+    texts = plain.join(placed, "rep").select("group", "first", "second", "node", "chunk", "buckets", "_text")
+    linked = checkpointed(texts.groupBy("group", "first", "second").applyInArrow(_compare, "node bigint, links bigint, hub bigint"))
     found = connected(linked.select(F.col("node").alias("src"), F.col("hub").alias("dst")))
     links = linked.groupBy("node").agg(F.sum("links").alias("n_links"))
     named = classes.select("a", "b", "rep", "copies").join(found, F.col("a") == F.col("node"), "left").drop("node")
