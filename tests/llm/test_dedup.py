@@ -140,14 +140,68 @@ def test_periodic_texts(spark):
     assert sorted(map(tuple, got), key=repr) == plain_bytes(docs, 200)
 
 
+def plain_order(t):
+    order = sorted(range(len(t)), key=lambda i: t[i:].tolist())
+    common = [0]
+    for a, b in zip(order, order[1:]):
+        k = 0
+        while max(a, b) + k < len(t) and t[a + k] == t[b + k]:
+            k += 1
+        common.append(k)
+    return order, common
+
+
 def test_suffix_array_small():
     rng = np.random.default_rng(1)
-    for trial in range(200):
-        t = np.append(rng.integers(1, int(rng.integers(2, 5)), int(rng.integers(1, 70))), 0)
-        if trial % 3 == 0 and len(t) > 8:
-            t[len(t) // 2] = 0
-        got = suffix.suffix_array(t.astype(np.uint16), 1000, memory=64 if trial % 2 else 1 << 20)
-        assert got.tolist() == sorted(range(len(t)), key=lambda i: t[i:].tolist())
+    for trial in range(400):
+        t = np.append(rng.integers(1, int(rng.integers(2, 6)), int(rng.integers(1, 90))), 0).astype(np.int32)
+        if trial % 5 == 0:
+            t = np.append(np.tile(t[:-1], 3), 0).astype(np.int32)
+        disk = suffix.Disk(64 if trial % 2 else 1 << 20)
+        if trial % 3 == 0:
+            disk.block = 4
+        order, common = suffix.suffix_array(t, 1000, disk)
+        want, alike = plain_order(t)
+        assert order.tolist() == want and common.tolist() == alike
+        depth = int(rng.integers(1, 20))
+        order, common = suffix.suffix_array(t, depth, disk)
+        begins = [tuple(t[i : i + depth]) for i in order]
+        assert begins == sorted(begins) and sorted(order.tolist()) == sorted(want)
+        assert common.tolist() == [min(depth, k) for k in alike]
+
+
+def test_shard_larger_than_memory():
+    """Queues, text, names and orders of a shard of 300 KB with a bound of 4 KB: all lie in files."""
+    rng = np.random.default_rng(8)
+    words = [bytes(rng.integers(97, 123, int(rng.integers(2, 9))).astype(np.uint8)) for _ in range(400)]
+    raw = b" ".join(words[i] for i in (rng.random(50_000) ** 3 * 400).astype(int))
+    raw = raw[:200_000] + raw[5000:9000] + b"x" * 4000 + raw[150_000:180_000] + b"xy" * 3000 + raw[200_000:260_000]
+    disk = suffix.Disk(4096)
+    (got,) = byte_dedup.repeated_beginnings([raw], np.array([False]), 200, disk=disk)
+    assert disk.spilled > 40 * len(raw)
+    count = Counter(raw[i : i + 200] for i in range(len(raw) - 199))
+    assert got.tolist() == [count[raw[i : i + 200]] > 1 for i in range(len(raw) - 199)]
+
+
+def test_regular_strings_that_hashes_confuse():
+    """Two strings whose difference is divisible by every odd base's powers; sums of powers modulo 2**64 are equal."""
+    d = np.array([1], np.int64)
+    for a in (1, 2, 2, 4, 4, 8, 8, 8, 16, 16, 32, 32, 64):
+        step = np.zeros(a + 1, np.int64)
+        step[0], step[-1] = -1, 1
+        d = np.convolve(d, step)
+    base = np.full(200, 80)
+    one, other = base.copy(), base.copy()
+    one[: len(d)] += np.maximum(d, 0)
+    other[: len(d)] += np.maximum(-d, 0)
+    assert max(one.max(), other.max()) < 128
+    raws = [x.astype(np.uint8).tobytes() for x in (one, other)]
+    x = 0x9E3779B97F4A7C15
+    sums = [sum(int(c) * pow(x, i, 2**64) for i, c in enumerate(r)) % 2**64 for r in raws]
+    assert sums[0] == sums[1] and raws[0] != raws[1]
+    assert [b.tolist() for b in byte_dedup.repeated_beginnings(raws, np.zeros(2, bool), 200)] == [[False], [False]]
+    again = byte_dedup.repeated_beginnings([raws[0] + b"1", raws[1] + b"2", raws[0] + b"3"], np.zeros(3, bool), 200)
+    assert [b.tolist() for b in again] == [[True, False], [False, False], [True, False]]
 
 
 def test_covers():

@@ -3,8 +3,8 @@
 Equal strings must meet in one shard. A string's mark is its least-hashed gram of 48 bytes (the left-most such), which
 equal strings have at the same place; consecutive beginnings with one mark form a slice of the text. Marks are counted
 over all documents; slices whose mark occurs more than once go, by mark, to shards. A shard folds equal slices into
-one with a note that it was seen again, sorts all suffixes of the rest by external induced sorting, and finds in the
-neighbours' common prefixes the beginnings whose 200 bytes occur twice. The answers, a bit for each beginning, go back
+one with a note that it was seen again, sorts all suffixes of the rest by external induced sorting, which carries the
+neighbours' common prefixes along, and finds in these the beginnings whose 200 bytes occur twice. The answers, a bit for each beginning, go back
 to the documents.
 """
 
@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame
 
 from tslake.llm.blocks import Blocks, answered, answers, bounds, distinct, message
 from tslake.llm.common import slices, utf8
-from tslake.llm.suffix import MEMORY, suffix_array
+from tslake.llm.suffix import MEMORY, Disk, suffix_array
 from tslake.llm.words import _BYTE, U, cover, mix, powers, sha
 
 LENGTH, GRAM = 200, 48
 #: Bytes of text whose marks are found at once; what a shard sorts at once, unless one mark has more.
-PIECE, SORTED = 1 << 18, 2 << 20
+PIECE, SORTED = 1 << 18, 4 << 20
 #: Slices whose answers are read at once.
 SLICES_AT_ONCE = 1 << 13
 #: Low bits that hold a place within a piece while marks are chosen.
@@ -138,30 +138,28 @@ def folded(texts: pa.Array, length: int, gram: int, repeated: np.ndarray) -> tup
     return ordered, np.bincount(seen[0], minlength=len(ordered)) > 1, seen
 
 
-def repeated_beginnings(raws: list[bytes], many: np.ndarray, length: int, memory: int = MEMORY) -> list[np.ndarray]:
+def repeated_beginnings(raws: list[bytes], many: np.ndarray, length: int, memory: int = MEMORY, disk: Disk | None = None) -> list[np.ndarray]:
     """For each distinct slice, which of its beginnings have ``length`` bytes that begin elsewhere too.
 
-    All suffixes of the slices, each closed by a separator, are sorted; where neighbours share ``length`` bytes, both are repeated.
+    All suffixes of the slices, each closed by a separator, are sorted with their common prefixes; where neighbours
+    share ``length`` bytes before a separator, both are repeated.
     """
-    sizes = np.array([len(r) for r in raws])
-    text = np.zeros(int(sizes.sum()) + len(raws), np.uint16)
+    disk = disk or Disk(memory)
+    sizes = np.array([len(r) for r in raws], np.int64)
     begin = np.cumsum(sizes + 1) - sizes - 1
-    inside = np.ones(len(text), bool)
-    inside[begin + sizes] = False
-    x = np.frombuffer(b"".join(raws), np.uint8)
-    text[inside] = x
-    text[inside] += 1
-    left = np.repeat(begin + sizes, sizes + 1) - np.arange(len(text))  # bytes up to the separator
-    order = suffix_array(text, length, memory)
-    order = order[left[order] >= length]
-    p, inverse = powers(2, len(text) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((text.astype(np.uint64) + U(1)) * p[: len(text)])])
-    prefix = (sums[order + length] - sums[order]) * inverse[order]
-    same = prefix[1:] == prefix[:-1]  # neighbours in order, so one comparison each and no others
-    out = np.zeros(len(text), bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
-    return [np.ones(n - length + 1, bool) if again else out[b : b + n - length + 1] for b, n, again in zip(begin.tolist(), sizes.tolist(), many.tolist())]
+    n = int((sizes + 1).sum()) + 1
+    text, out, far = disk.array(n, np.uint16), disk.array(n, bool), disk.array(n, bool)  # far: from a separator
+    for raw, b in zip(raws, begin.tolist()):
+        text[b : b + len(raw)] = np.frombuffer(raw, np.uint8)
+        text[b : b + len(raw)] += 2
+        text[b + len(raw)] = 1
+        far[b : b + len(raw) - length + 1] = True
+    order, common = suffix_array(text, length, disk)
+    for lo, hi in disk.blocks(n):
+        same = (common[lo:hi] >= length) & far[order[lo:hi]]
+        at = np.flatnonzero(same) + lo
+        out[order[at]] = out[order[at - 1]] = True
+    return [np.ones(len(raw) - length + 1, bool) if again else np.array(out[b : b + len(raw) - length + 1]) for raw, b, again in zip(raws, begin.tolist(), many.tolist())]
 
 
 def sort_shard(key: tuple, t: pa.Table, length: int, memory: int) -> pa.Table:
