@@ -249,7 +249,9 @@ def groups(classes: DataFrame) -> DataFrame:
     buckets = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_most"), same[0].alias("size"), F.xxhash64(*same).alias("bucket"))
     buckets = buckets.filter("hub < _most").select("key", "hub", "size", "bucket")
     members = checkpointed(keyed.join(buckets, "key").select("bucket", "node", "hub", "size").distinct())
-    component = connected(members.filter("node <> hub").select(F.col("node").alias("src"), F.col("hub").alias("dst")).distinct())
+    least = members.groupBy("node").agg(F.min("hub").alias("least"))  # one link of each text, and those of the hubs it ties together
+    tied = members.select("node", "hub").join(least, "node").select(F.col("hub").alias("src"), F.col("least").alias("dst"))
+    component = connected(least.select(F.col("node").alias("src"), F.col("least").alias("dst")).unionByName(tied).distinct())
     alone = members.select("bucket", "hub", "size").distinct().join(component, F.col("hub") == F.col("node")).groupBy("component").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("_alone"))
     whole = component.groupBy("component").agg(F.count("*").alias("size")).join(alone, "component")
     whole = whole.select("component", "size", (F.col("size").cast("double") * F.col("size") <= F.col("_alone")).alias("_whole"))
