@@ -15,14 +15,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tslake.llm.common import cuts, slices
 from tslake.llm.words import mix, powers
 
-#: Bound of the training sample: rows for each language (fewer if there are many languages), and text bytes of a row.
-SAMPLE_ROWS, SAMPLE_ALL, SAMPLE_BYTES = 150, 4000, 1 << 14
-#: Words of a chain; longer texts are several chains.
+#: Bound of the training sample: pieces of texts for each language (fewer if there are many languages). Whole texts of
+#: any length are cut into pieces of about PIECE characters, and each piece may be drawn.
+SAMPLE_ROWS, SAMPLE_ALL, PIECE = 150, 4000, 1 << 13
+#: Words of a training chain, and of the blocks that are predicted at once, with messages carried from block to block.
 CHAIN = 64
 TABLE = 1 << 18
 ITERATIONS, RATE, DECAY = 30, 0.5, 1e-6
@@ -132,23 +134,62 @@ def forward_backward(scores: np.ndarray, transition: np.ndarray, start: np.ndarr
     return out, expected
 
 
-def marginals(scores: np.ndarray, transition: np.ndarray, start: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Marginals alone (chains x words x labels); ``scores`` beyond a length are ignored."""
-    c, t, k = scores.shape
-    e = np.exp(scores - scores.max(axis=2, keepdims=True))
-    a, f = np.exp(transition), np.exp(start)
+def transfers(e: np.ndarray, a: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """For each block, the matrix that takes a message before its first word to one after its last, up to a factor."""
+    out = e[:, 0][:, :, None] * np.eye(e.shape[2])
+    for i in range(1, e.shape[1]):
+        live = np.flatnonzero(lengths > i)
+        if not len(live):
+            break
+        t = (out[live] @ a) * e[live, i][:, None, :]
+        out[live] = t / t.sum(axis=(1, 2), keepdims=True)
+    return out
+
+
+def linked(t: np.ndarray, a: np.ndarray, blocks: np.ndarray, enter: np.ndarray, leave: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Messages that enter each block from the left and from the right; ``blocks`` of each text follow one another.
+
+    ``enter`` and ``leave`` are the messages at the ends of each text.
+    """
+    left, right = np.empty(t.shape[:2]), np.empty(t.shape[:2])
+    first = np.cumsum(blocks) - blocks
+    longest = int(blocks.max(initial=0))
+    for k in range(longest):
+        own = np.flatnonzero(blocks > k)
+        at = first[own] + k
+        if k == 0:
+            left[at] = enter[own]
+        else:
+            v = np.einsum("ni,nij->nj", left[at - 1], t[at - 1]) @ a
+            left[at] = v / v.sum(axis=1, keepdims=True)
+    for k in range(longest):
+        own = np.flatnonzero(blocks > k)
+        at = first[own] + blocks[own] - 1 - k
+        if k == 0:
+            right[at] = leave[own]
+        else:
+            v = np.einsum("nij,nj->ni", t[at + 1], right[at + 1]) @ a.T
+            right[at] = v / v.sum(axis=1, keepdims=True)
+    return left, right
+
+
+def block_marginals(e: np.ndarray, a: np.ndarray, lengths: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Marginals (blocks x words x labels) from words' factors, transitions' factors, and the messages at the blocks' ends."""
+    c, t, k = e.shape
     forward = np.empty_like(e)
-    f = e[:, 0] * f
+    f = e[:, 0] * left
     forward[:, 0] = f = f / f.sum(axis=1, keepdims=True)
     for i in range(1, t):
         f = (f @ a) * e[:, i]
         f /= f.sum(axis=1, keepdims=True)
         forward[:, i] = f
-    b = np.ones((c, k))
-    for i in range(t - 2, -1, -1):
-        b = (e[:, i + 1] * b) @ a.T
-        b /= b.sum(axis=1, keepdims=True)
-        b[lengths <= i + 1] = 1.0
+    b = right.copy()
+    for i in range(t - 1, -1, -1):
+        if i + 1 < t:
+            b = (e[:, i + 1] * b) @ a.T
+            b /= b.sum(axis=1, keepdims=True)
+            last = lengths <= i + 1
+            b[last] = right[last]
         forward[:, i] *= b
     return forward / forward.sum(axis=2, keepdims=True)
 
@@ -228,37 +269,69 @@ class Field:
             self.start += RATE * g / np.sqrt(began)
         self.weights[:, used] = w.T
 
-    def word_marginals(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(distribution of each word with letters, number of such words of each text)."""
+    def _factors(self, texts: list[str]) -> tuple:
+        """(words' factors by block, words of each block, blocks of each text, place of each word, words of each text)."""
         words, size, k = Words(texts), self.chain, len(self.langs)
         counts = words.counts
-        if not len(words):
-            return np.zeros((0, k)), counts
-        places = list(words.features(self.lexicon))
-        pieces = -(-counts // size)
-        first = np.repeat(np.cumsum(pieces) - pieces, counts) * size  # texts begin new chains
+        blocks = -(-counts // size)
+        first = np.repeat(np.cumsum(blocks) - blocks, counts) * size  # texts begin new blocks
         place = first + np.arange(len(words)) - np.repeat(np.cumsum(counts) - counts, counts)
-        padded = np.zeros((int(pieces.sum()) * size, k))
-        for y in range(k):
+        padded = np.zeros((int(blocks.sum()) * size, k))
+        places = list(words.features(self.lexicon)) if len(words) else []
+        for y in range(k if len(words) else 0):
             w = self.weights[y]
             score = np.add.reduceat(w[places[0]] + w[places[1]], words.first - 1)
             for p in places[2:]:
                 score += w[p]
             padded[place, y] = score
-        lengths = np.full(int(pieces.sum()), size)
+        lengths = np.full(int(blocks.sum()), size)
         some = counts > 0
-        lengths[np.cumsum(pieces)[some] - 1] = counts[some] - (pieces[some] - 1) * size
-        return marginals(padded.reshape(-1, size, k), self.transition, self.start, lengths).reshape(-1, k)[place], counts
+        lengths[np.cumsum(blocks)[some] - 1] = counts[some] - (blocks[some] - 1) * size
+        scores = padded.reshape(-1, size, k)
+        return np.exp(scores - scores.max(axis=2, keepdims=True)), lengths, blocks, place, counts
+
+    def word_marginals(self, texts: list[str], enter: np.ndarray | None = None, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(distribution of each word with letters, number of such words of each text).
+
+        Texts are taken in blocks of words at once, whose messages are carried over; ``enter`` and ``leave`` are those
+        at the ends of texts that are parts of longer ones.
+        """
+        e, lengths, blocks, place, counts = self._factors(texts)
+        k, a = len(self.langs), np.exp(self.transition)
+        if not len(place):
+            return np.zeros((0, k)), counts
+        enter = np.tile(np.exp(self.start), (len(texts), 1)) if enter is None else enter
+        left, right = linked(transfers(e, a, lengths), a, blocks, enter, np.ones((len(texts), k)) if leave is None else leave)
+        return block_marginals(e, a, lengths, left, right).reshape(-1, k)[place], counts
+
+    def _carried(self, parts: list[str]) -> Iterator[tuple[str, np.ndarray, np.ndarray]]:
+        """The parts of one text that hold words, with the messages at both ends of each."""
+        k, a, own, whole = len(self.langs), np.exp(self.transition), [], []
+        for part in parts:
+            e, lengths, _, place, _ = self._factors([part])
+            if len(place):
+                first, *more = transfers(e, a, lengths)
+                for t in more:
+                    first = first @ a @ t
+                    first /= first.sum()
+                own.append(part)
+                whole.append(first)
+        left, right = linked(np.array(whole).reshape(-1, k, k), a, np.array([len(own)]), np.exp(self.start)[None], np.ones((1, k)))
+        for i, part in enumerate(own):
+            yield part, left[i : i + 1], right[i : i + 1]
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         """(language, share of the words' probability) of each text."""
-        parts = [(i, part) for i, t in enumerate(texts) for part in _parts(t)]
         sums = np.zeros((len(texts), len(self.langs)))
-        for lo, hi in cuts(np.array([len(t) for _, t in parts], np.int64), TAKEN // 2):
-            p, counts = self.word_marginals([t for _, t in parts[lo:hi]])
-            owner = np.repeat(np.array([i for i, _ in parts[lo:hi]]), counts)
+        short = [i for i, t in enumerate(texts) if len(t) <= TAKEN]
+        for lo, hi in cuts(np.array([len(texts[i]) for i in short], np.int64), TAKEN // 2):
+            p, counts = self.word_marginals([texts[i] for i in short[lo:hi]])
+            owner = np.repeat(np.array(short[lo:hi]), counts)
             for y in range(len(self.langs)):
                 sums[:, y] += np.bincount(owner, weights=p[:, y], minlength=len(texts))
+        for i in set(range(len(texts))).difference(short):
+            for part, left, right in self._carried(list(_parts(texts[i]))):
+                sums[i] += self.word_marginals([part], left, right)[0].sum(axis=0)
         total, best = sums.sum(axis=1), sums.argmax(axis=1)
         return [(self.langs[b], min(1.0, float(s[b] / n))) if n > 0 else (UNDETERMINED, 0.0) for b, s, n in zip(best, sums, total)]
 
@@ -266,29 +339,59 @@ class Field:
 _SPACE = re.compile(r"\s")
 
 
-def _parts(text: str) -> Iterator[str]:
-    """``text`` in parts of about TAKEN characters, cut at white space."""
-    start = 0
-    while len(text) - start > TAKEN and (m := _SPACE.search(text, start + TAKEN)):
+def _parts(text: str, size: int | None = None) -> Iterator[str]:
+    """``text`` in parts of about ``size`` (else TAKEN) characters, cut at white space."""
+    start, size = 0, size or TAKEN
+    while len(text) - start > size and (m := _SPACE.search(text, start + size)):
         yield text[start : m.start()]
         start = m.start()
     yield text[start:]
 
 
+def _stretches(piece: str) -> list[str]:
+    """``piece``, cut anywhere where it has no white space for long."""
+    return [piece] if len(piece) <= 4 * PIECE else [piece[i : i + PIECE] for i in range(0, len(piece), PIECE)]
+
+
 def held_out(id_col: str) -> F.Column:
     """Whether a document takes no part in training: the CRC-32 of its id as text leaves 1 modulo 3. A null id isn't held out."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Field:
-    """A field fitted on a bounded sample of ``docs`` with known language: ``sample_rows`` a language, drawn by a hash of the text."""
-    known = docs.select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text")).filter(F.col("_lang").isNotNull() & (F.octet_length("_text") <= SAMPLE_BYTES) & (F.length(F.trim("_text")) > 0))
-    counts = known.groupBy("_lang").count().collect()
+def training_pieces(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """(_lang, _piece): for each known language at most ``sample_rows`` distinct pieces of its texts, drawn by their hash."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for part in slices(batch.column(1)):
+                langs = batch.column(0).slice(at, len(part)).to_pylist()
+                at += len(part)
+                rows = [(lang, p) for lang, t in zip(langs, part.to_pylist()) for q in _parts(t, PIECE) for p in _stretches(q) if not p.isspace()]
+                langs, pieces = zip(*rows) if rows else ((), ())
+                yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(pieces, pa.string())], ["_lang", "_piece"])
+
+    known = docs.select(F.col(lang_col).alias("_lang"), F.col(text_col).alias("_text")).filter(F.col("_lang").isNotNull() & (F.length("_text") > 0))
+    counts = known.groupBy("_lang").agg(F.sum(F.ceil(F.length("_text") / PIECE)).alias("count")).collect()
     each = max(1, min(sample_rows, SAMPLE_ALL // max(1, len(counts))))
-    draw, keep = F.pmod(F.xxhash64("_text"), F.lit(1 << 30)), F.lit(False)
+    # twice as many pieces as wanted pass a first draw, at least; copies count once
+    share = F.lit(0)
     for row in counts:
-        keep = keep | ((F.col("_lang") == row["_lang"]) & (draw < max(1, int(min(1.0, each / row["count"]) * (1 << 30)))))
-    rows = sorted(known.filter(keep).collect(), key=lambda r: (zlib.crc32(r[1].encode()), r[0]))
+        share = F.when(F.col("_lang") == row["_lang"], F.lit(max(1, int(min(1.0, 2 * each / row["count"]) * (1 << 30))))).otherwise(share)
+    long_or_drawn = (F.length("_text") > PIECE) | (F.pmod(F.xxhash64("_text"), F.lit(1 << 30)) < share)  # a short text is its only piece
+    pieces = known.filter(long_or_drawn).mapInArrow(cut, "_lang string, _piece string").withColumn("_hash", F.xxhash64("_piece"))
+    drawn = pieces.filter(F.pmod("_hash", F.lit(1 << 30)) < share).groupBy("_lang", "_hash").agg(F.min("_piece").alias("_piece"))
+    order = W.partitionBy("_lang").orderBy(F.pmod("_hash", F.lit(1 << 30)), "_hash")
+    return drawn.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each).select("_lang", "_piece")
+
+
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Field:
+    """A field fitted on a bounded sample of ``docs`` with known language: ``sample_rows`` pieces of texts a language.
+
+    Rows with a null language or text and blank texts teach nothing; repeated texts count once; texts of any length
+    take part with all their pieces; an empty table gives a field without languages.
+    """
+    rows = sorted(training_pieces(docs, lang_col, text_col, sample_rows).collect(), key=lambda r: (zlib.crc32(r[1].encode()), r[0]))
     return Field([r[1] for r in rows], [r[0] for r in rows])
 
 
@@ -296,7 +399,7 @@ def identify(docs: DataFrame, field: Field, id_col: str = "doc_id", text_col: st
     """One row per row of ``docs``: id, lang_pred, score (share of the words' probability).
 
     Texts without letters (null, empty) get ``und`` and 0; with a field that has learned one language, texts with
-    letters get that; with none, ``und``. Ties go to the language first in order. A null id stays null, repeated rows
+    letters get that; with none, ``und``. Texts of any length are judged whole: parts inform each other. Ties go to the language first in order. A null id stays null, repeated rows
     are judged each, an empty table gives none, other columns are ignored.
     """
     held = docs.sparkSession.sparkContext.broadcast(field)

@@ -16,10 +16,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tslake.llm.common import slices
+from tslake.llm.common import fresh, slices
 
-#: Bound of the training sample: labelled rows for each combination of label values, and text bytes of a row.
-SAMPLE_ROWS, SAMPLE_BYTES = 1500, 1 << 16
+#: Bound of the training sample: labelled rows for each combination of label values; their texts are taken whole.
+SAMPLE_ROWS = 1500
 #: Features that a model keeps: those most associated with its label, by a test statistic of at least LEAST_Z.
 FEATURES, LEAST_Z, FOLDS, RIDGE = 400, 4.0, 3, 1.0
 PREFIXES = (4, 5, 6)
@@ -155,7 +155,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...
             same = same & (F.col(c) > 0).eqNullSafe(F.lit(row[c]))
         keep = keep | (same & (draw < int(min(1.0, sample_rows / row["count"]) * (1 << 30))))
     chosen = marks.filter(keep)
-    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).filter(F.octet_length("_text") <= SAMPLE_BYTES)
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).filter(F.col("_text").isNotNull())
     joined = texts.join(F.broadcast(chosen), "_id")  # at most sample_rows rows for each combination of values
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,11 +164,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in ["_id", *names]], pa.array(rows, pa.binary())], ["_id", *names, "_features"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return joined.mapInArrow(run, f"_id {kind}, {', '.join(f'{c} double' for c in names)}, _features binary")
+    bound = 2 * sample_rows * max(1, len(counts))  # an id may come with many rows
+    rows = joined.mapInArrow(run, f"_id {kind}, {', '.join(f'{c} double' for c in names)}, _features binary")
+    return rows.orderBy(F.xxhash64("_id", "_features")).limit(bound)
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("quality", "toxic"), id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Chain:
-    """A chain fitted on a bounded sample (``sample_rows`` for each combination of label values)."""
+    """A chain fitted on a bounded sample: some ``sample_rows`` for each combination of label values, twice that in all at most."""
     rows = sorted(training_rows(docs, labels, categories, id_col, text_col, sample_rows).collect(), key=lambda r: (zlib.crc32(str(r[0]).encode()), r[-1]))
     y = np.array([[np.nan if v is None else float(v > 0) for v in r[1:-1]] for r in rows]).reshape(len(rows), len(categories))
     return Chain([np.frombuffer(r[-1], np.uint32) for r in rows], y)
@@ -195,7 +197,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = (
 
     Texts without words (null, empty) get probability 0. Labels that are null are left out of their category's
     training; repeated labels of an id count as their maximum; with labels of one value only, or none, the prediction
-    is that share, or 0. A null id stays null, repeated rows are judged each, an empty table gives none, other columns
+    is that share, or 0. Texts of any length are judged whole. A null id stays null, repeated rows are judged each, an empty table gives none, other columns
     are ignored.
     """
     run = probability_columns(train(docs, labels, categories, id_col, text_col, sample_rows), docs, categories)
@@ -204,7 +206,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = (
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, categories: tuple[str, ...] = ("quality", "toxic"), threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose last category reaches ``threshold``; all columns stay."""
+    """``docs`` without the rows whose last category reaches ``threshold``; all columns stay, whatever their names.
+
+    Rows are judged as by ``toxicity``: null, empty and wordless texts have probability 0 and stay, long texts are
+    judged whole, repeated rows stay or go together, ids aren't looked at; without labels, or on an empty table,
+    nothing goes.
+    """
     run = probability_columns(train(docs, labels, categories, id_col, text_col), docs, categories)
-    scored = docs.withColumn("_toxicity", run(F.col(text_col)))
-    return scored.filter(F.col(f"_toxicity.p_{categories[-1]}") < threshold).select(docs.columns)
+    name = fresh(docs, "toxicity")
+    scored = docs.withColumn(name, run(F.col(text_col)))
+    return scored.filter(F.col(f"{name}.p_{categories[-1]}") < threshold).select(docs.columns)
