@@ -132,6 +132,43 @@ def test_secrets(spark, documents):
     assert after[1] is None and "hunter2xx" not in after[20] and after[4] == "plain words here"
 
 
+def test_secrets_in_time():
+    """Texts of a megabyte that a scan could read again and again, and heads that no parser should follow."""
+    import base64
+    import time
+
+    def jwt(head):
+        return base64.urlsafe_b64encode(head).decode().rstrip("=")
+
+    deep = jwt(b'{"alg":' + b"[" * 100_000 + b"]" * 100_000 + b"}")
+    texts = [
+        "eyJ" * 350_000, "eyJ." * 260_000, "eyJabcdefgh." * 90_000, "token" * 200_000, "token " + " " * 1_000_000 + "x", "token" + " " * 1_000_000 + "= abcdefgh", "secret:" * 150_000,
+        "AKIA" * 250_000, "a0" * 500_000, "IBAN DE" * 150_000, "IBAN DE89" + "A" * 1_000_000, "ghp_" * 250_000, f"{deep}.eyJhIjoxfQ.abcdefghijklmnopqrstuvwxyz", f"{deep} " * 4,
+        f"{jwt(b'{' + b' ' * 500_000)}.eyJhIjoxfQ.abcdefghijklmnopqrst", f"{jwt(b'[' + b'1' * 5000 + b']')}.ab.abcdefghijklmnopqrst", "\"'token'\"" * 100_000,
+    ]
+    for text in texts:
+        begin = time.process_time()
+        spans = secret_scan.scan(text)
+        assert time.process_time() - begin < 1.5 * max(1, len(text) / 1e6), text[:20]
+        assert tuple(plain_base(text))[:3] == tuple(sum(s[2] == kind for s in spans) for kind in secret_scan.LEAST)
+        assert secret_scan.listed([s for s in spans if s[2] in secret_scan.LEAST]) == plain_spans(text)
+    assert not [s for t in texts for s in secret_scan.scan(t[:1000]) if s[2] == "jwt"]
+
+
+def plain_spans(text):
+    assign = [m.span() for m in secret_scan.ASSIGN.finditer(text) if len(m[2]) >= 6]
+    access = [m.span() for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    hexes = [m.span() for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted((a, k, b) for k, spans in enumerate((assign, access, hexes)) for a, b in spans))
+
+
+def test_secrets_edges(spark):
+    assert secret_scan.find_secrets(table(spark, [])).count() == 0 and secret_scan.redact(table(spark, [])).count() == 0
+    docs = spark.createDataFrame([(1, "token=abcdefgh", "x", 3), (1, "token=abcdefgh", "x", 3), (None, None, "y", 4)], "doc_id long, text string, _found string, n_chars int")
+    assert secret_scan.find_secrets(docs).count() == 3
+    assert sorted(map(tuple, secret_scan.redact(docs).collect()), key=repr) == sorted([(1, "[assign]", "x", 8)] * 2 + [(None, None, "y", None)], key=repr)
+
+
 def test_forge_checksum():
     import zlib
 
