@@ -45,6 +45,12 @@ def shared_folder(spark: SparkSession) -> str:
     return named or tempfile.mkdtemp(prefix="spark-")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, in any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` stored in the session's shared folder, its lineage cut."""
     context = df.sparkSession.sparkContext

@@ -17,8 +17,8 @@ def _cut(df: DataFrame) -> DataFrame:
     return checkpointed(df.select(*[F.shiftright(c, 0).alias(c) for c in df.columns]))
 
 
-def _looked_up(df: DataFrame, key: str, table: DataFrame, value: str, how: str) -> DataFrame:
-    """``df`` with the ``value`` that ``table`` (node, ...) has for its ``key``; a key's rows are dealt to ``SALTS`` tasks."""
+def looked_up(df: DataFrame, key: str, table: DataFrame, value: str, how: str) -> DataFrame:
+    """``df`` with the ``value`` that the last column of ``table`` (node, ...) has for its ``key``; a key's rows are dealt to ``SALTS`` tasks."""
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     own = table.select(F.col("node").alias("_node"), F.col(table.columns[-1]).alias(value), salts.alias("_own"))
     dealt = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
@@ -37,12 +37,12 @@ def connected(edges: DataFrame) -> DataFrame:
     both = _cut(known.unionByName(known.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     labels = _cut(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("label")).withColumnRenamed("src", "node"))
     while True:
-        near = _looked_up(both, "dst", labels, "label", "inner").groupBy("src").agg(F.min("label").alias("least"))
+        near = looked_up(both, "dst", labels, "label", "inner").groupBy("src").agg(F.min("label").alias("least"))
         told = labels.join(near, labels.node == near.src).select("node", "label", "least")
         least = told.select("node", "least").unionByName(told.select(F.col("label").alias("node"), "least")).groupBy("node").agg(F.min("least").alias("least"))
         lower = _cut(labels.join(least, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label")))
         up = lower.filter("label < node").select("node", "label")
-        new = _cut(_looked_up(lower, "label", up, "top", "left").select("node", "old", F.least("label", "top").alias("label")))
+        new = _cut(looked_up(lower, "label", up, "top", "left").select("node", "old", F.least("label", "top").alias("label")))
         labels = new.select("node", "label")
         if new.filter("label < old").isEmpty():
             return labels.withColumnRenamed("label", "component")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tslake.llm.common import checkpointed, slices, utf8
-from tslake.llm.components import connected
+from tslake.llm.components import connected, looked_up
 from tslake.llm.words import BLANK_SEPARATED, U, mix, runs, sequences, words
 
 SHINGLE, THRESHOLD_FIFTHS = 5, 4  # Jaccard of 4/5
@@ -255,7 +255,7 @@ def groups(classes: DataFrame) -> DataFrame:
     alone = members.select("bucket", "hub", "size").distinct().join(component, F.col("hub") == F.col("node")).groupBy("component").agg(F.sum(F.col("size").cast("double") * F.col("size")).alias("_alone"))
     whole = component.groupBy("component").agg(F.count("*").alias("size")).join(alone, "component")
     whole = whole.select("component", "size", (F.col("size").cast("double") * F.col("size") <= F.col("_alone")).alias("_whole"))
-    judged = component.join(whole, "component")
+    judged = looked_up(component, "component", whole.select(F.col("component").alias("node"), F.struct("size", "_whole").alias("_of")), "_of", "inner").select("*", "_of.*").drop("_of")
     none = F.lit(None).cast("array<bigint>")
     together = judged.filter("_whole").select(F.col("component").alias("group"), "node", "size", none.alias("buckets"))
     apart = members.join(judged.filter("not _whole").select("node"), "node", "left_semi")
@@ -289,7 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = linked.groupBy("node").agg(F.sum("links").alias("n_links"))
     named = classes.select("a", "b", "rep", "copies").join(found, F.col("a") == F.col("node"), "left").drop("node")
     least = named.filter("component is not null").groupBy("component").agg(F.min("rep").alias("_least"))
-    named = named.join(least, "component", "left").join(links, F.col("a") == F.col("node"), "left")
+    named = looked_up(named, "component", least.withColumnRenamed("component", "node"), "_least", "left").join(links, F.col("a") == F.col("node"), "left")
     named = named.select("a", "b", F.coalesce("_least", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("copies").alias("n_copies"))
     own = sig.select("_id", F.when(F.col("_id").isNotNull() & (F.col("n") > 0), F.col("a")).alias("a"), F.when(F.col("n") > 0, F.col("b")).alias("b"))
     alone = F.col("_id").isNotNull()
