@@ -7,13 +7,12 @@ one's ``docs``; all but the last return the columns of ``documents``.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tslake.llm import decontam, forest, packing, secret_scan, toxicity
-from tslake.llm.common import ship, table
+from tslake.llm.common import remove, shared_folder, ship, table
 from tslake.llm.queries import tokenizer_path
 
 
@@ -52,14 +51,15 @@ STAGES = [
 ORACLE_SQL = None
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder where the session's checkpoints go; a temporary one only where the session names none."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/{uuid.uuid4().hex}"
-
-
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, folder = table(spark, sf_dir, "documents"), shared_folder(spark)
+    """The last stage's rows. Each stage's folder is removed once the next one's is written; the last stage stores what it has read."""
+    docs, folder, before = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/{uuid.uuid4().hex}", None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+        if before:
+            remove(spark, before)
+        before = f"{folder}/{name}"
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    remove(spark, folder)
+    return out
