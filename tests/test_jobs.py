@@ -178,3 +178,73 @@ def test_readers(spark, tmp_path):
     assert [tuple(r) for r in readers.channel_mapping(spark, f"{tmp_path}/map").collect()] == [("S1", "U", "Stack Voltage")]
     assert readers.channel_mapping(spark, f"{tmp_path}/map", for_converter=True).count() == 3
     assert set(BRONZE) == {"filemeta", "channel", "timeseries", "statistics"}
+
+
+def test_returned_status_of_every_run(spark, tmp_path):
+    """Frames of earlier runs stay readable; a run that broke off leaves nothing behind; a new version counts once."""
+    layout, mapping = Layout(f"file://{tmp_path}"), readers.literal_mapping(spark, MAPPING)
+    first = pipeline.convert_job(spark, layout, files(spark, ["a", "empty"]), sheets(spark, ["a"]))
+    second = pipeline.convert_job(spark, layout, files(spark, ["a", "b", "empty"]), sheets(spark, ["a", "b"]))
+    third = pipeline.convert_job(spark, layout, files(spark, ["a", "b"]), sheets(spark, ["a", "b"]))
+    status = [{r["file_name"]: (r["status"], r["retry_count"]) for r in run.collect()} for run in (first, second, third)]
+    assert status == [{"a.xlsx": ("SUCCESS", 0), "empty.xlsx": ("FAILED", 1)}, {"b.xlsx": ("SUCCESS", 0), "empty.xlsx": ("FAILED", 2)}, {}]
+    rows = count(spark, layout, "converted/timeseries")
+    with pytest.MonkeyPatch.context() as patch:  # breaks off between the export and the tracking of its files
+        patch.setattr(pipeline, "replace_table", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError, match="lost"):
+            pipeline.convert_job(spark, layout, files(spark, ["c"]), sheets(spark, ["c"]))
+    assert count(spark, layout, "converted/timeseries") > rows
+    again = pipeline.convert_job(spark, layout, files(spark, ["c"]), sheets(spark, ["c"]))
+    assert [r["file_name"] for r in again.collect()] == ["c.xlsx"]
+    assert count(spark, layout, "converted/timeseries") == rows * 3 // 2
+    pipeline.convert_job(spark, layout, files(spark, ["a"], "2026-03-01"), sheets(spark, ["a"]))  # a newer version, in the same ingestion
+    bronze.ingest_all(spark, f"{layout.base}/converted", f"{layout.base}/bronze", f"{layout.base}/_checkpoints")
+    assert count(spark, layout, "bronze/timeseries") == 2 * rows
+    added = pipeline.silver_job(spark, layout, mapping)
+    assert added["dim_experiment"] == 3 and added["sheets_without_file"] == 0
+    assert pipeline.gold_job(spark, layout)["timeseries"] == 3 * rows // 2
+
+
+def test_older_tracking_tables(spark, tmp_path):
+    layout = Layout(f"file://{tmp_path}")
+    old = files(spark, ["a"]).withColumns({"status": F.lit("FAILED"), "error_message": F.lit("x")})
+    writers.write_table(old, layout.tracking)
+    got = pipeline.convert_job(spark, layout, files(spark, ["a", "b"]), sheets(spark, ["b"])).collect()
+    assert {r["file_name"]: (r["status"], r["retry_count"]) for r in got} == {"a.xlsx": ("FAILED", 1), "b.xlsx": ("SUCCESS", 0)}
+    writers.replace_table(readers.read_table(spark, layout.tracking), layout.tracking)
+    import os
+
+    os.rename(f"{tmp_path}/_tracking/files", f"{tmp_path}/_tracking/files_old")  # a swap that broke off
+    assert pipeline.convert_job(spark, layout, files(spark, ["b"]), sheets(spark, ["b"])).count() == 0
+
+
+def test_converter_takes_series_mapping_and_area(spark, tmp_path):
+    mapping = readers.literal_mapping(spark, [("S1", "Stack Voltage", "U"), ("S2", "Current", "no")])
+    definitions = spark.createDataFrame([("S1", 44.0)], "series string, active_area_cm2 double")
+    for k, area in enumerate((None, definitions)):
+        pipeline.convert_job(spark, Layout(f"file://{tmp_path}/{k}"), files(spark, ["a"]), sheets(spark, ["a"]), mapping, area)
+    one, two = (readers.read_table(spark, f"file://{tmp_path}/{k}/converted/timeseries").filter("channel_id = 'Current density'").orderBy("sample_offset").collect() for k in (0, 1))
+    assert len(one) == len(two) and all(abs(b["value"] - 2 * a["value"]) < 1e-9 for a, b in zip(one, two) if a["value"] is not None)
+
+
+def test_rule_parameters(spark):
+    rows = [("u", "g", k, f"2024-01-01 00:00:{s:02d}", 0.0, c, 1.0, None) for k, (s, c) in enumerate([(1, "a"), (5, "a"), (3, "a"), (2, "b"), (1, "b")])]
+    df = long_rows(spark, rows)
+    assert {r["sample_offset"] for r in dq.evaluate_rule(df, dq.Rule("m", "m", "timestamp", "monotonic_increasing")).collect()} == {2, 3, 4}
+    a = dq.Rule("m", "m", "timestamp", "monotonic_increasing", params={"channel_equals": "a", "order_by": "sample_offset", "partition_by": "uuid"})
+    assert {r["sample_offset"] for r in dq.evaluate_rule(df, a).collect()} == {2}
+    other = dq.Rule("n", "n", "value_str", "not_null", params={"channel_column": "name", "channel_regex": "^b"})
+    assert dq.evaluate_rule(df.withColumnRenamed("channel_id", "name"), other).count() == 2
+    day = dq.Rule("p", "p", "timestamp", "timestamp_parseable", params={"format": "dd.MM.yyyy"})
+    assert dq.evaluate_rule(df.withColumn("timestamp", F.lit("31.12.2024")), day).count() == 0
+
+
+def test_latest_does_not_depend_on_partitions(spark):
+    rows = [("u", "g", k, "2024-01-01", f"x{k}") for k in range(6)]
+    df = spark.createDataFrame(rows, "uuid string, `group` string, n int, _bronze_ingested_at string, name string")
+    got = {dims.latest(df.repartition(n), ["uuid", "group"]).first()["name"] for n in (1, 3, 6)}
+    assert got == {"x5"}
+    mapping = readers.literal_mapping(spark, [("S", "V", "B"), ("S", " V ", "A")])
+    channel = spark.createDataFrame([("u", "g", "c", "V", "", 0)], "uuid string, `group` string, channel_id string, raw_channel string, unit string, column_index int")
+    experiments = spark.createDataFrame([(1, "u", "g", "S")], "experiment_id long, uuid string, `group` string, series string")
+    assert dims.dim_signal(channel, experiments, mapping).first()["std_channel"] == "A"

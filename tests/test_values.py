@@ -58,3 +58,9 @@ def test_unpivot_keeps_nulls(spark):
     wide = spark.createDataFrame([(1, "text_value", None), (2, "123.4", 5.0)], "id int, a string, `b c` double")
     got = sorted(map(tuple, longform.split_value(longform.unpivot_long(wide, ["a", "b c"], ["id"])).collect()), key=repr)
     assert got == sorted([(1, "a", None, "text_value"), (1, "b c", None, None), (2, "a", 123.4, None), (2, "b c", 5.0, None)], key=repr)
+
+
+def test_series_keeps_its_digits(spark):
+    paths = ["series-0/a.xlsx", "1/10/11/b.xlsx", " S2 /c.xlsx", "lonely.xlsx", "00\\11\\d.xlsx"]
+    got = spark.createDataFrame([(p,) for p in paths], "p string").select(V.series_from_path(F.col("p"))).collect()
+    assert [r[0] for r in got] == ["series-0", "11", "S2", None, "11"]

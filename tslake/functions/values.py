@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -82,7 +81,7 @@ def is_unit_cell(c: Column) -> Column:
 
 def series_from_path(path: Column) -> Column:
     """Name of the folder that holds a file; null if the path has none."""
-    parts = F.filter(F.transform(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), F.trim), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(F.replace(path, F.lit("\\"), F.lit("/")), "/"), lambda x: F.trim(x)), lambda x: x != "")  # a bare F.trim would take the index as what to trim
     return F.when(F.size(parts) >= 2, F.element_at(parts, -2))
 
 
@@ -94,6 +93,3 @@ def channel_norm(c: Column) -> Column:
     """Name for comparison: trimmed, lower case, underscores as blanks."""
     return F.lower(F.trim(F.replace(F.coalesce(c, F.lit("")), F.lit("_"), F.lit(" "))))
 
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions, F.lit(False))

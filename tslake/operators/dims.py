@@ -7,11 +7,24 @@ from pyspark.sql import functions as F
 
 
 def latest(df: DataFrame, keys: list[str], order: str = "_bronze_ingested_at") -> DataFrame:
-    """The most recent row of each key (of equals, any one); without the order column, distinct rows."""
-    if order not in df.columns:
-        return df.dropDuplicates(keys)
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_row")).select(*keys, "_row.*")
+    """The most recent row of each key: by ingestion, then by the converter's run, then the greatest; whatever the partitions."""
+    first = [c for c in (order, "_run") if c in df.columns]
+    rest = [c for c in df.columns if c not in keys and c not in first]
+    return df.groupBy(*keys).agg(F.max(F.struct(*first, *rest)).alias("_row")).select(*keys, "_row.*").select(df.columns)
+
+
+def latest_version(facts: DataFrame, keys: list[str], order: str = "_bronze_ingested_at") -> DataFrame:
+    """All rows of the most recent ingestion (and of it, the last run) of each key; null keys stay as they are.
+
+    The versions are few rows a sheet; only they are aggregated.
+    """
+    first = [c for c in (order, "_run") if c in facts.columns]
+    if not first:
+        return facts
+    version = F.struct(*first)
+    last = facts.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.max(version).alias("_last"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return facts.join(last, [*same, version.eqNullSafe(F.col("_last"))], "left_semi")
 
 
 def dim_experiment(sheets: DataFrame, filemeta: DataFrame) -> DataFrame:
@@ -29,9 +42,9 @@ def sheets_without_file(sheets: DataFrame, filemeta: DataFrame) -> DataFrame:
 def dim_signal(channel: DataFrame, experiments: DataFrame, mapping: DataFrame) -> DataFrame:
     """One row for each channel of each experiment, with its canonical name: the mapping's for (series, raw name), else the channel id.
 
-    Names are compared trimmed. The mapping is the configuration of a few series; its size decides whether Spark broadcasts it.
+    Names are compared trimmed; of entries that clash the first in order counts. The mapping is the configuration of a few series; its size decides whether Spark broadcasts it.
     """
-    entries = mapping.select("series", F.trim("raw_channel").alias("_raw"), F.col("mapped_std_channel")).dropDuplicates(["series", "_raw"])
+    entries = mapping.select("series", F.trim("raw_channel").alias("_raw"), "mapped_std_channel").groupBy("series", "_raw").agg(F.min("mapped_std_channel").alias("mapped_std_channel"))
     known = latest(channel, ["uuid", "group", "channel_id"]).join(experiments.select("experiment_id", "uuid", "group", "series"), ["uuid", "group"])
     named = known.withColumn("_raw", F.trim("raw_channel")).join(entries, ["series", "_raw"], "left")
     return named.select(

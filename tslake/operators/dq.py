@@ -9,16 +9,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from tslake.functions.values import TIMESTAMP_FORMATS, parse_ts
 from tslake.schemas import DQ_RULES
 
+#: Format of times where a rule names none.
+TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 KEYS = ["uuid", "group", "sample_offset", "channel_id"]
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A check of one column. ``params`` may narrow the rows by ``channel_id`` (equality) and ``channel_regex``."""
+    """A check of one column. ``params`` may narrow the rows by ``channel_equals`` (or ``channel_id``) and ``channel_regex``,
+    which look at the column ``channel_column`` (``channel_id`` if none is named)."""
 
     rule_id: str
     rule_name: str
@@ -30,6 +34,7 @@ class Rule:
     is_blocking: bool = False
 
 
+#: The default rules' ids and names.
 DEFAULT_RULES = [
     Rule("ts_timestamp_not_null", "Timestamp must be present", "timestamp", "not_null"),
     Rule("ts_timestamp_parseable", "Timestamp must be parseable", "timestamp", "timestamp_parseable", params={"formats": TIMESTAMP_FORMATS}),
@@ -40,30 +45,40 @@ DEFAULT_RULES = [
 def selected(rule: Rule) -> Column:
     """Rows that a rule looks at."""
     out = F.lit(True)
-    if rule.params.get("channel_id"):
-        out = out & (F.col("channel_id") == rule.params["channel_id"])
+    channel = F.col(rule.params.get("channel_column", "channel_id"))
+    for name in ("channel_equals", "channel_id"):
+        if rule.params.get(name):
+            out = out & (channel == rule.params[name])
     if rule.params.get("channel_regex"):
-        out = out & F.col("channel_id").rlike(rule.params["channel_regex"])
+        out = out & channel.rlike(rule.params["channel_regex"])
     return F.coalesce(out, F.lit(False))
 
 
 def _failing(rule: Rule, df: DataFrame, flag: str) -> DataFrame:
-    """``df`` with a boolean column: the row fails the rule. Windows are over the rows that the rule looks at."""
+    """``df`` with a boolean column: the row fails the rule. Windows are over the rows that the rule looks at.
+
+    Parameters: ``formats`` or ``format`` of times; ``key_columns``; ``partition_by`` and ``order_by`` (a name or several).
+    """
     c, own = F.col(rule.target_column), selected(rule)
     if rule.rule_type == "not_null":
         return df.withColumn(flag, own & c.isNull())
     if rule.rule_type == "timestamp_parseable":
-        return df.withColumn(flag, own & c.isNotNull() & parse_ts(c, rule.params.get("formats")).isNull())
+        return df.withColumn(flag, own & c.isNotNull() & parse_ts(c, rule.params.get("formats") or [rule.params.get("format", TIME_FORMAT)]).isNull())
     if rule.rule_type == "no_duplicate_key":
         keys = rule.params["key_columns"]
         known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], own)
-        n = F.sum(own.cast("int")).over(W.partitionBy(*keys))
+        rest = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
+        spread = F.when(~known, F.xxhash64(*rest))  # rows that can't fail don't meet in one task
+        n = F.count("*").over(W.partitionBy(*keys, spread))
         return df.withColumn(flag, known & (n > 1))
     if rule.rule_type == "monotonic_increasing":
         p = rule.params
-        order = [*p["order_by"], *([] if "channel_id" in p["order_by"] or "channel_id" not in df.columns else ["channel_id"])]
-        value = F.try_to_timestamp(c, F.lit(p["format"])) if p.get("format") else c
-        w = W.partitionBy(*p["partition_by"], own).orderBy(*order)
+        listed = lambda x: [x] if isinstance(x, str) else list(x)
+        order = listed(p.get("order_by", "sample_offset"))
+        order += [] if "channel_id" in order or "channel_id" not in df.columns else ["channel_id"]
+        pattern = p.get("format", TIME_FORMAT)  # None: values are compared as they are
+        value = F.try_to_timestamp(c, F.lit(pattern)) if pattern else c
+        w = W.partitionBy(*listed(p.get("partition_by", ["uuid", "group"])), own).orderBy(*order)
         return df.withColumn("_now", value).withColumn("_before", F.lag("_now").over(w)).withColumn(flag, own & F.coalesce(F.col("_now") < F.col("_before"), F.lit(False))).drop("_now", "_before")
     raise ValueError(f"unknown rule type: {rule.rule_type}")
 

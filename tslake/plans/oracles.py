@@ -91,6 +91,22 @@ x as (select uuid, "group", cast(i as bigint) as sample_offset, cast(i + case wh
   cast(l_quantity as int)::double as ch, cast(l_quantity * 10 as int)::double as ch1, l_linenumber * 30.0::double as eff, concat('is ', l_linestatus) as note from n)"""
 
 
+_DENSE = """
+b as (select series, experiment_id, cast(floor(t / 600) * 600 as bigint) as elapsed_bin_s, min(t) as elapsed_time_s, min(t) as ts, avg(v) as value_mean, min(v) as value_min, max(v) as value_max, count(v) as value_count
+  from (select "group" as series, cast(regexp_extract(uuid, '[0-9]+') as bigint) as experiment_id, sample_offset * 20 as t, v_stack as v, current, fe_co from w) where current < 48 and fe_co > 5 group by all)"""
+_DENSE_SHOW = """series, experiment_id, elapsed_bin_s, round(cast(elapsed_time_s as double), 6) as elapsed_time_s, cast(ts * 1000000 as bigint) as ts_us,
+  round(value_mean, 6) as value_mean, round(value_min, 6) as value_min, round(value_max, 6) as value_max, cast(value_count as bigint) as value_count"""
+
+
+def _digest(c: str) -> str:
+    return f"sha1(unhex('a1b2c3d4e5f67890abcdef1234567890') || encode({c}))"
+
+
+def _uuid5(c: str) -> str:
+    """A version-5 UUID from the digest ``d``."""
+    return "concat(substr(d, 1, 8), '-', substr(d, 9, 4), '-5', substr(d, 14, 3), '-', format('{:x}', 8 + (instr('0123456789abcdef', substr(d, 17, 1)) - 1) % 4), substr(d, 18, 3), '-', substr(d, 21, 12))"
+
+
 def _derived_sheet() -> str:
     """Metrics that the grids' inputs allow: current density, in sheets whose second channel is called Current."""
     return """union all select uuid, "group", sample_offset, "timestamp", elapsed_time_s, 'Current density', 1000 * ch1 / 88.0, null from x where "group" <> 'N'"""
@@ -160,21 +176,37 @@ from bins join (select uuid, "group", count(*) as n, strptime(max("timestamp"),
             select *, row_number() over (partition by o_custkey, b order by o_orderkey) - 1 as k from (select o_custkey, o_orderkey, case when o_orderstatus = 'P' then 'unnamed' else o_orderstatus end as b from orders))""",
         "tracking_new_files": f"""with {_FILES} select f.blob_path, f.file_size from f where not exists (
             select 1 from t where t.status = 'SUCCESS' and t.blob_path = f.blob_path and t.file_size = f.file_size and t.last_modified = f.last_modified)""",
-        "tracking_watermark": f"""with {_FILES}, k as (select blob_path, file_size, status, last_modified - interval 60 days as last_modified from t where file_size % 4 = 1)
+        "tracking_watermark": f"""with {_FILES}, k as (select blob_path, file_size, status, last_modified - interval 60 days as last_modified from t)
             select blob_path, file_size from f where (last_modified >= (select max(last_modified) from k where status = 'SUCCESS') or not exists (select 1 from k where status = 'SUCCESS'))
             and not exists (select 1 from k where k.status = 'SUCCESS' and k.blob_path = f.blob_path and k.file_size = f.file_size and k.last_modified = f.last_modified)""",
         "tracking_exhausted": f"""with {_FILES} select blob_path, retry_count from f where blob_path not in (select blob_path from t where status = 'FAILED' and retry_count >= 5)""",
-        "tracking_upsert": f"""with {_FILES}, s as (select blob_path, file_size, case when file_size % 4 = 0 then 'SUCCESS' else 'FAILED' end as status from f where file_size % 2 = 0)
+        "tracking_upsert": f"""with {_FILES}, s as (select blob_path, file_size, case when month(last_modified) <= 6 then 'SUCCESS' else 'FAILED' end as status from f join (select o_orderkey as file_size from orders where o_orderstatus <> 'P') using (file_size))
             select coalesce(s.blob_path, t.blob_path) as blob_path, coalesce(s.file_size, t.file_size) as file_size, coalesce(s.status, t.status) as status,
               case when s.blob_path is null then t.error_message when s.status <> 'SUCCESS' then 'new' end as error_message,
               cast(case when s.blob_path is null then t.retry_count when s.status = 'SUCCESS' then 0 else coalesce(t.retry_count, 0) + 1 end as int) as retry_count,
               case when s.blob_path is null then t.duration_seconds else 2.0::double end as duration_seconds from t full join s on s.blob_path = t.blob_path""",
         "tracking_status_counts": """select count(*) filter (o_orderstatus <> 'F') as succeeded, count(*) filter (o_orderstatus = 'F') as failed from orders""",
-        "validate_orphans": """select distinct c_custkey from customer where c_custkey not in (select o_custkey from orders)""",
+        "validate_orphans": """select distinct o_custkey from orders where o_custkey not in (select c_custkey from customer where c_acctbal > 0)""",
         "validate_report": """select 'exists:orders' as "check", 'OK' as status, '' as detail, count(*) as n from orders union all select 'exists:lineitem', 'OK', '', count(*) from lineitem
             union all select 'columns:orders', 'FAILED', 'o_missing', 1
             union all select 'orphans:lineitem->orders', case when count(*) = 0 then 'OK' else 'FAILED' end, '', count(*) from (select distinct l_orderkey from lineitem where l_orderkey not in (select o_orderkey from orders))
-            union all select 'orphans:customer->orders', case when count(*) = 0 then 'OK' else 'FAILED' end, '', count(*) from (select distinct c_custkey from customer where c_custkey not in (select o_custkey from orders))""",
+            union all select 'orphans:orders->customer', case when count(*) = 0 then 'OK' else 'FAILED' end, '', count(*) from (select distinct o_custkey from orders where o_custkey not in (select c_custkey from customer where c_acctbal > 0))""",
+        "extension_filter": """select concat(p, e) as blob_path, case e when '' then 'xlsx' else 'xls' end as extension from (select concat('series-', cast(o_custkey % 10 as varchar), '/', cast(o_orderkey as varchar), '.xlsx') as p,
+            case o_orderkey % 3 when 0 then '.BAK' when 1 then '' else '.XLS' end as e from orders) where e <> '.BAK'""",
+        "file_uuid": f"select page_id, {_uuid5('url')} as file_uuid from (select page_id, url, {_digest('url')} as d from pages)",
+        "filemeta": f"""with {_FILES} select {_uuid5('blob_path')} as uuid, blob_path as file_path, string_split(blob_path, '/')[2] as raw_file_name, file_size, epoch_us(cast(last_modified as timestamp)) as last_modified,
+            string_split(blob_path, '/')[1] as series, 'Sheet1' as "group" from (select *, {_digest('blob_path')} as d from f)""",
+        "sheet_canonical": f"""with {_GRID}, h as (select distinct uuid, "group", cast(regexp_extract(uuid, '[0-9]+') as bigint) % 2 as odd from x),
+            c(k, name) as (values (0, 'Real time'), (1, 'Column_1'), (2, 'Time'), (3, 'Stack Voltage'), (4, 'Current'), (5, 'Efficiency'), (6, 'Note')),
+            r as (select *, case when "group" = 'N' and k in (3, 4) then 'CH' else name end as raw_channel from h cross join c)
+            select uuid, "group", cast(k as int) as col_idx, raw_channel, case when odd = 0 and raw_channel = 'CH' then 'Cell Voltage' when odd = 0 and raw_channel = 'Efficiency' then 'Energy Efficiency'
+              when odd = 1 and raw_channel = 'Current' then 'Stack Current' else raw_channel end as std_channel from r""",
+        "latest_version": """select concat('file-', cast(l_suppkey as varchar)) as uuid, l_returnflag as "group", l_orderkey as sample_offset, concat('c', cast(l_linenumber as varchar)) as channel_id, round(l_quantity, 6) as value
+            from lineitem qualify l_shipdate = max(l_shipdate) over (partition by l_orderkey)""",
+        "dense_bins": f"with {_WIDE}, {_DENSE} select {_DENSE_SHOW} from b",
+        "dense_tier": f"""with {_WIDE}, {_DENSE}, t as (select series, experiment_id, cast(floor(elapsed_bin_s / 3600) * 3600 as bigint) as elapsed_bin_s, min(elapsed_time_s) as elapsed_time_s, first(ts order by b.elapsed_bin_s) as ts,
+            sum(value_mean * value_count) / sum(value_count) as value_mean, min(value_min) as value_min, max(value_max) as value_max, sum(value_count) as value_count
+            from b group by series, experiment_id, floor(elapsed_bin_s / 3600)) select {_DENSE_SHOW} from t""",
         "datetime_merge": f"""with {_GRID} select uuid, "group", row_idx, "timestamp" from x""",
         "structural_split": f"""with {_GRID}, h as (select distinct uuid, "group" from x), c(k, id, name, unit, role) as (values (0, 'Real time', 'Real time', '', 'signal'), (1, 'unnamed', 'Column_1', '', 'signal'),
             (2, 'Time', 'Time', 's', 'elapsed'), (3, 'CH', 'Stack Voltage', 'V', 'signal'), (4, 'CH_1', 'Current', 'A', 'signal'), (5, 'Efficiency', 'Efficiency', '%', 'signal'), (6, 'Note', 'Note', '', 'signal'))

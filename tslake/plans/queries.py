@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +10,8 @@ from pyspark.sql import functions as F
 from tslake.functions import values
 from tslake.operators import derived, dims, dq, gold, grid, longform, maintain, serving, tracking, validate
 from tslake.plans import adapters as A
-from tslake.sources.readers import list_files, read_table
+from tslake.sources.readers import read_table, with_extensions
+from tslake.sources.writers import shared_folder
 from tslake.streaming.bronze import ingest
 from tslake.streaming.quality import check_stream
 
@@ -23,9 +23,9 @@ METRIC_NAMES = {
 NATURAL = ["uuid", "group", "series", "std_channel"]
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder beside the session's checkpoints, or a temporary one where the session names none."""
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession) -> str:
+    """A new folder beside the session's checkpoints."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
 
 
 def _r(*names: str) -> list[F.Column]:
@@ -193,7 +193,6 @@ def _checked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 KEYED = ["uuid", "group", "sample_offset", "channel_id", "rule_id"]
-MONOTONIC = dq.Rule("ts_monotonic", "Time must not fall", "timestamp", "monotonic_increasing", params={"partition_by": ["uuid", "group"], "order_by": ["sample_offset"], "format": "yyyy-MM-dd HH:mm:ss"}, is_blocking=True)
 
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,7 +210,7 @@ def dq_duplicate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_monotonic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dq.evaluate_rule(A.lineitem_long(spark, sf_dir).dropDuplicates(["uuid", "group", "sample_offset", "channel_id"]).withColumn("timestamp", F.lpad((F.col("sample_offset") * 7919 % 86400).cast("string"), 5, "0")), dq.Rule("mono", "mono", "timestamp", "monotonic_increasing", params={"partition_by": ["uuid", "group"], "order_by": ["sample_offset", "channel_id"]})).select(*KEYED, "timestamp")
+    return dq.evaluate_rule(A.lineitem_long(spark, sf_dir).dropDuplicates(["uuid", "group", "sample_offset", "channel_id"]).withColumn("timestamp", F.lpad((F.col("sample_offset") * 7919 % 86400).cast("string"), 5, "0")), dq.Rule("mono", "mono", "timestamp", "monotonic_increasing", params={"partition_by": ["uuid", "group"], "order_by": ["sample_offset", "channel_id"], "format": None})).select(*KEYED, "timestamp")
 
 
 def _failures(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -292,9 +291,9 @@ def tracking_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tracking_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files since the high watermark of the files from before 1997."""
+    """Files since the high watermark, where files of the last 60 days haven't been tracked in their present version."""
     files = A.order_files(spark, sf_dir)
-    known = A.order_tracking(files).filter("file_size % 4 = 1")
+    known = A.order_tracking(files)
     return tracking.new_files(files, known.withColumn("last_modified", F.col("last_modified") - F.expr("interval 60 days")), strict_watermark=True).select("blob_path", "file_size")
 
 
@@ -306,9 +305,11 @@ def tracking_exhausted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tracking_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = A.order_files(spark, sf_dir)
     none = F.lit(None).cast("string")
-    results = files.filter("file_size % 2 = 0").select(
-        "blob_path", "file_name", "file_size", none.alias("file_uuid"), "last_modified", F.when(F.col("file_size") % 4 == 0, "SUCCESS").otherwise("FAILED").alias("status"),
-        none.alias("output_paths"), F.when(F.col("file_size") % 4 != 0, "new").alias("error_message"), F.lit(2.0).alias("duration_seconds"),
+    open_ = A.table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("file_size"))  # pending ones have no result yet
+    good = F.month("last_modified") <= 6
+    results = files.join(open_, "file_size").select(
+        "blob_path", "file_name", "file_size", none.alias("file_uuid"), "last_modified", F.when(good, "SUCCESS").otherwise("FAILED").alias("status"),
+        none.alias("output_paths"), F.when(~good, "new").alias("error_message"), F.lit(2.0).alias("duration_seconds"),
     )
     return tracking.upsert(A.order_tracking(files), results).select("blob_path", "file_size", "status", "error_message", "retry_count", "duration_seconds")
 
@@ -318,7 +319,8 @@ def tracking_status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.orphans(A.table(spark, sf_dir, "customer"), A.table(spark, sf_dir, "orders"), ["c_custkey"], ["o_custkey"])
+    """Customers of orders that aren't known, where only those with money count as known."""
+    return validate.orphans(A.table(spark, sf_dir, "orders"), A.table(spark, sf_dir, "customer").filter("c_acctbal > 0"), ["o_custkey"], ["c_custkey"])
 
 
 def validate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,19 +328,63 @@ def validate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = [
         validate.row_count("orders", o), validate.row_count("lineitem", li), validate.required_columns(spark, "orders", o.columns, ["o_orderkey", "o_custkey", "o_missing"]),
         validate.orphan_check("lineitem->orders", li.withColumnRenamed("l_orderkey", "k"), o.withColumnRenamed("o_orderkey", "k"), ["k"]),
-        validate.orphan_check("customer->orders", c.withColumnRenamed("c_custkey", "k"), o.withColumnRenamed("o_custkey", "k"), ["k"]),
+        validate.orphan_check("orders->customer", o.withColumnRenamed("o_custkey", "k"), c.filter("c_acctbal > 0").withColumnRenamed("c_custkey", "k"), ["k"]),
     ]
     return validate.report(checks)
 
 
-def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The given tables' own files."""
-    return list_files(spark, sf_dir, ("parquet",)).select("blob_path", "file_name", "file_size", "file_uuid", "extension")
+def extension_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages whose address ends in one of some extensions; orders listed as files of three kinds."""
+    files = A.order_files(spark, sf_dir).withColumn("blob_path", F.concat("blob_path", F.when(F.col("file_size") % 3 == 0, ".BAK").when(F.col("file_size") % 3 == 1, "").otherwise(".XLS")))
+    return with_extensions(files.withColumn("extension", values.extension(F.col("blob_path"))), ("xlsx", ".xls")).select("blob_path", "extension")
+
+
+def filemeta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = A.order_files(spark, sf_dir).select(values.file_uuid(F.col("blob_path")).alias("uuid"), F.lit("Sheet1").alias("group"), F.col("blob_path").alias("file_path"), "file_size", "last_modified")
+    return grid.filemeta(files).drop("ingested_timestamp").withColumn("last_modified", F.unix_micros("last_modified"))
+
+
+def sheet_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers under a mapping by series, where a supplier's parity is the series."""
+    head = grid.headers(A.lineitem_cells(spark, sf_dir))
+    odd = F.regexp_extract("uuid", "([0-9]+)", 1).cast("long") % 2
+    files = head.select("uuid", odd.alias("_odd")).distinct().select(F.col("uuid").alias("file_uuid"), F.concat(F.lit("lab/S"), F.col("_odd").cast("string"), F.lit("/"), "uuid").alias("blob_path"))
+    mapping = A.literal_mapping(spark, [("S0", " ch ", "Cell Voltage"), ("S0", "Efficiency", "Energy Efficiency"), ("S1", "CURRENT", "Stack Current"), ("S1", "current", "Z"), ("S9", "Note", "none")])
+    return grid.canonical(head, grid.file_mapping(files, mapping)).select("uuid", "group", "col_idx", "raw_channel", "std_channel")
+
+
+def latest_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of orders: of an order's lines those that were shipped last."""
+    li = A.lineitem_long(spark, sf_dir).withColumn("_bronze_ingested_at", F.to_timestamp("timestamp"))
+    return dims.latest_version(li, ["sample_offset"]).select("uuid", "group", "sample_offset", "channel_id", *_r("value"))
+
+
+def dense_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of ten minutes with many samples each: a supplier's line items, 20 seconds apart."""
+    return _dense(spark, sf_dir).transform(_dense_shown)
+
+
+def dense_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bins of an hour from those of ten minutes."""
+    return gold.coarsen(_dense(spark, sf_dir), 3600).transform(_dense_shown)
+
+
+def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    w = A.lineitem_wide(spark, sf_dir)
+    own = w.select(
+        F.col("group").alias("series"), F.lit("V").alias("std_channel"), F.regexp_extract("uuid", "([0-9]+)", 1).cast("long").alias("experiment_id"), F.lit(1).cast("long").alias("signal_id"), "sample_offset",
+        F.when(F.col("current") < 48, F.col("sample_offset") * 20.0).alias("elapsed_time_s"), F.timestamp_seconds(F.col("sample_offset") * 20).alias("timestamp"), F.when(F.col("fe_co") > 5, F.col("v_stack")).alias("value"),
+    )
+    return gold.bin_samples(own, 600)
+
+
+def _dense_shown(bins: DataFrame) -> DataFrame:
+    return bins.select("series", "experiment_id", "elapsed_bin_s", *_r("elapsed_time_s"), F.unix_micros("timestamp").alias("ts_us"), *_r("value_mean", "value_min", "value_max"), "value_count")
 
 
 def _dropped(spark: SparkSession, sf_dir: str, ingest_between) -> str:
     """Events written in two drops, each taken up by a run of its own."""
-    folder = shared_folder(spark)
+    folder = new_folder(spark)
     long = A.events_long(spark, sf_dir).drop("series", "props", "event_id")
     for k in (0, 1):
         long.filter(f"sample_offset % 2 = {k}").write.mode("append").parquet(f"{folder}/in")
@@ -354,7 +400,7 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows that a stream finds to regress in time, over both drops."""
+    """Rows of views, whose text is always missing, and all others, over both drops: what a stream finds and what it keeps."""
     rules = [dq.Rule("view_null", "view", "value_str", "not_null", params={"channel_id": "view"}, is_blocking=True)]
     folder = _dropped(spark, sf_dir, lambda f: check_stream(spark, f"{f}/in", f"{f}/out", f"{f}/checkpoint", rules, "write_clean_table"))
     failed = read_table(spark, f"{folder}/out/fact_timeseries_dq_result").groupBy("uuid", "group").agg(F.count("*").alias("failed"))
@@ -372,7 +418,7 @@ ALL = (
     dim_experiment_orphans, dim_signal, dim_signal_conflicts, parse_timestamps, dq_not_null, dq_timestamp_parse, dq_duplicate_key, dq_monotonic, dq_all,
     dq_summary, dq_clean, dq_flag, dq_delete, file_uuid, sanitize_name, series_from_path, unit_row_detection, unique_channel_names, datetime_merge,
     structural_split, sheet_to_long, sheet_channels, tracking_new_files, tracking_watermark, tracking_exhausted, tracking_upsert, tracking_status_counts,
-    validate_orphans, validate_report, file_listing, stream_bronze, stream_dq, compact_sorted,
+    validate_orphans, validate_report, extension_filter, filemeta, sheet_canonical, latest_version, dense_bins, dense_tier, stream_bronze, stream_dq, compact_sorted,
 )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tslake.functions.values import extension, file_uuid
-from tslake.schemas import MAPPING, SHEET_CELLS
+from tslake.schemas import MAPPING
 
 
 def list_files(spark: SparkSession, folder: str, extensions: tuple[str, ...] = ("xlsx", "xls")) -> DataFrame:
@@ -47,10 +47,6 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def empty_grid(spark: SparkSession) -> DataFrame:
-    return empty(spark, SHEET_CELLS)
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a folder holds a table, in any store that Spark reads."""
     jvm = spark.sparkContext._jvm
@@ -59,10 +55,17 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """A Parquet table, the union of its files' columns; where it is missing, an empty one of ``schema``."""
-    if schema is not None and not exists(spark, path):
-        return empty(spark, schema)
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """A Parquet table, the union of its files' columns; where it is missing, an empty one of ``schema``.
+
+    Columns of ``schema`` that an older table lacks are null.
+    """
+    if schema is None:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    none = empty(spark, schema)
+    if not exists(spark, path):
+        return none
+    found = spark.read.option("mergeSchema", True).parquet(path)
+    return found.withColumns({f.name: F.lit(None).cast(f.dataType) for f in none.schema if f.name not in found.columns} or {found.columns[0]: F.col(found.columns[0])})
 
 
 def channel_mapping(spark: SparkSession, folder: str, for_converter: bool = False) -> DataFrame:

@@ -12,11 +12,19 @@ from pyspark.sql import functions as F
 from tslake.sources.readers import exists, read_table
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The session's ``spark.checkpoint.dir``; where that is unset, a temporary folder, which only a local master may use."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
+    return named or tempfile.mkdtemp(prefix="spark-")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` stored in the session's ``spark.checkpoint.dir``, its lineage cut; a temporary folder only where none is set."""
+    """``df`` stored in the session's shared folder, its lineage cut."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
@@ -33,7 +41,8 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
 def replace_table(df: DataFrame, path: str) -> int:
     """Writes to a staging folder and swaps it in, so that ``df`` may read the table that it replaces.
 
-    The swap is two renames: a crash between them leaves the old rows beside the path, under ``_old``.
+    The swap is two renames: a crash between them leaves the old rows beside the path, under ``_old``; ``restore``
+    brings them back.
     """
     spark = df.sparkSession
     staging, old = f"{path}_staging", f"{path}_old"
@@ -49,6 +58,20 @@ def replace_table(df: DataFrame, path: str) -> int:
     return n
 
 
+def restore(spark: SparkSession, path: str) -> None:
+    """Undoes a swap that broke off between its two renames."""
+    if not exists(spark, path) and exists(spark, f"{path}_old"):
+        jvm = spark.sparkContext._jvm
+        old, there = jvm.org.apache.hadoop.fs.Path(f"{path}_old"), jvm.org.apache.hadoop.fs.Path(path)
+        there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(old, there)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, in any store that Spark reads."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def append_new(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> int:
     """Appends the rows whose keys the table hasn't yet; a second run adds none."""
     if exists(spark, path):
@@ -56,6 +79,6 @@ def append_new(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -
     return write_table(df, path, "append")
 
 
-def export_tables(tables: dict[str, DataFrame], folder: str) -> dict[str, int]:
-    """One Parquet folder for each table."""
-    return {name: write_table(df, f"{folder}/{name}", "append") for name, df in tables.items()}
+def export_tables(tables: dict[str, DataFrame], folder: str, run: str) -> dict[str, int]:
+    """One Parquet folder for each table, and in it one for each run, which replaces what the same run has left there."""
+    return {name: write_table(df, f"{folder}/{name}/run={run}", "overwrite") for name, df in tables.items()}
