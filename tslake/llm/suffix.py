@@ -122,6 +122,10 @@ class Queue:
         some = self.values[:most]
         return self.keys[:most], some >> 16, (some & 0xFFFF).astype(np.int16)
 
+    def ends_key(self, n: int) -> bool:
+        """Whether the ``n``-th of the next tuples is the last that now waits under its key."""
+        return self.keys[n] != self.keys[n - 1] if n < len(self.keys) else not self.runs[self.at]
+
     def drop(self, n: int) -> None:
         self.keys, self.values = self.keys[n:], self.values[n:]
 
@@ -226,6 +230,33 @@ def repeats(text: np.ndarray, p: np.ndarray, depth: int) -> np.ndarray:
     return out
 
 
+def run_up(text: np.ndarray, positions: np.ndarray, common: np.ndarray, depth: int, most: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """What suffixes of one character, all that others induce, induce under the same character in turn: (positions, common prefixes) in order.
+
+    First those one place to the left of each, then those two places to the left, and so on, as far as the character is
+    repeated there. None if they are more than ``most``.
+    """
+    left, todo, step = np.zeros(len(positions), np.int64), np.arange(len(positions)), np.arange(1, 17)
+    c = text[positions[0]]
+    while len(todo):
+        at = (positions[todo] - left[todo])[:, None] - step
+        other = (text[np.maximum(at, 0)] != c) | (at < 0)
+        more = np.where(other.any(axis=1), other.argmax(axis=1), 16)
+        left[todo] += more
+        todo = todo[more == 16]
+        if left.sum() > most:
+            return None
+    owner = np.repeat(np.arange(len(positions)), left)
+    place = np.arange(1, len(owner) + 1) - np.repeat(np.cumsum(left) - left, left)
+    order = np.argsort(place, kind="stable")
+    owner, place = owner[order], place[order]
+    out = place.copy()  # the first of a round and the last of the round before share that many of the character
+    same = np.flatnonzero(place[1:] == place[:-1]) + 1
+    if len(same):
+        out[same] += least_between(common, owner[same - 1] + 1, owner[same] + 1)
+    return positions[owner] - place, np.minimum(out, depth).astype(np.int16)
+
+
 class Pieces:
     """The pieces of text from each left-most S-type place to the next, both included; of equal characters the L-type is smaller."""
 
@@ -316,6 +347,7 @@ def _scan(text: np.ndarray, s: np.ndarray, given: Iterator, counts: tuple[np.nda
         low = np.full(len(keys) + 1, 2 * sigma)
         low[fit + 1] = target
         n = int((keys <= np.minimum.accumulate(low)[:-1]).sum())  # those that no tuple to come precedes: the first ones
+        whole = queue.ends_key(n)
         queue.drop(n)
         most = min(disk.block, max(256, 2 * n))  # about as many as can be taken at once
         if n < len(keys):
@@ -331,6 +363,20 @@ def _scan(text: np.ndarray, s: np.ndarray, given: Iterator, counts: tuple[np.nda
             if len(edge):  # a given suffix after an induced one of the same character: they share the repeats of that character
                 previous = np.where(edge > 0, positions[edge - 1], last_position)
                 common[edge] = np.minimum(repeats(text, positions[edge], depth), repeats(text, previous, depth))
+        own = (target == keys[-1]).nonzero()[0]
+        if whole and len(own) and keys[fit[own[0]]] == keys[-1]:  # all tuples under this character are here
+            begin = int(keys.searchsorted(keys[-1]))
+            tail = positions[begin:]
+            more = None if (text[tail + 1] == text[tail]).any() else run_up(text, tail, common[begin:], depth, 4 * disk.block)
+            if more is not None:  # its runs, at once
+                positions, common = np.concatenate([positions, more[0]]), np.concatenate([common, more[1]])
+                keys, given = np.concatenate([keys, np.full(len(more[0]), keys[-1], keys.dtype)]), np.concatenate([given, np.zeros(len(more[0]), bool)])
+                before = positions - 1
+                fit = ((s[before] == s_type) & (positions > 0)).nonzero()[0]
+                target = text[before[fit]].astype(np.int64)
+                target = 2 * (sigma - 1 - target) if s_type else 2 * target
+                other = target != keys[-1]
+                fit, target = fit[other], target[other]
         last_key, last_position = int(keys[-1]), int(positions[-1])
         order = target.argsort(kind="stable")
         own, target = fit[order], target[order]
