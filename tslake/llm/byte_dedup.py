@@ -11,6 +11,7 @@ to the documents.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -165,7 +166,8 @@ def repeated_beginnings(raws: list[bytes], many: np.ndarray, length: int, memory
 def sort_shard(key: tuple, t: pa.Table, length: int, memory: int) -> pa.Table:
     """Answers of one shard: for each block that sent slices, a bit for each of their beginnings.
 
-    Slices of different marks have no string in common, so a shard is sorted in batches of whole marks.
+    Slices of different marks have no string in common, and neither have strings of one slice, as their mark lies
+    elsewhere in each: a slice alone under its mark is settled, the rest of a shard is sorted in batches of whole marks.
     """
     number: dict[tuple[int, bytes], int] = {}
     many: list[bool] = []
@@ -191,13 +193,19 @@ def sort_shard(key: tuple, t: pa.Table, length: int, memory: int) -> pa.Table:
         for k, bits in zip(own, repeated_beginnings([raw for (_, raw), _ in batch], np.array([many[k] for k in own]), length, memory)):
             found[k] = bits
 
-    for (m, raw), k in sorted(number.items(), key=lambda x: x[0][0]):
-        if size > SORTED and batch[-1][0][0] != m:
+    for m, own in groupby(sorted(number.items(), key=lambda x: x[0][0]), key=lambda x: x[0][0]):
+        own = list(own)
+        if len(own) == 1:  # alone under its mark: its strings are repeated if it was seen again, and by nothing else
+            (_, raw), k = own[0]
+            found[k] = np.full(len(raw) - length + 1, many[k])
+            continue
+        if size > SORTED:
             flush()
             batch, size = [], 0
-        batch.append(((m, raw), k))
-        size += len(raw)
-    flush()
+        batch += own
+        size += sum(len(raw) for (_, raw), _ in own)
+    if batch:
+        flush()
     bits, n = [], []
     for ids in sent:
         own = np.concatenate([found[k] for k in ids])
