@@ -171,7 +171,8 @@ def nearest(vectors: DataFrame, is_query: F.Column, top: int = 20, reranked: int
     ``is_query`` is a condition on ``vectors``. Nearest is the largest inner product in double precision, ties to the
     smaller id; a row of the query's own id is no candidate. Rows with a null id or vector, and vectors that are zero or
     hold null or non-finite components take no part; vectors of other lengths than the query's aren't candidates.
-    Repeated rows are one; other columns are ignored. Of equal vectors only the ``top`` + 1 smallest ids are scanned:
+    Repeated rows are one; an id with several vectors is several candidates, and one query whose rankings by each of its
+    vectors are merged, so that ids may be listed again; an empty table gives none; other columns are ignored. Of equal vectors only the ``top`` + 1 smallest ids are scanned:
     no other can be among the nearest. Queries and rows meet in blocks of bounded size. The result is that of scoring
     all pairs, whatever ``reranked``, the number of rows of a block that are scored first.
     """
