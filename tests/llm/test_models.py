@@ -146,3 +146,11 @@ def test_toxicity(spark):
     assert kept.columns == docs.columns and 0.8 * docs.count() < kept.count() < docs.count()
     assert not any(r["toxic"] for r in toxicity.toxicity(docs, labels.limit(0)).collect())
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
+
+
+def test_no_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    field = langid.train(docs, sample_rows=5)
+    assert langid.identify(docs.limit(0), field).count() == 0
+    clash = docs.limit(3).select("doc_id", "text", docs.lang.alias("_l"), docs.lang.alias("lang_pred"))
+    assert langid.identify(clash, field).columns == ["doc_id", "lang_pred", "score"]

@@ -45,3 +45,22 @@ def test_stages(spark, tmp_path):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).count() > 100 and corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_on_edges(spark):
+    """Each stage on an empty table, and on nulls in all columns, repeated rows, empty texts and columns with odd names."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    long = "plain words that are long enough to be one shingle and more " * 4000
+    schema = docs.schema.simpleString()[7:-1].replace(":", " ") + ", _hits int, _toxicity string, n_hit string"
+    rows = [(i, t, lang, "s", n, 7, "x", "y") for i, t, lang, n in [
+        (None, None, None, None), (None, "one text", "en", 8), (1, "", "en", 0), (1, "", "en", 0), (2, None, None, None), (3, "same words here", "en", 15), (3, "same words here", "en", 15), (4, long, "en", len(long)), (5, "token=abcdefgh", "en", 14),
+    ]]
+    odd = spark.createDataFrame([tuple(dict(zip(["doc_id", "text", "lang", "source", "n_chars", "_hits", "_toxicity", "n_hit"], r))[c] for c in [*docs.columns, "_hits", "_toxicity", "n_hit"]) for r in rows], schema)
+    want = {"toxicity": 9, "ngram_jaccard_join": 7, "decontamination": 9, "secret_scan": 9}
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        out = stage(spark, odd, SF)
+        if name == "packing":
+            assert {r["doc_id"] for r in out.collect()} == {r[0] for r in rows}
+        else:
+            assert out.columns == odd.columns and out.count() == want[name], name
