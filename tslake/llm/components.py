@@ -25,6 +25,12 @@ def looked_up(df: DataFrame, key: str, table: DataFrame, value: str, how: str) -
     return dealt.join(own, (F.col(key) == F.col("_node")) & (F.col("_salt") == F.col("_own")), how).select(*df.columns, value)
 
 
+def _least(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
+    """(key, name): the least ``value`` of each key, first in ``SALTS`` parts: each of many tasks sends a row for a hot key."""
+    part = F.pmod(F.xxhash64(value), F.lit(SALTS)).alias("_part")
+    return df.groupBy(key, part).agg(F.min(value).alias(name)).groupBy(key).agg(F.min(name).alias(name))
+
+
 def connected(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (src, dst: long); a component is named by its least node.
 
@@ -37,9 +43,9 @@ def connected(edges: DataFrame) -> DataFrame:
     both = _cut(known.unionByName(known.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     labels = _cut(both.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("label")).withColumnRenamed("src", "node"))
     while True:
-        near = looked_up(both, "dst", labels, "label", "inner").groupBy("src").agg(F.min("label").alias("least"))
+        near = _least(looked_up(both, "dst", labels, "label", "inner"), "src", "label", "least")
         told = labels.join(near, labels.node == near.src).select("node", "label", "least")
-        least = told.select("node", "least").unionByName(told.select(F.col("label").alias("node"), "least")).groupBy("node").agg(F.min("least").alias("least"))
+        least = _least(told.select("node", "least").unionByName(told.select(F.col("label").alias("node"), "least")), "node", "least", "least")
         lower = _cut(labels.join(least, "node", "left").select("node", F.col("label").alias("old"), F.least("label", "least").alias("label")))
         up = lower.filter("label < node").select("node", "label")
         new = _cut(looked_up(lower, "label", up, "top", "left").select("node", "old", F.least("label", "top").alias("label")))
