@@ -41,11 +41,6 @@ def test_file_ids_are_version_5(spark):
         assert r["file_uuid"] == str(uuid.uuid5(space, urls[r["page_id"]]))
 
 
-def test_file_listing(spark):
-    names = {r["file_name"] for r in queries.file_listing(spark, SF).collect()}
-    assert "lineitem.parquet" in names
-
-
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -105,3 +105,5 @@ def test_mapping_names_the_pair(spark):
 def test_colliding_names(spark):
     c = cells(spark, {"s": [["CH", "CH", "CH_1"], ["a", "b", "c"], ["text", "text", "text"]]})
     assert [r["channel_id"] for r in grid.colliding_names(grid.headers(c)).collect()] == ["CH_1"]
+    with pytest.raises(ValueError, match="s.*: CH_1"):
+        grid.normalise(cells(spark, {"s": [["CH", "CH", "CH_1"], ["a", "b", "c"], ["V", "V", "V"], ["1", "2", "3"]]}))

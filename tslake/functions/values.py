@@ -21,6 +21,11 @@ _NUMBER = r"(?i)^[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)$"
 FILE_NAMESPACE = "a1b2c3d4-e5f6-7890-abcd-ef1234567890"
 
 
+#: Characters that names of files don't take, and what no unit-free header cell holds.
+_NOT_IN_NAMES = r'[<>:"/\\|?*()\[\] ]'
+_UNIT_LIKE = r"[^a-zA-Z0-9\s.,_-]"
+
+
 def num(c: Column) -> Column:
     """A string as double if it is wholly a number, else null."""
     return F.when(c.rlike(_NUMBER), c.try_cast("double"))
@@ -70,13 +75,13 @@ def file_uuid(path: Column, namespace: str = FILE_NAMESPACE) -> Column:
 
 def sanitize_name(c: Column) -> Column:
     """Characters that file names don't take, and blanks, become one underscore; none at the ends."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, r'[<>:"/\\|?*()\[\] ]', "_"), "_+", "_"), F.lit("_"))
+    return F.trim(F.regexp_replace(F.regexp_replace(c, _NOT_IN_NAMES, "_"), "_+", "_"), F.lit("_"))
 
 
 def is_unit_cell(c: Column) -> Column:
     """Whether a header cell looks like a unit: one character, or one outside letters, digits, blanks and ``.,_-``. Blank is not."""
     t = F.trim(F.coalesce(c, F.lit("")))
-    return (t != "") & ((F.length(t) == 1) | t.rlike(r"[^a-zA-Z0-9\s.,_-]"))
+    return (t != "") & ((F.length(t) == 1) | t.rlike(_UNIT_LIKE))
 
 
 def series_from_path(path: Column) -> Column:
