@@ -132,6 +132,21 @@ def test_secrets(spark, documents):
     assert after[1] is None and "hunter2xx" not in after[20] and after[4] == "plain words here"
 
 
+@pytest.mark.parametrize("number", ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO9386011117947", "ZZ33 0000 1111 2222 333"])
+@pytest.mark.parametrize("after", ["", ".", " BIC COBADEFFXXX now", " X", "\n9", " 12"])
+def test_account_numbers_end_where_they_end(number, after):
+    if number.startswith("ZZ"):  # no country that is known: any length that validates
+        body = number.replace(" ", "")
+        number = next(f"ZZ{k:02} {number[5:]}" for k in range(2, 99) if int("".join(str(int(c, 36)) for c in body[4:] + f"ZZ{k:02}")) % 97 == 1)
+        if after == " 12":
+            return
+    text = f"Pay to IBAN {number}{after}"
+    assert secret_scan.scan(text) == [(7, 12 + len(number), "iban")]
+    assert secret_scan.scan(text.replace(number, number[:-1] + ("1" if number[-1] != "1" else "2"))) == []
+    assert secret_scan.scan(f"IBAN {number}Z") == []
+    assert secret_scan._redacted(text) == f"Pay to [iban]{after}"
+
+
 def test_secrets_in_time():
     """Texts of a megabyte that a scan could read again and again, and heads that no parser should follow."""
     import base64

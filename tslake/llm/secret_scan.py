@@ -3,8 +3,8 @@
 Kinds found by form alone: ``assign`` (a credential word and its value), ``access`` (access key ids) and ``hex`` (long
 lower-case hexadecimal runs). Kinds kept only if an embedded checksum or structure holds: ``forge`` (source-forge
 tokens whose last six characters are the CRC-32 of the body in base 62), ``jwt`` (three base64url parts, the
-first a JSON object with ``alg``, at the beginning of a run of their characters) and ``iban`` (account numbers,
-modulus 97). Time is linear in a text: no stretch of characters is read again for each keyword that lies in it.
+first a JSON object with ``alg``, at the beginning of a run of their characters) and ``iban`` (account numbers of
+their country's length, modulus 97). Time is linear in a text: no stretch of characters is read again for each keyword that lies in it.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ import hashlib
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +32,13 @@ KINDS = ("assign", "access", "hex", "forge", "jwt", "iban")
 FORGE = re.compile(r"(?:gh[pousr]|npm)_([A-Za-z0-9]{30})([A-Za-z0-9]{6})(?![A-Za-z0-9])")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{16,})")
 IBAN = re.compile(r"IBAN:?\x20?([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})")
+#: Lengths of account numbers by country.
+IBAN_LENGTHS = dict(
+    AD=24, AE=23, AL=28, AT=20, AZ=28, BA=20, BE=16, BG=22, BH=22, BR=29, BY=28, CH=21, CR=22, CY=28, CZ=24, DE=22, DK=18, DO=28, EE=20, EG=29, ES=24, FI=18, FO=18, FR=27, GB=22,
+    GE=22, GI=23, GL=18, GR=27, GT=28, HR=21, HU=28, IE=22, IL=23, IQ=23, IS=26, IT=27, JO=30, KW=30, KZ=20, LB=28, LC=32, LI=21, LT=20, LU=20, LV=21, LY=25, MC=27, MD=24, ME=22,
+    MK=19, MR=27, MT=31, MU=30, NL=18, NO=15, PK=24, PL=28, PS=29, PT=25, QA=29, RO=24, RS=22, SA=24, SC=31, SE=24, SI=19, SK=24, SM=27, ST=25, SV=28, TL=23, TN=24, TR=26, UA=29,
+    VA=22, VG=24, XK=20,
+)
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 #: Keywords of the prefilter, all in lower case, with the kind that each can begin.
@@ -75,15 +82,29 @@ def _jwt_ok(m: re.Match) -> bool:
     return isinstance(head, dict) and "alg" in head
 
 
-def _iban_ok(m: re.Match) -> bool:
-    s = m[1].replace(" ", "")
-    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
+def _iban_end(m: re.Match) -> int | None:
+    """Where an account number ends: after its country's length, or, for other countries, after the longest valid stretch.
 
+    What follows in the same characters, such as a word in capitals, isn't part of it; it has to end where no letter or digit follows.
+    """
+    text, ends = m.string, [i + 1 for i in range(m.start(1), m.end(1)) if m.string[i] != " "]
+    n = IBAN_LENGTHS.get(m[1][:2])
+    for end in ends[n - 1 : n] if n else reversed(ends[14:]):
+        if not (end < len(text) and (text[end].isascii() and text[end].isalnum())):
+            s = text[m.start(1) : end].replace(" ", "")
+            if int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1:
+                return end
+    return None
+
+
+def _if(good: Callable[[re.Match], bool]) -> Callable[[re.Match], int | None]:
+    return lambda m: m.end() if good(m) else None
 
-#: Kind: anchored pattern, test of a match.
+
+#: Kind: anchored pattern, where a match of it ends (None: it is none).
 RULES = {
-    "assign": (ASSIGN, lambda m: len(m[2]) >= LEAST["assign"]), "access": (ACCESS, lambda m: m.end() - m.start() >= LEAST["access"]),
-    "forge": (FORGE, _forge_ok), "jwt": (JWT, _jwt_ok), "iban": (IBAN, _iban_ok),
+    "assign": (ASSIGN, _if(lambda m: len(m[2]) >= LEAST["assign"])), "access": (ACCESS, _if(lambda m: m.end() - m.start() >= LEAST["access"])),
+    "forge": (FORGE, _if(_forge_ok)), "jwt": (JWT, _if(_jwt_ok)), "iban": (IBAN, _iban_end),
 }
 
 
@@ -107,13 +128,13 @@ def scan(text: str) -> list[tuple[int, int, str]]:
         hits.setdefault(kind, []).append(end - n + 1)
     found = [(a, b, "hex") for a, b in _hex_runs(text)]
     for kind, starts in hits.items():
-        pattern, good = RULES[kind]
+        pattern, ends = RULES[kind]
         free = 0
         for at in sorted(starts):
             if at >= free and (m := pattern.match(text, at)):
-                if good(m):
-                    found.append((at, m.end(), kind))
-                    free = m.end()
+                if end := ends(m):
+                    found.append((at, end, kind))
+                    free = end
                 elif kind in LEAST:  # a match that is dropped still covers its characters
                     free = m.end()
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
