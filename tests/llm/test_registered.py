@@ -16,6 +16,7 @@ COLUMNS = {
     "op5_decontamination": ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
     "op7_nearest_neighbours": ["query_id", "rank", "vec_id", "score"],
     "op8_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
+    "op11_lexical_search": ["item_id", "rank", "doc_id", "score"],
     "op9_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
 }
 
@@ -28,7 +29,7 @@ def test_columns(spark, name):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_sql(spark, name):
     c = duckdb.connect()
-    for t in ("documents", "benchmark"):
+    for t in ("documents", "benchmark", "embeddings"):
         c.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     got, want = queries.queries()[name](spark, SF).toPandas(), c.execute(queries.oracle_sql()[name]).fetchdf()
     columns = sorted(got.columns)
@@ -36,6 +37,6 @@ def test_sql(spark, name):
     assert Counter(map(tuple, got[columns].astype(str).values)) == Counter(map(tuple, want[columns].astype(str).values))
 
 
-def test_all_ten_and_the_pipeline():
+def test_all_operators_and_the_pipeline():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [*[f"op{k}" for k in range(1, 11)], "pipeline"]
+    assert [n.split("_")[0] for n in names] == [*[f"op{k}" for k in range(1, 12)], "pipeline"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tslake.llm import ann, byte_dedup, decontam, forest, langid, packing, secret_scan, tokens, toxicity, word_dedup
+from tslake.llm import ann, byte_dedup, decontam, forest, langid, lexical, packing, secret_scan, tokens, toxicity, word_dedup
 from tslake.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), top=50)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,7 +70,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     own = (
         op1_suffix_dedup, op2_token_counts, op3_language_id, op4_substring_dedup, op5_decontamination, op6_ngram_jaccard_join,
-        op7_nearest_neighbours, op8_packing, op9_secret_scan, op10_toxicity, pipeline,
+        op7_nearest_neighbours, op8_packing, op9_secret_scan, op10_toxicity, op11_lexical_search, pipeline,
     )
     return {f.__name__: f for f in own}
 
@@ -94,6 +98,18 @@ select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, c
 from d left join hit using (rid) left join item using (rid)"""
 
 
+_OP11 = rf"""
+with d as (select row_number() over () as rid, doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+s as (select count(*) filter (len(w) > 0) as n_docs, cast(sum(len(w)) as bigint) as n_terms from d),
+it as (select distinct item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from benchmark),
+tf as (select rid, t, count(*) as tf from (select rid, unnest(w) as t from d) where t in (select t from it) group by rid, t),
+wt as (select t, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) as weight from tf, s group by t, n_docs),
+m as (select rid, doc_id, 100 - 50 + ((50 * len(w) * n_docs) // n_terms) as m from d, s),
+score as (select item_id, rid, doc_id, cast(sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) as score from it join tf using (t) join wt using (t) join m using (rid) group by all)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score from score where score > 0
+qualify row_number() over (partition by item_id order by score desc, doc_id) <= 50"""
+
+
 def oracle_sql() -> dict[str, str]:
     """The operators that SQL can express as they are; the others are tested against plain versions."""
-    return {"op4_substring_dedup": _OP4, "op5_decontamination": _OP5}
+    return {"op4_substring_dedup": _OP4, "op5_decontamination": _OP5, "op11_lexical_search": _OP11}
