@@ -17,6 +17,7 @@ COLUMNS = {
     "op7_nearest_neighbours": ["query_id", "rank", "vec_id", "score"],
     "op8_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op11_lexical_search": ["item_id", "rank", "doc_id", "score"],
+    "op12_topk_search": ["query_id", "rank", "vec_id", "score"],
     "op9_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
 }
 
@@ -39,4 +40,4 @@ def test_sql(spark, name):
 
 def test_all_operators_and_the_pipeline():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [*[f"op{k}" for k in range(1, 12)], "pipeline"]
+    assert [n.split("_")[0] for n in names] == [*[f"op{k}" for k in range(1, 13)], "pipeline"]

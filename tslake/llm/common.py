@@ -109,3 +109,41 @@ def cuts(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         total += size
     if start < len(sizes):
         yield start, len(sizes)
+
+
+class Best:
+    """The ``top`` best rows of each of some items, by score and then by id, of all that a task has seen."""
+
+    #: Rows that are gathered before the best alone are kept.
+    GATHERED = 200_000
+
+    def __init__(self, top: int, least: np.ndarray):
+        """``least``: the score that a row has to reach, for each item."""
+        self.top, self.least = top, least.copy()
+        self.parts: list[pa.Table] = []
+        self.rows, self.most = 0, max(self.GATHERED, 4 * top * len(least))
+
+    def add(self, scores: np.ndarray, ids: pa.Array) -> None:
+        """``scores`` (rows x items). What is below the last of an item's best is left out."""
+        row, item = np.nonzero(scores >= self.least)
+        if len(row):
+            self.parts.append(pa.table([pa.array(item), pa.array(scores[row, item]), ids.take(pa.array(row))], ["item", "score", "id"]))
+            self.rows += len(row)
+            if self.rows > self.most:
+                self.keep()
+
+    def keep(self) -> None:
+        t = pa.concat_tables(self.parts).sort_by([("item", "ascending"), ("score", "descending"), ("id", "ascending")])
+        item = t.column("item").to_numpy()
+        rank = np.arange(len(item)) - np.searchsorted(item, item)
+        last = np.flatnonzero(rank == self.top - 1)
+        self.least[item[last]] = t.column("score").to_numpy()[last]
+        self.parts = [t.take(pa.array(np.flatnonzero(rank < self.top))).combine_chunks()]
+        self.rows = len(self.parts[0])
+
+    def batches(self) -> list[pa.RecordBatch]:
+        """(item, score, id) of the best."""
+        if not self.parts:
+            return []
+        self.keep()
+        return self.parts[0].to_batches()

@@ -26,13 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tslake.llm.common import checkpointed, slices, utf8
+from tslake.llm.common import Best, checkpointed, slices, utf8
 from tslake.llm.words import ALPHANUMERIC, LOWER, words
 
 #: Bytes of the terms of a lot, each with eight more.
 LOT_BYTES = 1 << 20
-#: Cells of documents x items that are scored at once, and rows that a task gathers before it keeps the best alone.
-CELLS, GATHERED = 1 << 21, 200_000
+#: Cells of documents x items that are scored at once.
+CELLS = 1 << 21
 #: An item's rows from all tasks are ranked in so many parts first.
 SALTS = 32
 #: Parts of the score, in thousandths and hundredths.
@@ -94,34 +94,6 @@ def weights(df: np.ndarray, n_docs: int) -> np.ndarray:
     return np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
 
 
-class Best:
-    """The best documents of each item so far: by score, then by id."""
-
-    def __init__(self, top: int, items: int):
-        self.top, self.least = top, np.ones(items, np.int64)
-        self.parts: list[pa.Table] = []
-        self.rows, self.most = 0, max(GATHERED, 4 * top * items)
-
-    def add(self, scores: np.ndarray, ids: pa.Array) -> None:
-        """``scores`` (documents x items). What is below an item's last of the best is left out."""
-        doc, item = np.nonzero(scores >= self.least)
-        if len(doc):
-            self.parts.append(pa.table([pa.array(item), pa.array(scores[doc, item]), ids.take(pa.array(doc))], ["item", "score", "_doc"]))
-            self.rows += len(doc)
-            if self.rows > self.most:
-                self.keep()
-
-    def keep(self) -> pa.Table:
-        t = pa.concat_tables(self.parts).sort_by([("item", "ascending"), ("score", "descending"), ("_doc", "ascending")])
-        item = t.column("item").to_numpy()
-        rank = np.arange(len(item)) - np.searchsorted(item, item)
-        last = np.flatnonzero(rank == self.top - 1)
-        self.least[item[last]] = t.column("score").to_numpy()[last]
-        t = t.take(pa.array(np.flatnonzero(rank < self.top))).combine_chunks()
-        self.parts, self.rows = [t], len(t)
-        return t
-
-
 def _statistics(docs: DataFrame, held) -> tuple[int, int, np.ndarray]:
     """Documents that have a term, terms of all documents, and documents that have each of a lot's terms."""
 
@@ -181,7 +153,7 @@ def _scores(docs: DataFrame, held, n_docs: int, n_terms: int, w: np.ndarray, top
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lot = held.value
-        best = Best(top or 0, len(lot.items))
+        best = Best(top or 0, np.ones(len(lot.items), np.int64))
         for ids, texts, scores in pieces(batches, lot):
             if top:
                 best.add(scores, ids)
@@ -189,8 +161,8 @@ def _scores(docs: DataFrame, held, n_docs: int, n_terms: int, w: np.ndarray, top
                 doc, item = np.nonzero(scores)
                 digest = [hashlib.blake2b((t or "").encode(), digest_size=16).digest() for t in texts.to_pylist()]
                 yield batch(pa.array(item), ids.take(pa.array(doc)), [digest[i] for i in doc.tolist()], pa.array(scores[doc, item]))
-        for b in best.keep().to_batches() if best.parts else []:
-            yield batch(b.column("item"), b.column("_doc"), [None] * len(b), b.column("score"))
+        for b in best.batches():
+            yield batch(b.column("item"), b.column("id"), [None] * len(b), b.column("score"))
 
     return docs.mapInArrow(run, f"_k bigint, _doc {id_type}, _hash binary, _score bigint")
 
