@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op11_lexical_search": ["item_id", "rank", "doc_id", "score"],
     "op12_topk_search": ["query_id", "rank", "vec_id", "score"],
+    "op13_spelling_variants": ["word", "form", "root", "n", "n_near", "form_n"],
     "op9_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
 }
 
@@ -40,4 +41,4 @@ def test_sql(spark, name):
 
 def test_all_operators_and_the_pipeline():
     names = list(queries.queries())
-    assert [n.split("_")[0] for n in names] == [*[f"op{k}" for k in range(1, 13)], "pipeline"]
+    assert [n.split("_")[0] for n in names] == [*[f"op{k}" for k in range(1, 14)], "pipeline"]

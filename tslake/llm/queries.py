@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tslake.llm import ann, byte_dedup, decontam, forest, langid, lexical, packing, secret_scan, tokens, topk, toxicity, word_dedup
+from tslake.llm import ann, byte_dedup, decontam, forest, langid, lexical, packing, secret_scan, spelling, tokens, topk, toxicity, word_dedup
 from tslake.llm.common import table
 
 
@@ -65,6 +65,10 @@ def op12_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, top=10)
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -74,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     own = (
         op1_suffix_dedup, op2_token_counts, op3_language_id, op4_substring_dedup, op5_decontamination, op6_ngram_jaccard_join,
-        op7_nearest_neighbours, op8_packing, op9_secret_scan, op10_toxicity, op11_lexical_search, op12_topk_search, pipeline,
+        op7_nearest_neighbours, op8_packing, op9_secret_scan, op10_toxicity, op11_lexical_search, op12_topk_search, op13_spelling_variants, pipeline,
     )
     return {f.__name__: f for f in own}
 
