@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +69,14 @@ def check_std_channels(signals: DataFrame) -> None:
         raise ValueError("ambiguous channels: " + "; ".join(f"{r['experiment_id']}/{r['std_channel']}: {', '.join(r['channel_ids'])}" for r in rows))
 
 
+def new_or_changed(signals: DataFrame, existing: DataFrame) -> DataFrame:
+    """Signals that aren't in ``existing``, or are there with another raw name, unit or position."""
+    told = ["raw_channel", "unit", "column_index"]
+    before = existing.select("signal_id", *[F.col(c).alias(f"_was_{c}") for c in told])
+    other = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.col(f"_was_{c}")) for c in told])
+    return signals.join(before.withColumn("_there", F.lit(True)), "signal_id", "left").filter(F.col("_there").isNull() | other).select(signals.columns)
+
+
 def only_new(candidates: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFrame:
     """Rows whose keys aren't in ``existing``."""
     return candidates if existing is None else candidates.join(existing.select(*keys).distinct(), keys, "left_anti")

@@ -54,6 +54,23 @@ def selected(rule: Rule) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def ordering(rule: Rule, columns: list[str]) -> tuple[list[str], list[str]]:
+    """By what a rule on order parts and orders rows."""
+    listed = lambda x: [x] if isinstance(x, str) else list(x)
+    order = listed(rule.params.get("order_by", "sample_offset"))
+    return listed(rule.params.get("partition_by", ["uuid", "group"])), order + ([] if "channel_id" in order or "channel_id" not in columns else ["channel_id"])
+
+
+def falling(df: DataFrame, c: Column, rule: Rule, flag: str, own: Column | None = None) -> DataFrame:
+    """``df`` with a boolean column: the row's value is less than the one before, of those rows that are ``own``."""
+    parts, order = ordering(rule, df.columns)
+    own = F.lit(True) if own is None else own
+    pattern = rule.params.get("format", TIME_FORMAT)  # None: values are compared as they are
+    w = W.partitionBy(*parts, own).orderBy(*order)
+    values = df.withColumn("_now", F.try_to_timestamp(c, F.lit(pattern)) if pattern else c)
+    return values.withColumn("_before", F.lag("_now").over(w)).withColumn(flag, own & F.coalesce(F.col("_now") < F.col("_before"), F.lit(False))).drop("_now", "_before")
+
+
 def _failing(rule: Rule, df: DataFrame, flag: str) -> DataFrame:
     """``df`` with a boolean column: the row fails the rule. Windows are over the rows that the rule looks at.
 
@@ -72,14 +89,7 @@ def _failing(rule: Rule, df: DataFrame, flag: str) -> DataFrame:
         n = F.count("*").over(W.partitionBy(*keys, spread))
         return df.withColumn(flag, known & (n > 1))
     if rule.rule_type == "monotonic_increasing":
-        p = rule.params
-        listed = lambda x: [x] if isinstance(x, str) else list(x)
-        order = listed(p.get("order_by", "sample_offset"))
-        order += [] if "channel_id" in order or "channel_id" not in df.columns else ["channel_id"]
-        pattern = p.get("format", TIME_FORMAT)  # None: values are compared as they are
-        value = F.try_to_timestamp(c, F.lit(pattern)) if pattern else c
-        w = W.partitionBy(*listed(p.get("partition_by", ["uuid", "group"])), own).orderBy(*order)
-        return df.withColumn("_now", value).withColumn("_before", F.lag("_now").over(w)).withColumn(flag, own & F.coalesce(F.col("_now") < F.col("_before"), F.lit(False))).drop("_now", "_before")
+        return falling(df, c, rule, flag, own)
     raise ValueError(f"unknown rule type: {rule.rule_type}")
 
 
@@ -87,9 +97,14 @@ def _stamp(rule: Rule) -> list[Column]:
     return [F.lit(v).alias(k) for k, v in (("rule_id", rule.rule_id), ("rule_name", rule.rule_name), ("severity", rule.severity), ("is_blocking", rule.is_blocking), ("status", "FAILED"))]
 
 
+def failures(rows: DataFrame, rule: Rule) -> DataFrame:
+    """``rows``, all of which fail a rule, with the rule's columns and evaluated_at."""
+    return rows.select("*", *_stamp(rule), F.current_timestamp().alias("evaluated_at"))
+
+
 def evaluate_rule(df: DataFrame, rule: Rule) -> DataFrame:
     """Rows of ``df`` that fail a rule, with the rule's columns and evaluated_at."""
-    return _failing(rule, df, "_fails").filter("_fails").select(*df.columns, *_stamp(rule), F.current_timestamp().alias("evaluated_at"))
+    return failures(_failing(rule, df, "_fails").filter("_fails").select(df.columns), rule)
 
 
 def evaluate_rules(df: DataFrame, rules: list[Rule] | None = None) -> DataFrame:

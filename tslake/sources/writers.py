@@ -38,15 +38,16 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: li
     return int(seen.get["n"])
 
 
-def replace_table(df: DataFrame, path: str) -> int:
+def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
     """Writes to a staging folder and swaps it in, so that ``df`` may read the table that it replaces.
 
     The swap is two renames: a crash between them leaves the old rows beside the path, under ``_old``; ``restore``
     brings them back.
     """
     spark = df.sparkSession
+    restore(spark, path)
     staging, old = f"{path}_staging", f"{path}_old"
-    n = write_table(df, staging, "overwrite")
+    n = write_table(df, staging, "overwrite", partition_by)
     jvm = spark.sparkContext._jvm
     new, there, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (staging, path, old))
     fs = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
