@@ -112,6 +112,34 @@ def _derived_sheet() -> str:
     return """union all select uuid, "group", sample_offset, "timestamp", elapsed_time_s, 'Current density', 1000 * ch1 / 88.0, null from x where "group" <> 'N'"""
 
 
+def _jobs() -> str:
+    """The line items' sheets in all gold tables."""
+    tier = lambda s: f"""t{s} as (select uuid, "group", series, std_channel, cast(floor(elapsed_time_s / {s}) * {s} as double) as "at", count(value) as n, sum(value) as total from f where value is not null group by all)"""
+    show = """select '{}' as of_table, uuid, "group", series, std_channel, {} as "at", {} as n, round({}, 6) as total, {} as info from {}"""
+    volt = "std_channel = 'Stack Voltage'"
+    parts = [
+        show.format("timeseries", "elapsed_time_s", "sample_offset", "value", "coalesce(note, \"timestamp\")", "f"),
+        *[show.format(f"timeseries_agg_{m}min", "\"at\"", "n", "total", "cast(null as varchar)", f"t{m * 60}") for m in (1, 15, 60)],
+        show.format("experiment_index", "\"at\"", "n", "total", "info", "i"),
+        show.format("channel_catalog_experiment", "cast(null as double)", "n", "cast(null as double)", "unit", "c"),
+    ]
+    return f"""with {_GRID},
+l as (select uuid, "group", sample_offset, "timestamp", elapsed_time_s, 'CH' as channel_id, ch as value, null as note from x
+  union all select uuid, "group", sample_offset, "timestamp", elapsed_time_s, 'CH_1', ch1, null from x
+  union all select uuid, "group", sample_offset, "timestamp", elapsed_time_s, 'Efficiency', case when "group" = 'R' then eff else least(eff, 100.0) end, null from x
+  union all select uuid, "group", sample_offset, "timestamp", elapsed_time_s, 'Note', null, note from x {_derived_sheet()}),
+f as (select l.*, concat('S', cast(cast(regexp_extract(uuid, '[0-9]+') as bigint) % 2 as varchar)) as series,
+    case when channel_id = 'CH' and "group" <> 'N' and cast(regexp_extract(uuid, '[0-9]+') as bigint) % 2 = 0 then 'Stack Voltage'
+      when channel_id = 'Efficiency' and cast(regexp_extract(uuid, '[0-9]+') as bigint) % 2 = 1 then 'Energy Efficiency' else channel_id end as std_channel from l),
+{tier(60)}, {tier(900)}, {tier(3600)},
+i as (select uuid, "group", series, cast(null as varchar) as std_channel, max(floor(elapsed_time_s / 60) * 60) + 60 - min(elapsed_time_s) as "at", count(value) as n,
+    sum(value) filter ({volt}) / count(value) filter ({volt}) as total, concat(uuid, '.xlsx') as info from f where value is not null group by uuid, "group", series),
+c as (select uuid, "group", series, std_channel, case when count(value) > 0 then 1::bigint else 0::bigint end as n,
+    case when channel_id = 'Current density' then 'mA/cm²' when "group" = 'R' or channel_id = 'Note' then '' when channel_id = 'CH' then 'V' when channel_id = 'CH_1' then 'A' else '%' end as unit
+  from f group by uuid, "group", series, std_channel, channel_id)
+""" + " union all ".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
     index = f"""{_ALL}
 select series, uuid, "group", count(distinct std_channel) as channel_count, cast(sum(value_count) as bigint) as total_data_points, concat(uuid, '.xlsx') as source_file_name,
@@ -219,6 +247,16 @@ from bins join (select uuid, "group", count(*) as n, strptime(max("timestamp"),
         "sheet_channels": f"""with {_GRID}, h as (select distinct uuid, "group" from x), c(k, id, name, unit) as (values (0, 'CH', 'Stack Voltage', 'V'), (1, 'CH_1', 'Current', 'A'), (2, 'Efficiency', 'Efficiency', '%'), (3, 'Note', 'Note', ''), (4, 'Current density', 'Current density', 'mA/cm²'))
             select uuid, "group", id as channel_id, case when "group" = 'N' and k in (0, 1) then 'CH' else name end as raw_channel, case when "group" = 'R' and k < 4 then '' else unit end as unit, cast(k as int) as column_index
             from h cross join c where "group" <> 'N' or k < 4""",
+        "dq_flag_stored": f"""{_TWICE} select event_id, sample_offset, not {_IN} as is_valid from ck""",
+        "dq_delete_stored": f"""{_TWICE} select event_id, sample_offset from ck where not {_IN}""",
+        "stream_dq_keys": """select concat('file-', cast(l_suppkey as varchar)) as uuid, l_returnflag as "group", l_orderkey as sample_offset, concat('c', cast(l_linenumber as varchar)) as channel_id, 'dup' as rule_id,
+            strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as "timestamp", round(l_quantity, 6) as value from lineitem qualify count(*) over (partition by l_orderkey, l_linenumber) > 1""",
+        "stream_dq_order": f"""with {_LONG} select uuid, "group", sample_offset, channel_id, 'fall' as rule_id, round(value, 6) as value from (
+            select *, lag(value) over (partition by uuid, "group" order by sample_offset, channel_id) as before from ev) where value < before""",
+        "gold_versions": f"""with {_LONG}, {_MAP}, {_SIG},
+            fact as (select s.uuid, s."group", s.series, s.std_channel, e.sample_offset, e.elapsed_time_s, strptime(e."timestamp", '%Y-%m-%d %H:%M:%S') as ts, case when e."group" = 'g1' then 2 * e.value else e.value end as value
+              from ev e join sig s using (uuid, "group", channel_id) where e."group" = 'g0' or channel_id <> 'click'), {_BINS} {_SHOW} from bins""",
+        "jobs_gold_tables": _jobs(),
         "stream_bronze": f"""with {_LONG} select uuid, "group", sample_offset, channel_id, "timestamp", round(elapsed_time_s, 6) as elapsed_time_s, round(value, 6) as value from ev""",
         "stream_dq": f"""with {_LONG} select uuid, "group", count(*) filter (channel_id = 'view') as failed, count(*) filter (channel_id <> 'view') as valid from ev group by all""",
         "compact_sorted": "select * from lineitem",

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tslake.functions import values
 from tslake.operators import derived, dims, dq, gold, grid, longform, maintain, serving, tracking, validate
+from tslake.layout import Layout
 from tslake.plans import adapters as A
+from tslake.plans import pipeline
+from tslake.sources import stored
 from tslake.sources.readers import read_table, with_extensions
-from tslake.sources.writers import shared_folder
-from tslake.streaming.bronze import ingest
-from tslake.streaming.quality import check_stream
+from tslake.sources.writers import export_tables, shared_folder
+from tslake.streaming.bronze import ingest, ingest_all
+from tslake.streaming.quality import RESULT, check_stream
 
 #: Short column names of the metrics in query results.
 METRIC_NAMES = {
@@ -244,6 +249,23 @@ def dq_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dq.delete(e, dq.invalid_keys(failures, blocking_only=False)).select("event_id", "sample_offset")
 
 
+def _stored(spark: SparkSession, sf_dir: str, change) -> DataFrame:
+    """The event samples that ``dq_all`` looks at, as a stored table that is changed in place."""
+    e, failures = _failures(spark, sf_dir)
+    path = f"{new_folder(spark)}/samples"
+    e.repartitionByRange(16, "uuid", "group").write.parquet(path)
+    change(spark, path, dq.invalid_keys(failures, blocking_only=False), dq.KEYS)
+    return read_table(spark, path)
+
+
+def dq_flag_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, stored.flag_rows).select("event_id", "sample_offset", F.coalesce("is_valid", F.lit(True)).alias("is_valid"))
+
+
+def dq_delete_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, stored.delete_rows).select("event_id", "sample_offset")
+
+
 def file_uuid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.table(spark, sf_dir, "pages").select("page_id", values.file_uuid(F.col("url")).alias("file_uuid"))
 
@@ -408,6 +430,75 @@ def stream_dq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return failed.join(good, ["uuid", "group"], "full").select("uuid", "group", F.coalesce("failed", F.lit(0)).alias("failed"), F.coalesce("valid", F.lit(0)).alias("valid"))
 
 
+def _remembered(spark: SparkSession, samples: DataFrame, part: F.Column, parts: int, rule: dq.Rule) -> DataFrame:
+    """Failures of a rule over samples that come in several drops, each checked by a run of its own."""
+    folder, samples = new_folder(spark), samples.withColumn("_part", part)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in samples.drop("_part").schema.fields)
+    for k in range(parts):
+        samples.filter(F.col("_part") == k).drop("_part").write.mode("append").parquet(f"{folder}/in")
+        check_stream(spark, f"{folder}/in", f"{folder}/out", f"{folder}/checkpoint", [rule], schema=schema, batch_files=4, memory=f"{folder}/memory")
+    return read_table(spark, f"{folder}/out/{RESULT}")
+
+
+def stream_dq_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``dq_duplicate_key`` finds, where line items come in drops by year of shipment."""
+    rule = dq.Rule("dup", "dup", "channel_id", "no_duplicate_key", params={"key_columns": ["sample_offset", "channel_id"]})
+    samples = A.lineitem_long(spark, sf_dir)
+    return _remembered(spark, samples, F.pmod(F.year("timestamp"), F.lit(3)), 3, rule).select(*KEYED, "timestamp", *_r("value"))
+
+
+def stream_dq_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event values that fall below the one before in their sheet, where events come in drops by tens of days."""
+    rule = dq.Rule("fall", "fall", "value", "monotonic_increasing", params={"format": None})
+    samples = A.events_long(spark, sf_dir).drop("series", "props", "event_id").withColumn("elapsed_time_s", F.col("elapsed_time_s").cast("double"))
+    day = F.datediff(F.to_timestamp("timestamp"), F.min(F.to_timestamp("timestamp")).over(W.partitionBy("uuid", "group")))
+    return _remembered(spark, samples, F.least(F.floor(day / 10), F.lit(2)), 3, rule).select(*KEYED, *_r("value"))
+
+
+def gold_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-minute bins after the jobs have run twice: sheets g1 came a second time, with doubled values and without their clicks."""
+    layout, long = Layout(f"{new_folder(spark)}/lake"), A.events_long(spark, sf_dir)
+    later = long.filter("`group` = 'g1' and channel_id <> 'click'").withColumn("value", F.col("value") * 2)
+    for k, samples in enumerate((long, later)):
+        files = A.event_files(samples)
+        tables = {
+            "timeseries": samples.drop("series", "props", "event_id"), "filemeta": files, "channel": A.event_channels(samples),
+            "statistics": samples.groupBy("uuid", "group").agg(F.lit(1).alias("n_channels"), F.count("*").alias("n_rows"), F.count("*").alias("n_timeseries_rows")),
+        }
+        export_tables(tables, f"{layout.base}/converted", f"{k}")
+        ingest_all(spark, f"{layout.base}/converted", f"{layout.base}/bronze", f"{layout.base}/_checkpoints")
+        pipeline.silver_job(spark, layout, A.mapping(spark))
+        pipeline.gold_job(spark, layout)
+    return _bins(read_table(spark, layout.table("gold", "timeseries_agg_1min")), read_table(spark, layout.table("silver", "dim_signal")))
+
+
+def jobs_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All gold tables after all jobs have run over the line items' sheets: what a row is of, its key and its figures."""
+    layout, cells = Layout(f"{new_folder(spark)}/lake"), A.lineitem_cells(spark, sf_dir)
+    path = F.concat(F.lit("lab/S"), (F.regexp_extract("uuid", "([0-9]+)", 1).cast("long") % 2).cast("string"), F.lit("/"), "uuid", F.lit(".xlsx"))
+    files = cells.select("uuid").distinct().select(
+        path.alias("blob_path"), F.concat("uuid", F.lit(".xlsx")).alias("file_name"), F.regexp_extract("uuid", "([0-9]+)", 1).cast("long").alias("file_size"),
+        F.col("uuid").alias("file_uuid"), F.to_timestamp(F.lit("2024-05-06")).alias("last_modified"),
+    )
+    mapping = A.literal_mapping(spark, [("S0", "Stack Voltage", "Stack Voltage"), ("S1", "Efficiency", "Energy Efficiency")])
+    pipeline.run_pipeline(spark, layout, files, cells, mapping)
+    signals = read_table(spark, layout.table("silver", "dim_signal")).select("signal_id", "uuid", "group")
+    sheets = signals.select(F.xxhash64("uuid", "group").alias("experiment_id"), "uuid", "group").distinct()
+    none = lambda kind: F.lit(None).cast(kind)
+
+    def rows(name: str, at, n, total, text=none("string")) -> DataFrame:
+        t = read_table(spark, layout.table("gold", name))
+        by = (signals, "signal_id") if "signal_id" in t.columns else (sheets, "experiment_id")
+        channel = F.col("std_channel") if "std_channel" in t.columns else none("string")
+        return (t if "uuid" in t.columns else t.join(*by)).select(F.lit(name).alias("of_table"), "uuid", "group", "series", channel.alias("std_channel"), at.cast("double").alias("at"), n.cast("long").alias("n"), F.round(total, 6).alias("total"), text.alias("info"))
+
+    tiers = [rows(f"timeseries_agg_{m}min", F.col("elapsed_bin_s"), F.col("value_count"), F.col("value_mean") * F.col("value_count")) for m in (1, 15, 60)]
+    facts = rows("timeseries", F.col("elapsed_time_s"), F.col("sample_offset"), F.col("value"), F.coalesce("value_str", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")))
+    index = rows("experiment_index", F.col("duration_s"), F.col("total_data_points"), F.col("avg_stack_voltage_v"), F.col("source_file_name"))
+    catalog = rows("channel_catalog_experiment", none("double"), F.col("has_data").cast("int"), none("double"), F.col("unit"))
+    return reduce(DataFrame.unionByName, [facts, *tiers, index, catalog])
+
+
 def compact_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintain.sorted_by_range(A.table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_suppkey"])
 
@@ -419,6 +510,7 @@ ALL = (
     dq_summary, dq_clean, dq_flag, dq_delete, file_uuid, sanitize_name, series_from_path, unit_row_detection, unique_channel_names, datetime_merge,
     structural_split, sheet_to_long, sheet_channels, tracking_new_files, tracking_watermark, tracking_exhausted, tracking_upsert, tracking_status_counts,
     validate_orphans, validate_report, extension_filter, filemeta, sheet_canonical, latest_version, dense_bins, dense_tier, stream_bronze, stream_dq, compact_sorted,
+    dq_flag_stored, dq_delete_stored, stream_dq_keys, stream_dq_order, gold_versions, jobs_gold_tables,
 )
 
 
