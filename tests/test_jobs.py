@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_sheets import C1
+from tslake.functions.values import file_uuid
 from tslake.layout import Layout
 from tslake.operators import dims, dq, gold, tracking
 from tslake.plans import pipeline
@@ -42,7 +43,7 @@ def count(spark, layout, name):
 def test_first_run(spark, lake):
     layout, _, first = lake
     assert first["silver"]["dim_experiment"] == 2 and first["gold"]["timeseries"] == 12 and first["serving"]["experiment_index"] == 2
-    status = {r["file_name"]: (r["status"], r["retry_count"], r["error_message"]) for r in readers.read_table(spark, layout.tracking).collect()}
+    status = {r["file_name"]: (r["status"], r["retry_count"], r["error_message"]) for r in pipeline.tracked_files(spark, layout).collect()}
     assert status["a.xlsx"] == ("SUCCESS", 0, None) and status["empty.xlsx"] == ("FAILED", 1, "No data extracted")
     index = readers.read_table(spark, f"{layout.base}/gold/experiment_index").collect()
     assert {r["source_file_name"] for r in index} == {"a.xlsx", "b.xlsx"} and {r["series"] for r in index} == {"S1"}
@@ -65,7 +66,7 @@ def test_rerun_adds_nothing_and_new_files_are_taken(spark, lake):
     assert before == {n: count(spark, layout, n) for n in before}
     more = pipeline.run_pipeline(spark, layout, files(spark, ["a", "b", "c"]), sheets(spark, ["a", "b", "c"]), mapping)
     assert more["silver"]["dim_experiment"] == 1 and more["gold"]["timeseries"] == 6 and more["serving"]["experiment_index"] == 1
-    retries = {r["file_name"]: r["retry_count"] for r in readers.read_table(spark, layout.tracking).collect()}
+    retries = {r["file_name"]: r["retry_count"] for r in pipeline.tracked_files(spark, layout).collect()}
     assert retries["empty.xlsx"] == 2 and retries["c.xlsx"] == 0
 
 
@@ -74,6 +75,7 @@ def test_optimize_keeps_rows(spark, lake):
     before = sorted(map(str, readers.read_table(spark, f"{layout.base}/gold/timeseries").collect()))
     done = pipeline.optimize_job(spark, layout, ["gold/timeseries"])
     assert done == {"gold/timeseries": len(before)}
+    assert pipeline.optimize_job(spark, layout, ["gold/timeseries"]) == {"gold/timeseries": 0}
     assert sorted(map(str, readers.read_table(spark, f"{layout.base}/gold/timeseries").collect())) == before
 
 
@@ -180,6 +182,30 @@ def test_readers(spark, tmp_path):
     assert set(BRONZE) == {"filemeta", "channel", "timeseries", "statistics"}
 
 
+def test_grids_of_any_width(spark, tmp_path):
+    """Ragged rows keep all cells, and several tasks number the lines of a large file."""
+    book = tmp_path / "lab" / "S1" / "my book+1.xlsx"
+    book.mkdir(parents=True)
+    (book / "First.csv").write_text('A,B\n\nx,"a, ""b""",3,\n,\n"open,1\n,7,8\n')
+    lines = [f"{k},{k * 7}" + ",z" * (k % 3) for k in range(60_000)]
+    (book / "Second sheet.csv").write_text("\r\n".join(lines))
+    (book / "bad.csv.gz").write_bytes(b"\x1f\x8bnot gzip at all")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        cells = readers.read_grid(spark, f"{tmp_path}/lab", by_folder=True).cache()
+        first = cells.filter("`group` = 'First'").groupBy("row_idx").agg(F.sort_array(F.collect_list(F.struct("col_idx", F.coalesce("cell", F.lit("-")).alias("cell")))).alias("c")).orderBy("row_idx").collect()
+        assert [[x["cell"] for x in r["c"]] for r in first] == [["A", "B", "-", "-"], ["-"] * 4, ["x", 'a, "b"', "3", "-"], ["-"] * 4, ['"open', "1", "-", "-"], ["-", "7", "8", "-"]]
+        second = cells.filter("`group` = 'Second sheet'")
+        wide = second.groupBy("row_idx").pivot("col_idx", [0, 1, 2, 3]).agg(F.first("cell"))
+        assert wide.count() == 60_000 and wide.filter("`0` <> row_idx or `1` <> row_idx * 7 or (`2` is not null) <> (row_idx % 3 > 0) or (`3` is not null) <> (row_idx % 3 > 1)").isEmpty()
+        assert {r["uuid"] for r in cells.select("uuid").distinct().collect()} == {spark.range(1).select(file_uuid(F.lit("S1/my book+1.xlsx"))).first()[0]}
+        alone = readers.read_grid(spark, f"{tmp_path}/lab")
+        listed = readers.list_files(spark, f"{tmp_path}/lab", ("csv", "gz"))
+        assert [r["file_name"] for r in readers.unread(listed, alone).collect()] == ["bad.csv.gz"]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_returned_status_of_every_run(spark, tmp_path):
     """Frames of earlier runs stay readable; a run that broke off leaves nothing behind; a new version counts once."""
     layout, mapping = Layout(f"file://{tmp_path}"), readers.literal_mapping(spark, MAPPING)
@@ -190,7 +216,7 @@ def test_returned_status_of_every_run(spark, tmp_path):
     assert status == [{"a.xlsx": ("SUCCESS", 0), "empty.xlsx": ("FAILED", 1)}, {"b.xlsx": ("SUCCESS", 0), "empty.xlsx": ("FAILED", 2)}, {}]
     rows = count(spark, layout, "converted/timeseries")
     with pytest.MonkeyPatch.context() as patch:  # breaks off between the export and the tracking of its files
-        patch.setattr(pipeline, "replace_table", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        patch.setattr(pipeline, "track", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
         with pytest.raises(RuntimeError, match="lost"):
             pipeline.convert_job(spark, layout, files(spark, ["c"]), sheets(spark, ["c"]))
     assert count(spark, layout, "converted/timeseries") > rows
@@ -211,11 +237,16 @@ def test_older_tracking_tables(spark, tmp_path):
     writers.write_table(old, layout.tracking)
     got = pipeline.convert_job(spark, layout, files(spark, ["a", "b"]), sheets(spark, ["b"])).collect()
     assert {r["file_name"]: (r["status"], r["retry_count"]) for r in got} == {"a.xlsx": ("FAILED", 1), "b.xlsx": ("SUCCESS", 0)}
-    writers.replace_table(readers.read_table(spark, layout.tracking), layout.tracking)
+    log = readers.read_table(spark, layout.tracking)
+    assert log.count() == 3 and log.select("_run").distinct().count() == 2  # the older table's row, and one for each file of the run
     import os
 
     os.rename(f"{tmp_path}/_tracking/files", f"{tmp_path}/_tracking/files_old")  # a swap that broke off
-    assert pipeline.convert_job(spark, layout, files(spark, ["b"]), sheets(spark, ["b"])).count() == 0
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(pipeline, "LOGGED_RUNS", 1)  # the log is folded
+        assert pipeline.convert_job(spark, layout, files(spark, ["b"]), sheets(spark, ["b"])).count() == 0
+    log = readers.read_table(spark, layout.tracking)
+    assert log.count() == 2 and {r["file_name"]: r["retry_count"] for r in log.collect()} == {"a.xlsx": 1, "b.xlsx": 0}
 
 
 def test_converter_takes_series_mapping_and_area(spark, tmp_path):

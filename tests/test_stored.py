@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.test_jobs import MAPPING, ROWS, count, files, long_rows, sheets
 from tests.test_sheets import C1
 from tslake.layout import Layout
-from tslake.operators import dq
+from tslake.operators import dq, maintain
 from tslake.plans import pipeline
 from tslake.schemas import SHEET_CELLS, TIMESERIES
 from tslake.sources import readers, stored, writers
@@ -235,3 +235,39 @@ def test_columns_come_up(spark, tmp_path):
     long_rows(spark, ROWS[4:5]).withColumn("lab", F.lit(1)).write.parquet(f"{src}/run=4")
     with pytest.raises(Exception, match="lab"):
         bronze.ingest(spark, src, *at, evolve=True)
+
+
+def test_clustering_by_several_keys(spark, tmp_path):
+    """Either key's filter reads few files; a second run does nothing, and additions alone are written again."""
+    path = f"{tmp_path}/t"
+    rows = spark.range(40_000).select((F.col("id") % 97).alias("a"), F.concat(F.lit("s"), F.lpad((F.col("id") * 31 % 89).cast("string"), 3, "0")).alias("b"), "id", F.when(F.col("id") % 50 > 0, F.col("id")).alias("c"))
+    rows.repartition(4).write.parquet(path)
+
+    def read(condition):
+        return readers.read_table(spark, path).groupBy(F.col("_metadata.file_path")).agg(F.min("a"), F.max("a"), F.min("b"), F.max("b")).toDF("f", "a0", "a1", "b0", "b1").filter(condition).count()
+
+    size = sum(stored.file_sizes(spark, path).values())
+    assert maintain.compact(spark, path, ["a", "b"], file_bytes=size // 16, small_bytes=size // 200) == {"files": 4, "rows": 40_000}
+    n = len(data(path))
+    assert n > 12 and read("a0 <= 50 and a1 >= 50") <= n // 2 and read("b0 <= 's040' and b1 >= 's040'") <= n // 2
+    before = data(path)
+    assert maintain.compact(spark, path, ["a", "b"], file_bytes=size // 16, small_bytes=size // 200)["files"] == 0 and data(path) == before
+    rows.limit(100).coalesce(1).write.mode("append").parquet(path)
+    again = maintain.compact(spark, path, ["a", "b"], file_bytes=size // 16, small_bytes=size // 200)
+    assert again["files"] == 1 and before < data(path) and readers.read_table(spark, path).count() == 40_100
+    assert maintain.compact(spark, f"{tmp_path}/none", ["a"])["files"] == 0
+    one = maintain.clustered(rows, ["c"], 8)
+    assert one.count() == 40_000
+    assert maintain.clustered(rows.limit(0), ["a", "b"]).count() == 0
+
+
+@pytest.mark.parametrize("bound", [100_000, 30, 0])
+def test_orphans_whichever_side_is_small(spark, monkeypatch, bound):
+    from tslake.operators import validate
+
+    monkeypatch.setattr(validate, "BROADCAST_KEYS", bound)
+    child = spark.range(1000).select((F.col("id") % 20).alias("k"), F.when(F.col("id") % 7 > 0, F.col("id") % 3).alias("j"))
+    parent = spark.range(500).select((F.col("id") + 5).alias("k2"), (F.col("id") % 2).alias("j2"))
+    got = sorted(((r["k"], -1 if r["j"] is None else r["j"]) for r in validate.orphans(child, parent, ["k", "j"], ["k2", "j2"]).collect()))
+    there = {(i + 5, i % 2) for i in range(500)}
+    assert got == sorted({(i % 20, i % 3 if i % 7 else -1) for i in range(1000)} - there)

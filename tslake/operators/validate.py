@@ -19,12 +19,29 @@ def required_columns(spark: SparkSession, name: str, columns: list[str], require
     return spark.createDataFrame([(f"columns:{name}", "FAILED" if missing else "OK", ",".join(missing), len(missing))], REPORT)
 
 
+#: Distinct keys up to which a side is broadcast (some 100 bytes each).
+BROADCAST_KEYS = 100_000
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_keys: list[str], parent_keys: list[str] | None = None) -> DataFrame:
-    """Distinct keys of ``child`` that ``parent`` hasn't; a null key is an orphan."""
+    """Distinct keys of ``child`` that ``parent`` hasn't; a null key is an orphan.
+
+    If either side has few distinct keys these go to the other's rows, so that a table of facts isn't shuffled: a small
+    parent is looked up by the child's rows, and only orphans are made distinct; of a large parent only rows with one of the
+    few keys of a child are looked at.
+    """
     parent_keys = parent_keys or child_keys
-    own = child.select(*child_keys).distinct()
-    known = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_keys, child_keys)]).distinct()
-    return own.join(known, child_keys, "left_anti")
+    own = child.select(*child_keys)
+    known = parent.select(*[F.col(p).alias(c) for p, c in zip(parent_keys, child_keys)])
+    few = known.dropna().distinct().persist()
+    if few.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        return own.join(F.broadcast(few), child_keys, "left_anti").distinct()
+    few.unpersist()
+    asked = own.distinct().persist()
+    if asked.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        found = known.join(F.broadcast(asked), child_keys, "left_semi").distinct()
+        return asked.join(found, child_keys, "left_anti")
+    return asked.join(known.distinct(), child_keys, "left_anti")
 
 
 def orphan_check(name: str, child: DataFrame, parent: DataFrame, keys: list[str]) -> DataFrame:

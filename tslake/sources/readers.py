@@ -29,18 +29,48 @@ def with_extensions(files: DataFrame, extensions: tuple[str, ...]) -> DataFrame:
     return files.filter(F.col("extension").isin(*[e.lower().lstrip(".") for e in extensions]))
 
 
-def read_grid(spark: SparkSession, folder: str, columns: int, group: str = "Sheet1") -> DataFrame:
-    """Cells of header-less CSV sheets below ``folder``: one sheet a file, its id from its path.
+#: Splits up to which their row numbers are broadcast (some 200 bytes each).
+BROADCAST_SPLITS = 100_000
 
-    Rows are numbered by their place in the file, across the splits that it is read in. Empty cells are null.
+
+def read_grid(spark: SparkSession, folder: str, columns: int = 0, group: str = "Sheet1", by_folder: bool = False, sep: str = ",") -> DataFrame:
+    """Cells of header-less CSV sheets below ``folder``, as many columns as the longest row of a sheet has (at least ``columns``).
+
+    A file is a sheet, its id from its path; with ``by_folder`` the files of a folder are the sheets of one workbook, named
+    like the files. Fields may be quoted, but don't go over lines. Rows are numbered by their line, blank ones count. Empty
+    cells, and those that shorter rows lack, are null. Files that can't be read give no cells (``unread`` lists them).
+
+    Lines are numbered by the tasks that read them: how many lines each split has is counted first, and what comes before
+    a split is added to the number within it.
     """
-    names = [f"_{i}" for i in range(columns)]
-    raw = spark.read.schema(", ".join(f"{n} string" for n in names)).option("recursiveFileLookup", True).csv(folder)
+    raw = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).text(folder)
     root = "/" + folder.split("://")[-1].strip("/") + "/"
-    raw = raw.select(F.substring_index("_metadata.file_path", root, -1).alias("_path"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_in"), *names)
-    row = F.row_number().over(W.partitionBy("_path").orderBy("_start", "_in")) - 1
-    rows = raw.withColumns({"row_idx": row.cast("long"), "uuid": file_uuid(F.col("_path")), "group": F.lit(group)})
-    return rows.select("uuid", "group", "row_idx", F.posexplode(F.array(*names)).alias("col_idx", "cell"))
+    quote = F.col("value").startswith(sep) | F.col("value").contains('"')  # most lines need no pattern
+    fields = F.regexp_extract_all(F.concat("value", F.lit(sep)), F.lit(f'("(?:[^"]|"")*"|[^{sep}]*){sep}'), F.lit(1))
+    plain = F.transform(fields, lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) >= 2), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
+    cells = F.when(quote, plain).otherwise(F.split("value", f"[{sep}]"))
+    lines = raw.select(
+        F.url_decode(F.regexp_replace(F.substring_index("_metadata.file_path", root, -1), r"\+", "%2B")).alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_in"), cells.alias("_cells"),
+    )
+    splits = lines.groupBy("_path", "_start").agg(F.min("_in").alias("_first"), F.count("*").alias("_lines"), F.max(F.size("_cells")).alias("_size"))
+    before = F.coalesce(F.sum("_lines").over(W.partitionBy("_path").orderBy("_start").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    known = splits.select("_path", "_start", (before - F.col("_first")).alias("_add"), F.greatest(F.max("_size").over(W.partitionBy("_path")), F.lit(columns)).alias("_width"), F.lit(True).alias("_known"))
+    known = known.persist()
+    few = known.count() <= BROADCAST_SPLITS
+    rows = lines.join(F.broadcast(known) if few else known, ["_path", "_start"], "left")
+    number = F.when(F.col("_known"), F.col("_in") + F.col("_add")).otherwise(F.raise_error(F.lit("files changed while they were read")).cast("long"))
+    padded = F.concat("_cells", F.array_repeat(F.lit(None).cast("string"), F.col("_width") - F.size("_cells")))
+    stem = F.regexp_replace(F.element_at(F.split("_path", "/"), -1), r"\.[^.]*$", "")
+    book = F.regexp_extract("_path", "^(.*)/[^/]*$", 1)
+    sheets = rows.select((file_uuid(book) if by_folder else file_uuid(F.col("_path"))).alias("uuid"), (stem if by_folder else F.lit(group)).alias("group"), number.alias("row_idx"), padded.alias("_cells"))
+    out = sheets.select("uuid", "group", "row_idx", F.posexplode("_cells").alias("col_idx", "cell"))
+    return out.withColumn("cell", F.nullif("cell", F.lit("")))
+
+
+def unread(files: DataFrame, cells: DataFrame) -> DataFrame:
+    """Listed files of which no cell could be read, with a message."""
+    return files.join(cells.select(F.col("uuid").alias("file_uuid")).distinct(), "file_uuid", "left_anti").withColumn("error_message", F.lit("unreadable or empty"))
 
 
 def empty(spark: SparkSession, schema: str) -> DataFrame:
