@@ -28,6 +28,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    """``df`` as a table in the session's shared folder: what is read again prunes columns and filters, as a checkpoint doesn't."""
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    write_table(df, path, "overwrite", partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_table(df: DataFrame, path: str, mode: str = "append", partition_by: list[str] | None = None) -> int:
     """Writes Parquet (zstd) and returns the number of rows; counting rides on the write. An append to nothing overwrites what may be left there."""
     if mode == "append" and not exists(df.sparkSession, path):
