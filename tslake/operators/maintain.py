@@ -33,7 +33,8 @@ def steps(df: DataFrame, keys: list[str], rows: int = SAMPLE_ROWS) -> dict[str,
 
 def curve(steps_of: dict[str, list]) -> Column:
     """A row's place on a curve that passes near rows one after another, whichever key they are near by: the keys' bits in turn."""
-    place = {k: F.size(F.filter(F.array(*[F.lit(v) for v in values]), lambda x: x <= F.col(k))) if values else F.lit(0) for k, values in steps_of.items()}  # noqa: B023
+    reached = {k: F.size(F.filter(F.array(*[F.lit(v) for v in values]), lambda x: x <= F.col(k))) if values else F.lit(0) for k, values in steps_of.items()}  # noqa: B023
+    place = {k: F.floor(c * (1 << BITS) / (len(steps_of[k]) + 1)) for k, c in reached.items()}  # a key of few values uses all bits too
     place = {k: F.when(F.col(k).isNull(), 0).otherwise(c).cast("long") for k, c in place.items()}
     bits = [F.shiftleft(F.shiftright(c, b).bitwiseAND(1), b * len(place) + i) for i, c in enumerate(place.values()) for b in range(BITS)]
     return reduce(lambda a, b: a.bitwiseOR(b), bits)

@@ -259,5 +259,18 @@ from bins join (select uuid, "group", count(*) as n, strptime(max("timestamp"),
         "jobs_gold_tables": _jobs(),
         "stream_bronze": f"""with {_LONG} select uuid, "group", sample_offset, channel_id, "timestamp", round(elapsed_time_s, 6) as elapsed_time_s, round(value, 6) as value from ev""",
         "stream_dq": f"""with {_LONG} select uuid, "group", count(*) filter (channel_id = 'view') as failed, count(*) filter (channel_id <> 'view') as valid from ev group by all""",
-        "compact_sorted": "select * from lineitem",
+        "compact_sorted": "select l_returnflag, l_suppkey, count(*) as n, cast(0 as bigint) as falls, cast(1 as bigint) as files from lineitem group by all",
+        "compact_clustered": "select l_suppkey, count(*) as n, round(sum(l_quantity), 6) as quantity, true as skips_l_suppkey, true as skips_l_quantity from lineitem group by all",
+        "sheet_read": f"""with o as (select concat('supplier=file-', cast(l_suppkey as varchar)) as book, l_linenumber, l_returnflag, l_orderkey,
+              cast(row_number() over (partition by l_suppkey order by l_shipdate, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity, l_discount, l_tax) - 1 as bigint) as row_idx from lineitem),
+            u as (select *, {_uuid5("book")} as uuid from (select *, {_digest("book")} as d from o)),
+            wide as (select uuid, max(case when l_linenumber = 7 then 1 when l_linenumber % 3 = 2 then 3 when l_linenumber % 3 = 1 then 2 else 1 end) as n from u group by uuid)
+            select uuid, row_idx, cast(c as int) as col_idx, case when l_linenumber = 7 then null when c = 0 then cast(l_orderkey as varchar) when c = 1 and l_linenumber % 3 > 0 then concat('a,"', l_returnflag, '"') when c = 2 and l_linenumber % 3 > 1 then 'z' end as cell
+            from u join wide using (uuid), unnest(range(n)) r(c)""",
+        "derived_active_area": f"""with {_WIDE}, a as (select coalesce(first(area order by p_brand), 88.0) as area from (select p_brand, avg(p_size) as area from part group by p_brand having min(p_size) = 1))
+            select uuid, "group", sample_offset, round(1000 * current / area, 6) as density from w, a""",
+        "tracking_log": f"""with {_FILES}, s as (select blob_path from f where status = 'FAILED')
+            select blob_path, case when s.blob_path is not null then 'FAILED' else t.status end as status, case when s.blob_path is not null then 'again' else t.error_message end as error_message,
+              cast(case when s.blob_path is null then t.retry_count else coalesce(t.retry_count, 0) + 1 end as int) as retry_count, cast(case when t.blob_path is null or s.blob_path is null then 1 else 2 end as bigint) as "rows"
+            from t full join s using (blob_path)""",
     }

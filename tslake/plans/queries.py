@@ -15,7 +15,7 @@ from tslake.layout import Layout
 from tslake.plans import adapters as A
 from tslake.plans import pipeline
 from tslake.sources import stored
-from tslake.sources.readers import read_table, with_extensions
+from tslake.sources.readers import read_grid, read_table, with_extensions
 from tslake.sources.writers import export_tables, shared_folder
 from tslake.streaming.bronze import ingest, ingest_all
 from tslake.streaming.quality import RESULT, check_stream
@@ -499,8 +499,63 @@ def jobs_gold_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [facts, *tiers, index, catalog])
 
 
+def _order_of(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    """For each value of the keys its rows, how many of these come after a larger one in their file, and in how many files they lie."""
+    t = spark.read.parquet(path).select(*keys, F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    now = F.struct(*keys)
+    falls = (F.lag(now).over(W.partitionBy("_file").orderBy("_row")) > now).cast("int")
+    return t.withColumn("_falls", F.coalesce(falls, F.lit(0))).groupBy(*keys).agg(F.count("*").alias("n"), F.sum("_falls").alias("falls"), F.countDistinct("_file").alias("files"))
+
+
 def compact_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return maintain.sorted_by_range(A.table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_suppkey"])
+    """Line items in range-sorted files, as the files show: each key in one file, and none after a larger one."""
+    path, keys = f"{new_folder(spark)}/lineitem", ["l_returnflag", "l_suppkey"]
+    maintain.sorted_by_range(A.table(spark, sf_dir, "lineitem"), keys, 16).write.parquet(path)
+    return _order_of(spark, path, keys)
+
+
+def compact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items after two compactions with additions between: the same rows, and whether a filter by a value of either key skips three files of ten or more."""
+    path, keys, li = f"{new_folder(spark)}/lineitem", ["l_suppkey", "l_quantity"], A.table(spark, sf_dir, "lineitem")
+    for k in (0, 1):
+        li.filter(F.month("l_shipdate") > 6 if k else F.month("l_shipdate") <= 6).repartition(8).write.mode("append").parquet(path)
+        size = sum(stored.file_sizes(spark, path).values())
+        maintain.compact(spark, path, keys, file_bytes=max(1, size // 16), small_bytes=1)
+    t = spark.read.parquet(path)
+    spans = t.groupBy(F.col("_metadata.file_path")).agg(*[f(k).alias(f"{n}_{k}") for k in keys for n, f in (("low", F.min), ("high", F.max))])
+    some = t.agg(*[F.percentile_approx(k, 0.3, 100_000).alias(f"some_{k}") for k in keys])
+    files = spans.crossJoin(F.broadcast(some)).agg(*[(F.avg(F.col(f"some_{k}").between(F.col(f"low_{k}"), F.col(f"high_{k}")).cast("int")) <= 0.7).alias(f"skips_{k}") for k in keys])
+    rows = t.groupBy("l_suppkey").agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 6).alias("quantity"))
+    return rows.crossJoin(F.broadcast(files))
+
+
+def sheet_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of CSV sheets, one folder a supplier, that hold its line items: ragged rows, quotes and blank lines."""
+    folder, c = new_folder(spark), F.col
+    w = W.partitionBy("l_suppkey").orderBy(*A.SHEET_ORDER)
+    line = F.concat_ws(",", c("l_orderkey").cast("string"), F.when(c("l_linenumber") % 3 > 0, F.concat(F.lit('"a,""'), c("l_returnflag"), F.lit('"""'))), F.when(c("l_linenumber") % 3 > 1, F.lit("z")))
+    li = A.table(spark, sf_dir, "lineitem").select(F.concat(F.lit("file-"), c("l_suppkey").cast("string")).alias("supplier"), F.when(c("l_linenumber") == 7, "").otherwise(line).alias("value"), F.row_number().over(w).alias("_n"))
+    li.repartition("supplier").sortWithinPartitions("supplier", "_n").select("supplier", "value").write.partitionBy("supplier").text(folder)
+    return read_grid(spark, folder, by_folder=True).select("uuid", "row_idx", "col_idx", "cell")
+
+
+def derived_active_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current densities by the first definition of an active area; parts are the definitions, by brand, those of small size undefined."""
+    part = A.table(spark, sf_dir, "part")
+    definitions = part.groupBy(F.col("p_brand").alias("series")).agg(F.when(F.min("p_size") == 1, F.avg("p_size")).alias("active_area_cm2"))
+    wide = derived.derived_wide(A.lineitem_wide(spark, sf_dir), derived.active_area(definitions))
+    return wide.select("uuid", "group", "sample_offset", F.round("Current density", 6).alias("density"))
+
+
+def tracking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a log of two runs says of files: the second has results for closed orders alone."""
+    files = A.order_files(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    results = files.filter("status = 'FAILED'").select("blob_path", "file_name", "file_size", none.alias("file_uuid"), "last_modified", F.lit("FAILED").alias("status"), none.alias("output_paths"), F.lit("again").alias("error_message"), F.lit(2.0).alias("duration_seconds"))
+    known = A.order_tracking(files)
+    log = known.withColumn("_run", F.lit("1")).unionByName(tracking.changes(known, results).withColumn("_run", F.lit("2")))
+    runs = log.groupBy("blob_path").agg(F.count("*").alias("rows"))
+    return tracking.current(log).join(runs, "blob_path").select("blob_path", "status", "error_message", "retry_count", "rows")
 
 
 ALL = (
@@ -511,6 +566,7 @@ ALL = (
     structural_split, sheet_to_long, sheet_channels, tracking_new_files, tracking_watermark, tracking_exhausted, tracking_upsert, tracking_status_counts,
     validate_orphans, validate_report, extension_filter, filemeta, sheet_canonical, latest_version, dense_bins, dense_tier, stream_bronze, stream_dq, compact_sorted,
     dq_flag_stored, dq_delete_stored, stream_dq_keys, stream_dq_order, gold_versions, jobs_gold_tables,
+    compact_clustered, sheet_read, derived_active_area, tracking_log,
 )
 
 
