@@ -273,4 +273,23 @@ from bins join (select uuid, "group", count(*) as n, strptime(max("timestamp"),
             select blob_path, case when s.blob_path is not null then 'FAILED' else t.status end as status, case when s.blob_path is not null then 'again' else t.error_message end as error_message,
               cast(case when s.blob_path is null then t.retry_count else coalesce(t.retry_count, 0) + 1 end as int) as retry_count, cast(case when t.blob_path is null or s.blob_path is null then 1 else 2 end as bigint) as "rows"
             from t full join s using (blob_path)""",
+        "file_listing": """select concat('year=y ', cast(year(o_orderdate) as varchar), '/month=', cast(month(o_orderdate) as varchar)) as folder, 'txt' as extension, cast(1 as bigint) as files, cast(1 as bigint) as ids,
+            cast(sum(length(concat(cast(o_orderkey as varchar), ',', o_orderstatus)) + 1) as bigint) as bytes, true as named from orders group by all""",
+        "mapping_scan": """with e as (select p_brand, p_name as raw_channel, case when p_name like '%bolt' then 'Date' when p_name not like '%ring' then p_type end as std, p_type = 'PROMO' as calculated from part)
+            select distinct p_brand as series, raw_channel, std as mapped_std_channel, c as for_converter from e, (values (true), (false)) m(c) where std is not null and (c or (not calculated and std <> 'Date'))""",
+        "table_writes": """with w as (select count(*) filter (month(l_shipdate) <= 6) as early, count(*) filter (month(l_shipdate) > 6) as late from lineitem)
+            select l_returnflag, l_returnflag as part, count(*) as n, round(sum(l_quantity), 6) as quantity, any_value(early) as write_0, any_value(early) as write_1, any_value(late) as write_2 from lineitem, w group by all""",
+        "append_incremental": f"""with {_LONG}, x as (select distinct uuid, "group", series from ev)
+            select *, count(*) filter ("group" = 'g0') over () as run_0, count(*) filter ("group" <> 'g0') over () as run_1, cast(0 as bigint) as run_2 from x""",
+        "converter_tables": """with x as (select concat('file-', cast(l_suppkey as varchar)) as uuid, l_returnflag as "group", count(*) as n, case when l_returnflag = 'N' then 4 else 5 end as channels from lineitem group by all)
+            select t as of_table, uuid, "group", cast(case t when 'channel' then channels when 'timeseries' then channels * n else 1 end as bigint) as n from x, (values ('filemeta'), ('channel'), ('timeseries'), ('statistics')) m(t)
+            union all select distinct 'tracking', concat(uuid, suffix), status, retries from x, (values ('', 'SUCCESS', cast(0 as bigint)), ('-lost', 'FAILED', cast(1 as bigint))) m(suffix, status, retries)""",
+        "tracking_upgrade": f"""with {_FILES}, s as (select blob_path from f where status = 'FAILED')
+            select 'old' as of_table, blob_path, case when s.blob_path is not null then 'FAILED' else t.status end as status, case when s.blob_path is not null then 'again' else t.error_message end as error_message,
+              case when s.blob_path is not null then 1 end as retry_count from t full join s using (blob_path)
+            union all select 'none', blob_path, 'FAILED', 'again', 1 from s""",
+        "dq_rule_report": f"""{_CHECKED}, found as (select case when "timestamp" is null then 'ts_timestamp_not_null' else 'ts_timestamp_parseable' end as rule_id, uuid from ck0 where "timestamp" is null or "timestamp" = 'garbage'),
+            rules(rule_id, rule_type, enabled, channel, first_format) as (values ('ts_timestamp_not_null', 'not_null', true, null, null), ('ts_timestamp_parseable', 'timestamp_parseable', true, null, 'yyyy-MM-dd HH:mm:ss'),
+              ('far', 'not_null', true, 'none', null), ('off', 'not_null', false, null, null))
+            select r.*, count(uuid) as total_failed, count(distinct uuid) as affected_files from rules r left join found using (rule_id) group by all""",
     }

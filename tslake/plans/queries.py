@@ -15,8 +15,9 @@ from tslake.layout import Layout
 from tslake.plans import adapters as A
 from tslake.plans import pipeline
 from tslake.sources import stored
-from tslake.sources.readers import read_grid, read_table, with_extensions
-from tslake.sources.writers import export_tables, shared_folder
+from tslake.schemas import FILE_TRACKING
+from tslake.sources.readers import channel_mapping, list_files, read_grid, read_table, with_extensions
+from tslake.sources.writers import append_new, export_tables, shared_folder, write_file, write_table
 from tslake.streaming.bronze import ingest, ingest_all
 from tslake.streaming.quality import RESULT, check_stream
 
@@ -558,6 +559,81 @@ def tracking_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tracking.current(log).join(runs, "blob_path").select("blob_path", "status", "error_message", "retry_count", "rows")
 
 
+def file_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files listed below a folder of orders' sheets, one a month in folders by year: paths, sizes, kinds, and ids that differ."""
+    folder, day = new_folder(spark), F.col("o_orderdate")
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus")
+    lines = A.table(spark, sf_dir, "orders").select(F.concat(F.lit("y "), F.year(day).cast("string")).alias("year"), F.month(day).alias("month"), line.alias("value"))
+    lines.repartition("year", "month").write.partitionBy("year", "month").text(folder)
+    files = list_files(spark, folder, ("TXT",))
+    shown = files.select(F.regexp_extract("blob_path", "^(.*)/[^/]*$", 1).alias("folder"), "extension", "file_size", "file_uuid", F.endswith("blob_path", "file_name").alias("_named"))
+    return shown.groupBy("folder", "extension").agg(F.count("*").alias("files"), F.countDistinct("file_uuid").alias("ids"), F.sum("file_size").alias("bytes"), F.min("_named").alias("named"))
+
+
+def mapping_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel mappings read from their files: a brand is a series, its parts are the entries, by name and type."""
+    folder, part = new_folder(spark), A.table(spark, sf_dir, "part")
+    name = F.when(F.endswith("p_name", F.lit("bolt")), "Date").when(F.endswith("p_name", F.lit("ring")), " ").otherwise(F.concat("p_type", F.lit(" ")))
+    origin = F.when(F.col("p_type") == "PROMO", "calculation").when(F.col("p_type") == "SMALL", "file")
+    entry = F.struct(name.alias("schema_column"), F.concat(F.lit(" "), "p_name").alias("file_column"), origin.alias("origin"))
+    lists = part.groupBy("p_brand").agg(F.to_json(F.sort_array(F.collect_set(entry))).alias("value"))
+    for brand in sorted(r[0] for r in part.select("p_brand").distinct().collect()):  # as many files as there are series
+        write_file(spark, f"{folder}/{brand} 1_mapping.json", lists.filter(F.col("p_brand") == brand).first()["value"])
+    config = part.select("p_brand").distinct().agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_set(F.struct("p_brand", F.concat("p_brand", F.lit(" 1_mapping.json"))))))).alias("value"))
+    write_file(spark, f"{folder}/series_config.json", '{"_about": "x_mapping.json", "none": "missing_mapping.json", ' + config.first()["value"][1:])
+    some = channel_mapping(spark, folder).withColumn("for_converter", F.lit(False))
+    return some.unionByName(channel_mapping(spark, folder, for_converter=True).withColumn("for_converter", F.lit(True)))
+
+
+def table_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items written to a table in parts by flag: the first half twice, where the second time replaces the first, then the rest."""
+    path, li = f"{new_folder(spark)}/lineitem", A.table(spark, sf_dir, "lineitem")
+    early = li.filter(F.month("l_shipdate") <= 6)
+    counts = [write_table(rows, path, mode, ["l_returnflag"]) for rows, mode in ((early, "append"), (early, "overwrite"), (li.filter(F.month("l_shipdate") > 6), "append"))]
+    parts = F.regexp_extract("_metadata.file_path", "l_returnflag=([^/]*)/", 1)
+    found = read_table(spark, path).select("l_returnflag", "l_quantity", parts.alias("part")).groupBy("l_returnflag", "part").agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 6).alias("quantity"))
+    return found.select("*", *[F.lit(n).cast("long").alias(f"write_{k}") for k, n in enumerate(counts)])
+
+
+def append_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Experiments appended in three runs, each of which adds those that aren't stored yet: sheets g0, all, all again."""
+    path, long = f"{new_folder(spark)}/dim_experiment", A.events_long(spark, sf_dir)
+    rows = dims.dim_experiment(long, A.event_files(long))
+    added = [append_new(spark, some, path, ["experiment_id"]) for some in (rows.filter("`group` = 'g0'"), rows, rows)]
+    return read_table(spark, path).select("uuid", "group", "series", *[F.lit(n).cast("long").alias(f"run_{k}") for k, n in enumerate(added)])
+
+
+def converter_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by sheet of the four tables that the converter exports, and its files' states, after two runs, of which the second has nothing to do."""
+    layout, cells = Layout(f"{new_folder(spark)}/lake"), A.lineitem_cells(spark, sf_dir)
+    number = F.regexp_extract("uuid", "([0-9]+)", 1).cast("long")
+    files = cells.select("uuid").distinct().select(F.concat(F.lit("lab/"), "uuid").alias("blob_path"), F.col("uuid").alias("file_name"), number.alias("file_size"), F.col("uuid").alias("file_uuid"), F.to_timestamp(F.lit("2024-05-06")).alias("last_modified"))
+    lost = files.withColumns({c: F.concat(c, F.lit("-lost")) for c in ("blob_path", "file_name", "file_uuid")})  # files without sheets fail
+    for k in (0, 1):
+        pipeline.convert_job(spark, layout, files if k else files.unionByName(lost), cells)
+    tables = [read_table(spark, layout.converted(n)).groupBy("uuid", "group").agg(F.count("*").alias("n")).select(F.lit(n).alias("of_table"), "uuid", "group", "n") for n in pipeline.TABLES]
+    states = pipeline.tracked_files(spark, layout).select(F.lit("tracking").alias("of_table"), F.col("file_uuid").alias("uuid"), F.col("status").alias("group"), F.col("retry_count").cast("long").alias("n"))
+    return reduce(DataFrame.unionByName, [*tables, states])
+
+
+def tracking_upgrade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of files after a run over a tracking table without retries, as older runs have left it, and over none at all."""
+    folder, files = new_folder(spark), A.order_files(spark, sf_dir)
+    write_table(A.order_tracking(files).drop("retry_count"), f"{folder}/old")
+    none = F.lit(None).cast("string")
+    results = files.filter("status = 'FAILED'").select("blob_path", "file_name", "file_size", none.alias("file_uuid"), "last_modified", "status", none.alias("output_paths"), F.lit("again").alias("error_message"), F.lit(2.0).alias("duration_seconds"))
+    after = [tracking.upsert(read_table(spark, f"{folder}/{name}", FILE_TRACKING), results).select(F.lit(name).alias("of_table"), "blob_path", "status", "error_message", "retry_count") for name in ("old", "none")]
+    return after[0].unionByName(after[1])
+
+
+def dq_rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules of the dimension with what they found in the event samples; one that found nothing and one that is off are listed too."""
+    rules = [*dq.DEFAULT_RULES[:2], dq.Rule("far", "Values are known", "value", "not_null", params={"channel_id": "none", "n": 3}), dq.Rule("off", "Off", "value", "not_null", enabled=False)]
+    found = dq.summarize(dq.evaluate_rules(_checked(spark, sf_dir), rules)).select("rule_id", "total_failed", "affected_files")
+    shown = dq.rule_table(spark, rules).join(F.broadcast(found), "rule_id", "left")
+    return shown.select("rule_id", "rule_type", "enabled", F.get_json_object("params_json", "$.channel_id").alias("channel"), F.get_json_object("params_json", "$.formats[0]").alias("first_format"), F.coalesce("total_failed", F.lit(0)).alias("total_failed"), F.coalesce("affected_files", F.lit(0)).alias("affected_files"))
+
+
 ALL = (
     agg_1min, agg_15min, agg_60min, gold_fact, gold_fact_new_only, agg_backfill, experiment_index, channel_catalog_experiment, channel_catalog_series,
     serve_series, serve_drilldown, unpivot_long, value_split, derived_metrics, plausibility_clip, sheet_statistics, channel_rows, dim_experiment,
@@ -567,6 +643,7 @@ ALL = (
     validate_orphans, validate_report, extension_filter, filemeta, sheet_canonical, latest_version, dense_bins, dense_tier, stream_bronze, stream_dq, compact_sorted,
     dq_flag_stored, dq_delete_stored, stream_dq_keys, stream_dq_order, gold_versions, jobs_gold_tables,
     compact_clustered, sheet_read, derived_active_area, tracking_log,
+    file_listing, mapping_scan, table_writes, append_incremental, converter_tables, tracking_upgrade, dq_rule_report,
 )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -29,6 +29,11 @@ def with_extensions(files: DataFrame, extensions: tuple[str, ...]) -> DataFrame:
     return files.filter(F.col("extension").isin(*[e.lower().lstrip(".") for e in extensions]))
 
 
+def _decoded(path: Column) -> Column:
+    """A path as it is, from the form with escapes in which Spark tells a row's file."""
+    return F.url_decode(F.regexp_replace(path, r"\+", "%2B"))
+
+
 #: Splits up to which their row numbers are broadcast (some 200 bytes each).
 BROADCAST_SPLITS = 100_000
 
@@ -50,7 +55,7 @@ def read_grid(spark: SparkSession, folder: str, columns: int = 0, group: str = "
     plain = F.transform(fields, lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) >= 2), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
     cells = F.when(quote, plain).otherwise(F.split("value", f"[{sep}]"))
     lines = raw.select(
-        F.url_decode(F.regexp_replace(F.substring_index("_metadata.file_path", root, -1), r"\+", "%2B")).alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
+        _decoded(F.substring_index("_metadata.file_path", root, -1)).alias("_path"), F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_in"), cells.alias("_cells"),
     )
     splits = lines.groupBy("_path", "_start").agg(F.min("_in").alias("_first"), F.count("*").alias("_lines"), F.max(F.size("_cells")).alias("_size"))
@@ -108,7 +113,7 @@ def channel_mapping(spark: SparkSession, folder: str, for_converter: bool = Fals
     config = spark.read.text(f"{folder}/series_config.json", wholetext=True).select(F.explode(F.from_json("value", "map<string,string>")).alias("series", "_file"))
     config = config.filter(~F.startswith("series", F.lit("_")))
     entries = spark.read.option("multiLine", True).schema("schema_column string, file_column string, origin string").option("pathGlobFilter", "*_mapping.json").json(folder)
-    entries = entries.withColumn("_file", F.element_at(F.split("_metadata.file_path", "/"), -1))
+    entries = entries.withColumn("_file", _decoded(F.element_at(F.split("_metadata.file_path", "/"), -1)))
     config = config.withColumn("_file", F.element_at(F.split("_file", "/"), -1))
     out = entries.join(config, "_file").select("series", F.trim("file_column").alias("raw_channel"), F.trim("schema_column").alias("mapped_std_channel"), "origin")
     out = out.filter("raw_channel <> '' and mapped_std_channel <> ''")

@@ -80,6 +80,16 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """Writes one small text file, such as a configuration, in any store that Spark writes."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(text.encode())
+    finally:
+        out.close()
+
+
 def append_new(spark: SparkSession, df: DataFrame, path: str, keys: list[str]) -> int:
     """Appends the rows whose keys the table hasn't yet; a second run adds none."""
     if exists(spark, path):
