@@ -95,7 +95,7 @@ _DENSE = """
 b as (select series, experiment_id, cast(floor(t / 600) * 600 as bigint) as elapsed_bin_s, min(t) as elapsed_time_s, min(t) as ts, avg(v) as value_mean, min(v) as value_min, max(v) as value_max, count(v) as value_count
   from (select "group" as series, cast(regexp_extract(uuid, '[0-9]+') as bigint) as experiment_id, sample_offset * 20 as t, v_stack as v, current, fe_co from w) where current < 48 and fe_co > 5 group by all)"""
 _DENSE_SHOW = """series, experiment_id, elapsed_bin_s, round(cast(elapsed_time_s as double), 6) as elapsed_time_s, cast(ts * 1000000 as bigint) as ts_us,
-  round(value_mean, 6) as value_mean, round(value_min, 6) as value_min, round(value_max, 6) as value_max, cast(value_count as bigint) as value_count"""
+  round(value_mean * value_count, 6) as value_total, round(value_min, 6) as value_min, round(value_max, 6) as value_max, cast(value_count as bigint) as value_count"""
 
 
 def _digest(c: str) -> str:

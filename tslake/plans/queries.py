@@ -402,7 +402,9 @@ def _dense(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dense_shown(bins: DataFrame) -> DataFrame:
-    return bins.select("series", "experiment_id", "elapsed_bin_s", *_r("elapsed_time_s"), F.unix_micros("timestamp").alias("ts_us"), *_r("value_mean", "value_min", "value_max"), "value_count")
+    """Means are shown as totals: of values with six digits a mean may lie on the edge between two roundings, a total can't."""
+    total = F.round(F.col("value_mean") * F.col("value_count"), 6).alias("value_total")
+    return bins.select("series", "experiment_id", "elapsed_bin_s", *_r("elapsed_time_s"), F.unix_micros("timestamp").alias("ts_us"), total, *_r("value_min", "value_max"), "value_count")
 
 
 def _dropped(spark: SparkSession, sf_dir: str, ingest_between) -> str:
