@@ -5,13 +5,15 @@ import re
 from collections import Counter
 
 import numpy as np
-
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tests.llm.test_scan_operators import EDGE, table
 from tslake.llm import byte_dedup, suffix, word_dedup
 from tslake.llm import words as W
+from tslake.llm.blocks import Blocks, folded_rows
 
 
 def sha(b):
@@ -60,6 +62,29 @@ def test_words(spark, documents, window, sizes):
     assert sorted(map(tuple, got), key=repr) == plain_words(documents, window)
 
 
+def test_rows_that_repeat_are_folded(spark):
+    """A row that makes up a third of the table reaches its block twice for each batch, and comes out as often as it went in."""
+    words = " ".join(f"w{k}" for k in range(40))
+    docs = [(1, words)] * 3000 + [(None, words + " z")] * 500 + [(k, f"{words} {k}" if k % 100 == 0 else f"own {k}") for k in range(2, 5000)] + [(6000, None)] * 50
+    docs += [(6001, "once " * 3)]
+    for operator, plain, n in ((word_dedup, plain_words, 35), (byte_dedup, plain_bytes, 100)):
+        out = operator.remove_repeats(table(spark, docs), n, texts=False)
+        assert sorted(map(tuple, out.collect()), key=repr) == plain(docs, n)
+    folded = Blocks(table(spark, docs).coalesce(1), "doc_id", "text").docs
+    kept = folded.groupBy("_id.id", "_text").agg(F.count("*").alias("rows"), F.sum("_id.n").alias("copies")).filter("copies > 1").collect()
+    assert {(r["id"], r["copies"]) for r in kept} == {(1, 3000), (None, 500), (6000, 50)} and all(r["rows"] <= 2 * (1 + r["copies"] // 1000) for r in kept)
+
+
+def test_rows_of_one_hash_are_compared():
+    rows = [(1, "a", 7), (2, "a", 7), (1, "b", 7), (1, "a", 7), (1, "a", 7), (3, "c", 9), (None, "a", 8), (None, "a", 8)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows]) for k in range(3)], ["_id", "_text", "_same"])
+    (out,) = folded_rows(iter([batch]))
+    got = Counter((r["_id"], r["_text"], r["_copies"]) for r in out.to_pylist())
+    assert got == Counter([(1, "a", 1), (1, "a", 2), (2, "a", 1), (1, "b", 1), (3, "c", 1), (None, "a", 1), (None, "a", 1)])
+    (out,) = folded_rows(iter([batch.slice(0, 0)]))
+    assert len(out) == 0
+
+
 def test_words_keeps_text(spark):
     docs = [(1, "a b c d e f"), (2, "x b c d y"), (3, None), (3, None)]
     got = {r["doc_id"]: r["kept_text"] for r in word_dedup.remove_repeats(table(spark, docs), 3).collect()}

@@ -1,6 +1,8 @@
 """Counting hashes over all documents, and telling each block of documents which of its own occur more than once.
 
-Documents are dealt into blocks of a few megabytes by a hash of id and text. A block sends its distinct hashes, sorted
+Documents are dealt into blocks of a few megabytes by a hash of id and text. Rows that repeat both are folded to two,
+with a number of copies, by each task that reads them, so that a row which a large share of the table repeats doesn't
+meet in one block; the results are multiplied again at the end. A block sends its distinct hashes, sorted
 and cut into buckets by their leading bits, as one binary value for each bucket; a bucket answers each block with one
 bit for each hash that it sent. A frequent hash arrives once from a block however often it occurs there, and answers
 are small. The block makes the same sorted list again to read the answer, so nothing is kept between the passes.
@@ -13,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,16 +28,47 @@ MESSAGE = "_bucket bigint, _block bigint, _data binary, _many binary"
 ANSWER = "_block bigint, _stage int, _bucket bigint, _n bigint, _bits binary"
 
 
+def folded_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(_id, _text, _same, _copies) of (_id, _text, _same): of a batch's equal rows two stay, one for itself and one for the rest.
+
+    ``_same`` is a hash of the row; rows of one hash are compared. Two rows stay, as a text that is there twice repeats itself.
+    """
+    for batch in batches:
+        _, first, which = np.unique(batch.column(2).to_numpy(), return_index=True, return_inverse=True)
+        copies = np.ones(len(batch), np.int32)
+        if len(first) < len(batch):
+            again = np.flatnonzero(np.arange(len(batch)) != first[which])
+            leads = first[which[again]]
+            same = pc.equal(batch.column(1).take(pa.array(again)), batch.column(1).take(pa.array(leads))).to_numpy(zero_copy_only=False)
+            same &= [a == b for a, b in zip(batch.column(0).take(pa.array(again)).to_pylist(), batch.column(0).take(pa.array(leads)).to_pylist())]
+            again, leads = again[same], leads[same]
+            _, at, n = np.unique(leads, return_index=True, return_counts=True)
+            copies[again] = 0
+            copies[again[at]] = n
+            batch, copies = batch.filter(pa.array(copies > 0)), copies[copies > 0]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(copies)], ["_id", "_text", "_same", "_copies"])
+
+
 class Blocks:
-    """``docs`` as (_id, _text, _block), with the numbers of blocks and buckets that suit its measured size."""
+    """``docs`` as (_id, _text, _block), with the numbers of blocks and buckets that suit its measured size.
+
+    ``_id`` holds the id and a number of copies; ``unfolded`` gives rows of results for all of them.
+    """
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES):
         plain = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
         size = text_bytes(plain, "_text")
         least = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         self.blocks, self.buckets = max(least, -(-size // block_bytes)), max(least, -(-size // bucket_bytes))
-        self.docs = plain.withColumn("_block", F.pmod(F.xxhash64("_text", "_id"), F.lit(self.blocks)))
-        self.id_type = docs.schema[id_col].dataType
+        kind = docs.schema[id_col].dataType.simpleString()
+        rows = plain.withColumn("_same", F.xxhash64("_text", "_id")).mapInArrow(folded_rows, f"_id {kind}, _text string, _same bigint, _copies int")
+        self.docs = rows.select(F.struct(F.col("_id").alias("id"), F.col("_copies").alias("n")).alias("_id"), "_text", F.pmod("_same", F.lit(self.blocks)).alias("_block"))
+        self.id_type = self.docs.schema["_id"].dataType
+
+    def unfolded(self, out: DataFrame, id_col: str) -> DataFrame:
+        """``out`` with a row for each copy, its id by its own name again."""
+        rest = [c for c in out.columns if c != "_id"]
+        return out.select(F.col("_id")["id"].alias(id_col), *rest, F.explode(F.sequence(F.lit(1), F.col("_id")["n"])).alias("_copy")).drop("_copy")
 
     def send(self, make: Callable[[pa.Array], Iterator[pa.RecordBatch]], schema: str = MESSAGE) -> DataFrame:
         """``make`` gets a block's number and texts, and returns its messages."""

@@ -277,5 +277,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_c
         return pa.table([ids, *[pa.array(c, k) for c, k in zip(columns, types)]], ["_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"])
 
     ddl = f"_id {blocks.id_type.simpleString()}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept_bytes binary"
-    out = blocks.read(first.unionByName(second), result, ddl).withColumnRenamed("_id", id_col)
+    out = blocks.unfolded(blocks.read(first.unionByName(second), result, ddl), id_col)
     return out if with_texts else out.drop("kept_bytes")

@@ -117,5 +117,5 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
         return pa.table([ids, *[pa.array(x, k) for x, k in zip(columns, [pa.int64(), pa.int64(), pa.string(), pa.string()])]], ["_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
     ddl = f"_id {blocks.id_type.simpleString()}, n_words bigint, n_removed bigint, kept_sha256 string, kept_text string"
-    out = blocks.read(first.unionByName(second), result, ddl).withColumnRenamed("_id", id_col)
+    out = blocks.unfolded(blocks.read(first.unionByName(second), result, ddl), id_col)
     return out if with_texts else out.drop("kept_text")
