@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from tests.llm.test_scan_operators import EDGE, table
@@ -55,6 +56,33 @@ def test_near_duplicates(spark, documents, chunk):
     assert max(v[1] for v in want.values()) > 10
 
 
+def test_long_near_copies_are_cut_by_bytes(spark):
+    """Forty near copies of a text of 200 KB, a task holding about a fortieth of the group's pairs of bytes."""
+    base = [f"word{k * 7919 % 30011}" for k in range(22_000)]
+    docs = [(i, " ".join([*base[: 500 * i], f"other{i}", *base[500 * i + 1 :]])) for i in range(40)]
+    got = {r["doc_id"]: (r["class_id"], r["n_links"], r["n_copies"]) for r in forest.near_duplicates(table(spark, docs), chunk_bytes=1 << 20).collect()}
+    assert got == {i: (0, 39, 1) for i in range(40)}
+
+
+def test_chunks_are_bounded_by_bytes(spark):
+    rows = [(g, i, n, size) for g, n, size in [(1, 400, 10_000), (2, 400, 10), (3, 2, 10**7), (4, 30, 100)] for i in range(n)]
+    placed = spark.createDataFrame(rows, "group long, node long, size long, bytes long").withColumn("own", F.col("bytes"))
+    out = forest.in_chunks(placed, 100, 100_000)
+    tasks = out.groupBy("group", "first", "second").agg(F.sum("own").alias("bytes"), F.count("*").alias("n")).collect()
+    assert max(r["bytes"] for r in tasks if r["group"] == 1) < 3 * 2 * 100_000
+    assert {r["group"]: 0 for r in tasks} == dict.fromkeys([1, 2, 3, 4], 0)
+    assert [r["n"] for r in tasks if r["group"] == 4] == [30]
+    met = out.alias("a").join(out.alias("b"), ["group", "first", "second"]).filter("a.node < b.node").select("group", "a.node", "b.node").distinct()
+    assert {r["group"]: r["count"] for r in met.groupBy("group").count().collect()} == {1: 79_800, 2: 79_800, 3: 1, 4: 435}  # each pair meets
+
+
+def test_a_row_that_repeats_is_read_once_a_batch(spark):
+    base = " ".join(f"w{k}" for k in range(60))
+    docs = spark.range(20_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(base).alias("text")).unionByName(spark.createDataFrame([(8, base + " more"), (9, "quite another text")], "doc_id long, text string"))
+    got = {tuple(r) for r in forest.near_duplicates(docs).collect()}
+    assert got == {(7, 7, 1, 20_000), (8, 7, 1, 1), (9, 9, 0, 1)}
+
+
 def test_near_duplicates_edges(spark):
     got = forest.near_duplicates(table(spark, EDGE)).collect()
     assert len(got) == len(EDGE)

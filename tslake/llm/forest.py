@@ -6,7 +6,8 @@ text of its size can have with the target recall; sizes of sets allow few simila
 texts keep long prefixes. Texts that share a prefix are a bucket. Buckets of the same texts are one, and the buckets
 that overlaps connect are compared as one group where that is less work than each by itself; else, as where passages
 chain many unlike texts together, each bucket is compared alone, and a pair in the first bucket that it shares. Large groups are cut into
-chunks, each pair of chunks is a task of bounded size, and what leaves it is a row for each text, not for each pair.
+chunks by texts and by bytes, each pair of chunks is a task of bounded size, and what leaves it is a row for each text,
+not for each pair.
 """
 
 from __future__ import annotations
@@ -15,17 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tslake.llm.blocks import folded_rows
 from tslake.llm.common import checkpointed, slices, utf8
 from tslake.llm.components import connected, looked_up
 from tslake.llm.words import BLANK_SEPARATED, U, mix, runs, sequences, words
 
 SHINGLE, THRESHOLD_FIFTHS = 5, 4  # Jaccard of 4/5
 TRIES, DEEPEST, RECALL = 24, 8, 0.9999
-#: Most texts of a chunk.
-CHUNK = 1024
+#: Most texts of a chunk, and about the text bytes of one (a longer text is a chunk by itself).
+CHUNK, CHUNK_BYTES = 1024, 8 << 20
 _RNG = np.random.Generator(np.random.PCG64(99))
 _XOR = _RNG.integers(0, 2**32, TRIES * DEEPEST, dtype=np.uint32)
 _TIMES = _RNG.integers(0, 2**31, TRIES * DEEPEST, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -122,12 +125,13 @@ def trie_keys(grams: np.ndarray, sizes: np.ndarray, tries: int = TRIES) -> tuple
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, a, b, n, keys): two hashes of the words, number of shingles, keys of prefixes (none without shingles)."""
+    """(_id, a, b, n, bytes, keys): two hashes of the words, numbers of shingles and bytes, keys of prefixes (none without shingles)."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, n, keys, many = [], [], [], [], []
+            size_of = pc.binary_length(batch.column(1)).cast(pa.int64())
             for h, counts, grams, sizes in shingled(batch.column(1)):
                 one, two = text_hashes(h, counts)
                 a.append(one)
@@ -141,10 +145,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             n = np.concatenate(n)
             edges = np.concatenate([[0], np.cumsum(np.concatenate(many))]).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(keys).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(a).view(np.int64)), pa.array(np.concatenate(b).view(np.int64)), pa.array(n.astype(np.int64)), listed], ["_id", "a", "b", "n", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(a).view(np.int64)), pa.array(np.concatenate(b).view(np.int64)), pa.array(n.astype(np.int64)), size_of, listed], ["_id", "a", "b", "n", "bytes", "keys"])
 
     plain = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return plain.mapInArrow(run, f"_id {kind}, a bigint, b bigint, n bigint, keys array<bigint>")
+    return plain.mapInArrow(run, f"_id {kind}, a bigint, b bigint, n bigint, bytes bigint, keys array<bigint>")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -263,7 +267,23 @@ def groups(classes: DataFrame) -> DataFrame:
     return together.unionByName(apart.join(listed, "node").select(F.col("bucket").alias("group"), "node", "size", "buckets"))
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
+def in_chunks(placed: DataFrame, chunk: int = CHUNK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """``placed`` (group, node, size, bytes and others) once for each pair of chunks (first, second) that its chunk is in.
+
+    A group has as many chunks as its texts or their bytes want, whichever is more; its texts are dealt by hash.
+    """
+    total = placed.groupBy("group").agg(F.sum("bytes").alias("_total")).withColumnRenamed("group", "node")
+    placed = looked_up(placed, "group", total, "_total", "inner")
+    heavy = F.col("_total") > chunk_bytes
+    many = F.greatest(F.ceil(F.sqrt("size") / 2), F.ceil(F.col("size") / chunk), F.ceil(F.col("_total") / chunk_bytes))
+    many = F.least(many, F.col("size")).cast("int")  # no more chunks than texts
+    placed = placed.withColumn("_chunks", F.when((F.col("size") <= min(chunk, SMALL)) & ~heavy, 1).otherwise(many))
+    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int"))
+    placed = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
+    return placed.withColumns({"first": F.least("chunk", "_other"), "second": F.greatest("chunk", "_other")}).drop("_other", "_chunks", "_total", "size", "bytes")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """One row per row of ``docs``: id, class_id, n_links, n_copies.
 
     Shingles are five words (runs without white space). ``class_id`` is the least id of the documents that links of
@@ -271,18 +291,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``n_copies`` the number of documents with its very words, itself included. Texts of fewer than five words are one
     shingle. Null, empty and blank texts have none: they are linked with nothing and each is its own class. A row with
     a null id takes no part and gets nulls; repeated rows are copies; an empty table gives none; other columns are
-    ignored. Groups of copies are folded before anything is compared. ``chunk`` bounds the texts of a chunk.
+    ignored. Groups of copies are folded before anything is compared, and rows that repeat id and text where texts are
+    read. ``chunk`` bounds the texts of a chunk and ``chunk_bytes`` their bytes, so a task holds two chunks however long
+    the texts are; a text longer than that is held whole, with those that its chunk's hash deals to it.
     """
     sig = checkpointed(signatures(docs, id_col, text_col))
     real = sig.filter(F.col("_id").isNotNull() & (F.col("n") > 0))
-    classes = checkpointed(real.groupBy("a", "b").agg(F.min("_id").alias("rep"), F.count("*").alias("copies"), F.first("keys").alias("keys")))
-    placed = groups(classes.select(F.col("a").alias("node"), "keys")).join(classes.select(F.col("a").alias("node"), "rep"), "node")
-    chunks = F.greatest(F.ceil(F.sqrt("size") / 2), F.ceil(F.col("size") / chunk)).cast("int")
-    placed = placed.withColumn("_chunks", F.when(F.col("size") <= min(chunk, SMALL), 1).otherwise(chunks))
-    placed = placed.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int"))
-    placed = placed.select("group", "buckets", "node", "rep", "chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)).alias("_other"))
-    placed = placed.withColumns({"first": F.least("chunk", "_other"), "second": F.greatest("chunk", "_other")})
-    plain = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("_text"))
+    classes = checkpointed(real.groupBy("a", "b").agg(F.min("_id").alias("rep"), F.count("*").alias("copies"), F.max("bytes").alias("bytes"), F.first("keys").alias("keys")))
+    placed = groups(classes.select(F.col("a").alias("node"), "keys")).join(classes.select(F.col("a").alias("node"), "rep", "bytes"), "node")
+    placed = in_chunks(placed, chunk, chunk_bytes)
+    plain = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).filter("_id is not null and _text is not null").withColumn("_same", F.xxhash64("_text", "_id"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    plain = plain.mapInArrow(folded_rows, f"_id {kind}, _text string, _same bigint, _copies int").select(F.col("_id").alias("rep"), "_text")
     texts = plain.join(placed, "rep").select("group", "first", "second", "node", "chunk", "buckets", "_text")
     linked = checkpointed(texts.groupBy("group", "first", "second").applyInArrow(_compare, "node bigint, links bigint, hub bigint"))
     found = connected(linked.select(F.col("node").alias("src"), F.col("hub").alias("dst")))
