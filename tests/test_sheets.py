@@ -1,6 +1,7 @@
 """Sheet grids on literal cells."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tslake.operators import grid
 from tslake.schemas import SHEET_CELLS
@@ -107,3 +108,37 @@ def test_colliding_names(spark):
     assert [r["channel_id"] for r in grid.colliding_names(grid.headers(c)).collect()] == ["CH_1"]
     with pytest.raises(ValueError, match="s.*: CH_1"):
         grid.normalise(cells(spark, {"s": [["CH", "CH", "CH_1"], ["a", "b", "c"], ["V", "V", "V"], ["1", "2", "3"]]}))
+
+
+def _sorted(df):
+    return sorted(df.collect(), key=str)
+
+
+@pytest.mark.parametrize("most", [0, 100_000])
+def test_rows_and_long_grids_agree(spark, monkeypatch, most):
+    """By rows or long, broadcast or not; rows that end early lack cells, and date and time may come late."""
+    late = [*C1[:3], *[[None, None, str(k), "2", "3"] for k in range(9)], *C1[3:], ["2026-02-15"], ["2026-02-15 00:00:00", "1899-12-31 10:00:00", "9"]]
+    sheets = {"a": C1, "late": late, "none": C6, "text": [["A", "B"], ["Name A", "Name B"], ["text", "123.4"]]}
+    rows = [("u", name, r, row) for name, sheet in sheets.items() for r, row in enumerate(sheet)]
+    monkeypatch.setattr(grid, "BROADCAST_COLUMNS", most)
+    by_rows = grid.normalise(spark.createDataFrame(rows, "uuid string, `group` string, row_idx long, cells array<string>"))
+    long = grid.normalise(cells(spark, sheets))
+    for name, df in by_rows.items():
+        assert _sorted(df) == _sorted(long[name])
+    got = [r for r in by_rows["timeseries"].collect() if r["group"] == "late"]
+    assert len(got) == 11 * 3 and {r["timestamp"] for r in got if r["sample_offset"] >= 9} == {"2026-02-14 10:01:27", "2026-02-14 10:01:28"}
+
+
+def test_a_samples_cells_stay_together(spark, monkeypatch):
+    """Without broadcasts the rows are shuffled once, to their sheet's columns; cells never are."""
+    monkeypatch.setattr(grid, "BROADCAST_COLUMNS", 0)
+    rows = spark.createDataFrame([("u", "s", r, row) for r, row in enumerate(C1)], "uuid string, `group` string, row_idx long, cells array<string>")
+    plan = grid.normalise(rows)["timeseries"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Aggregate" not in plan.split("Generate")[0]
+
+
+def test_files_left_out(spark):
+    """Only sheets of the named files are normalised."""
+    both = cells(spark, {"s": C1}).union(cells(spark, {"s": C1}).withColumn("uuid", F.lit("v")))
+    tables = grid.normalise(both, files=spark.createDataFrame([("v",)], "uuid string"))
+    assert all({r["uuid"] for r in df.collect()} == {"v"} for df in tables.values())
