@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.test_sheets import C1
 from tslake.functions.values import file_uuid
 from tslake.layout import Layout
-from tslake.operators import dims, dq, gold, tracking
+from tslake.operators import dims, dq, gold, grid, lookup, tracking
 from tslake.plans import pipeline
 from tslake.schemas import BRONZE, SHEET_CELLS, TIMESERIES
 from tslake.sources import readers, writers
@@ -279,3 +279,50 @@ def test_latest_does_not_depend_on_partitions(spark):
     channel = spark.createDataFrame([("u", "g", "c", "V", "", 0)], "uuid string, `group` string, channel_id string, raw_channel string, unit string, column_index int")
     experiments = spark.createDataFrame([(1, "u", "g", "S")], "experiment_id long, uuid string, `group` string, series string")
     assert dims.dim_signal(channel, experiments, mapping).first()["std_channel"] == "A"
+
+
+def shuffled_rows(spark, run):
+    """Rows that the stages of ``run`` have written for others."""
+    def total():
+        store = spark.sparkContext._jsc.sc().statusStore()
+        none = spark._jvm.java.util.ArrayList()
+        stages = store.stageList(none, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), none).iterator()
+        out = 0
+        while stages.hasNext():
+            out += stages.next().shuffleWriteRecords()
+        return out
+
+    before = total()
+    run()
+    return total() - before
+
+
+def test_gold_does_not_shuffle_facts(spark, tmp_path, monkeypatch):
+    """Facts of many sheets that are alike meet their signals where they lie; by either other way they are the same."""
+    monkeypatch.setattr(grid, "BROADCAST_COLUMNS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(n, "Sheet", r, c, cell) for n in "abcdefgh" for r, row in enumerate(C1 + C1[-1:] * 200) for c, cell in enumerate(row)]
+        found, moved = [], []
+        for k, (ids, kinds) in enumerate(((1000, 1000), (1000, 0), (0, 0))):
+            monkeypatch.setattr(lookup, "BROADCAST_IDS", ids)
+            monkeypatch.setattr(lookup, "BROADCAST_KINDS", kinds)
+            layout = Layout(f"file://{tmp_path}/{k}")
+            pipeline.convert_job(spark, layout, files(spark, "abcdefgh"), spark.createDataFrame(rows, SHEET_CELLS))
+            bronze.ingest_all(spark, f"{layout.base}/converted", f"{layout.base}/bronze", f"{layout.base}/_checkpoints")
+            pipeline.silver_job(spark, layout, readers.literal_mapping(spark, MAPPING))
+            moved.append(shuffled_rows(spark, lambda: pipeline.gold_job(spark, layout)))
+            found.append([sorted(map(str, readers.read_table(spark, layout.table("gold", n)).collect())) for n in ("timeseries", "timeseries_agg_1min")])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert found[0] == found[1] == found[2] and len(found[0][0]) > 3000
+    assert moved[0] < len(found[0][0]) < moved[1]
+
+
+def test_kinds_of_sheets_differ_by_where_nulls_are(spark):
+    """Three sheets whose columns hash alike, and one whose version differs by a microsecond."""
+    known = spark.createDataFrame([("a", "g", 1, None, 0), ("b", "g", None, 1, 0), ("c", "g", 1, None, 1), (None, "g", 5, 5, 0)], "uuid string, `group` string, x int, y int, t int")
+    known = known.select("uuid", "group", "x", "y", F.timestamp_micros(F.col("t") + 1_000_000).alias("t"))
+    rows = spark.createDataFrame([(u, "g", n) for u in ("a", "b", "c", "d", None) for n in (1, 2)], "uuid string, `group` string, n int")
+    got = lookup.with_sheets(rows, known).select("uuid", "n", "x", "y", F.unix_micros("t") - 1_000_000).collect()
+    assert {tuple(r) for r in got} == {(u, n, *v) for u, v in (("a", (1, None, 0)), ("b", (None, 1, 0)), ("c", (1, None, 1))) for n in (1, 2)} and len(got) == 6
