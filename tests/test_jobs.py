@@ -281,6 +281,26 @@ def test_latest_does_not_depend_on_partitions(spark):
     assert dims.dim_signal(channel, experiments, mapping).first()["std_channel"] == "A"
 
 
+def test_long_quoted_fields(spark, tmp_path):
+    """A quoted field of any length is one cell; its characters don't go on the stack."""
+    (tmp_path / "x.csv").write_text('a,"' + 'b,""' * 100_000 + '",c\n"' + "d" * 100_000 + ",e\n")
+    cells = readers.read_grid(spark, str(tmp_path)).orderBy("row_idx", "col_idx").collect()
+    assert [r["cell"] for r in cells] == ["a", 'b,"' * 100_000, "c", '"' + "d" * 100_000, "e", None]
+
+
+def test_lines_become_files_by_one_shuffle(spark, tmp_path):
+    """Files of many sheets: one each, lines in order, nothing else beside them; their rows are shuffled once."""
+    rows = [(f"s{k % 300}", k, None if k % 7 == 0 else f"é{k},x") for k in range(6000)]
+    lines = spark.createDataFrame(rows[::-1], "sheet string, n int, value string")
+    run = lambda: writers.write_lines(lines, f"{tmp_path}/out", "sheet", ["n"])
+    assert shuffled_rows(spark, run) < 6100
+    run()  # files of a task that runs again take the place of those before
+    folders = sorted((tmp_path / "out").iterdir())
+    assert [f.name for f in folders] == sorted(f"sheet=s{k}" for k in range(300)) and all(len([x for x in f.iterdir()]) == 1 for f in folders)
+    assert (tmp_path / "out/sheet=s7/part-0.txt").read_text(encoding="utf-8").split("\n") == [v or "" for s, _, v in rows if s == "s7"] + [""]
+    assert spark.read.text(f"{tmp_path}/out").count() == 6000
+
+
 def shuffled_rows(spark, run):
     """Rows that the stages of ``run`` have written for others."""
     def total():

@@ -17,7 +17,7 @@ from tslake.plans import pipeline
 from tslake.sources import stored
 from tslake.schemas import FILE_TRACKING
 from tslake.sources.readers import channel_mapping, list_files, read_grid, read_table, with_extensions
-from tslake.sources.writers import append_new, export_tables, shared_folder, write_file, write_table, written
+from tslake.sources.writers import append_new, export_tables, shared_folder, write_file, write_lines, write_table, written
 from tslake.streaming.bronze import ingest, ingest_all
 from tslake.streaming.quality import RESULT, check_stream
 
@@ -536,10 +536,9 @@ def compact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sheet_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells of CSV sheets, one folder a supplier, that hold its line items: ragged rows, quotes and blank lines."""
     folder, c = new_folder(spark), F.col
-    w = W.partitionBy("l_suppkey").orderBy(*A.SHEET_ORDER)
     line = F.concat_ws(",", c("l_orderkey").cast("string"), F.when(c("l_linenumber") % 3 > 0, F.concat(F.lit('"a,""'), c("l_returnflag"), F.lit('"""'))), F.when(c("l_linenumber") % 3 > 1, F.lit("z")))
-    li = A.table(spark, sf_dir, "lineitem").select(F.concat(F.lit("file-"), c("l_suppkey").cast("string")).alias("supplier"), F.when(c("l_linenumber") == 7, "").otherwise(line).alias("value"), F.row_number().over(w).alias("_n"))
-    li.repartition("supplier").sortWithinPartitions("supplier", "_n").select("supplier", "value").write.partitionBy("supplier").text(folder)
+    li = A.table(spark, sf_dir, "lineitem").select("*", F.concat(F.lit("file-"), c("l_suppkey").cast("string")).alias("supplier"), F.when(c("l_linenumber") == 7, "").otherwise(line).alias("value"))
+    write_lines(li, folder, "supplier", A.SHEET_ORDER)
     return read_grid(spark, folder, by_folder=True).select("uuid", "row_idx", "col_idx", "cell")
 
 

@@ -35,7 +35,7 @@ def _decoded(path: Column) -> Column:
 
 
 #: Splits up to which their row numbers are broadcast (some 200 bytes each).
-BROADCAST_SPLITS = 100_000
+BROADCAST_SPLITS = 500_000
 
 
 def read_grid(spark: SparkSession, folder: str, columns: int = 0, group: str = "Sheet1", by_folder: bool = False, sep: str = ",") -> DataFrame:
@@ -51,7 +51,7 @@ def read_grid(spark: SparkSession, folder: str, columns: int = 0, group: str = "
     raw = spark.read.option("recursiveFileLookup", True).option("ignoreCorruptFiles", True).text(folder)
     root = "/" + folder.split("://")[-1].strip("/") + "/"
     quote = F.col("value").startswith(sep) | F.col("value").contains('"')  # most lines need no pattern
-    fields = F.regexp_extract_all(F.concat("value", F.lit(sep)), F.lit(f'("(?:[^"]|"")*"|[^{sep}]*){sep}'), F.lit(1))
+    fields = F.regexp_extract_all(F.concat("value", F.lit(sep)), F.lit(f'("[^"]*+(?:""[^"]*+)*+"|[^{sep}]*+){sep}'), F.lit(1))  # no field can end in two ways, so none is tried twice
     plain = F.transform(fields, lambda x: F.when(x.startswith('"') & x.endswith('"') & (F.length(x) >= 2), F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"'))).otherwise(x))
     cells = F.when(quote, plain).otherwise(F.split("value", f"[{sep}]"))
     lines = raw.select(
