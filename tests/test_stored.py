@@ -209,6 +209,29 @@ def test_order_across_batches(spark, tmp_path, batch_files, monkeypatch):
     assert len(list(Path(f"{tmp_path}/memory/mono").glob("_batch=*"))) < 8
 
 
+def test_nothing_stays_cached_after_batches(spark, tmp_path):
+    """What rules with a memory store for a batch goes with the batch."""
+    cached = lambda: set(spark.sparkContext._jsc.sc().getPersistentRDDs().keys().mkString(",").split(","))
+    src, before = f"{tmp_path}/in", cached()
+    for lo in (0, 3, 6):
+        long_rows(spark, [point(k % 5, str(k)) for k in range(lo, lo + 3)]).coalesce(1).write.mode("append").parquet(src)
+        quality.check_stream(spark, src, f"{tmp_path}/out", f"{tmp_path}/check", [MONO, DUP], memory=f"{tmp_path}/memory")
+    assert cached() <= before and len(failed(spark, f"{tmp_path}/out")) > 3
+
+
+def test_memory_is_read_between_a_batch_s_own_values(spark, tmp_path, monkeypatch):
+    from tslake.streaming import memory
+
+    monkeypatch.setattr(memory, "PUSHED_VALUES", 2)
+    seen = memory.Memory(spark, f"{tmp_path}/m", ["k"])
+    rows = spark.range(100).select(F.when(F.col("id") > 0, F.lpad(F.col("id").cast("string"), 2, "0")).alias("k"), F.lit(1).alias("n"))
+    seen.write(rows, 0)
+    seen.write(rows, 1)
+    for own, want in ((["07", "09", "11", None], [None, "07", "08", "09", "10", "11"]), (["07", "11"], [None, "07", "11"]), ([None], [None])):
+        found, _ = seen.before(1, spark.createDataFrame([(k,) for k in own], "k string"))
+        assert sorted((r["k"] for r in found.collect()), key=str) == sorted(want, key=str)
+
+
 def test_batches_are_bounded_and_counted(spark, tmp_path):
     src = f"{tmp_path}/in"
     spark.range(120).selectExpr("cast(id as string) uuid", "'g' `group`", "id sample_offset", "'t' timestamp", "0d elapsed_time_s", "'c' channel_id", "1d value", "cast(null as string) value_str").repartition(120, "sample_offset").write.parquet(src)

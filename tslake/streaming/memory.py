@@ -2,14 +2,16 @@
 
 A rule's memory is a table with one small part for each batch. A batch that is run again replaces its own part and reads
 only those before it, so results don't depend on how often it ran. Parts are sorted by their first key and read only
-where the batch's own values of it lie; when there are many, they are folded into one.
+where the batch's own values of it lie (of many values, between the least and the greatest); when there are many, they are
+folded into one. What a batch has stored in between goes with it (``release``).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tslake.operators import dq
@@ -27,13 +29,16 @@ class Memory:
     def __init__(self, spark: SparkSession, folder: str, keys: list[str]):
         self.spark, self.folder, self.keys = spark, folder, keys
 
-    def before(self, batch_id: int, near: DataFrame) -> DataFrame | None:
-        """Rows of earlier batches whose first key is among those of ``near``; a superset of them where these are many."""
+    def before(self, batch_id: int, near: DataFrame) -> tuple[DataFrame | None, Column]:
+        """Rows of earlier batches whose first key is among those of ``near``, or a superset of them where these are many; and by what they were found."""
         if not exists(self.spark, self.folder):
-            return None
-        out, first = read_table(self.spark, self.folder).filter(F.col("_batch") < batch_id), self.keys[0]
-        values = [r[0] for r in near.select(first).distinct().limit(PUSHED_VALUES + 1).collect()]
-        return out.filter(F.col(first).isin([v for v in values if v is not None]) | F.col(first).isNull()) if len(values) <= PUSHED_VALUES else out
+            return None, F.lit(True)
+        first = self.keys[0]
+        span = near.agg(F.approx_count_distinct(first).alias("n"), F.min(first).alias("low"), F.max(first).alias("high")).first()
+        values = [r[0] for r in near.select(first).distinct().limit(PUSHED_VALUES + 1).collect()] if span["n"] <= PUSHED_VALUES else None
+        own = F.col(first).between(span["low"], span["high"]) if values is None or len(values) > PUSHED_VALUES else F.col(first).isin([v for v in values if v is not None])
+        own = own | F.col(first).isNull()
+        return self.spark.read.parquet(self.folder).filter(F.col("_batch") < batch_id).filter(own), own
 
     def write(self, rows: DataFrame, batch_id: int) -> None:
         write_table(rows.repartitionByRange(*self.keys).sortWithinPartitions(*self.keys), f"{self.folder}/_batch={batch_id}", "overwrite")
@@ -61,27 +66,33 @@ class SeenKeys:
         self.memory.fold(lambda d: d.groupBy(*self.keys).agg(F.sum("_n").alias("_n"), F.min_by("_file", "_batch").alias("_file")))
 
     def judge(self, df: DataFrame, batch_id: int) -> DataFrame:
-        """``df`` has the path of a row's file in ``_file``."""
+        """``df`` has the path of a row's file in ``_file``.
+
+        Rows and earlier keys meet in one sum. Files go by their hashes there: of texts Spark would sort rows to find the least.
+        """
         known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys], dq.selected(self.rule))
-        own = df.filter(known)
-        now = own.groupBy(*self.keys).agg(F.count("*").alias("_n"), F.min("_file").alias("_file")).persist()
-        old = self.memory.before(batch_id, now)
-        if old is None:
-            return own.join(now.filter("_n > 1").select(*self.keys), self.keys, "left_semi").drop("_file").transform(self._keep, now, batch_id)
-        seen = old.groupBy(*self.keys).agg(F.sum("_n").alias("_before"), F.min_by("_file", "_batch").alias("_first"))
-        both = now.join(seen, self.keys, "left").withColumn("_before", F.coalesce("_before", F.lit(0))).filter("_n + _before > 1").persist()
-        out = own.join(both.select(*self.keys), self.keys, "left_semi").drop("_file")
-        alone = both.filter("_before = 1")
-        files = [r[0] for r in alone.select("_first").distinct().collect()]
-        if files:
-            earlier = self.read(files).filter(known).join(alone.select(*self.keys), self.keys, "left_semi")
+        own, file, none = df.filter(known), F.xxhash64("_file"), F.lit(None).cast("long")
+        old, near = self.memory.before(batch_id, own)
+        met = own.select(*self.keys, F.lit(1).cast("long").alias("_n"), file.alias("_file"), none.alias("_before"), none.alias("_first"), none.alias("_batch"))
+        if old is not None:
+            met = met.unionByName(old.select(*self.keys, none.alias("_n"), none.alias("_file"), F.col("_n").alias("_before"), file.alias("_first"), F.col("_batch").cast("long").alias("_batch")))
+        met = met.groupBy(*self.keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("_n", "_before")], F.min("_file").alias("_file"), F.min_by("_first", "_batch").alias("_first"))
+        self.now = met.filter("_n > 0").persist()
+        out = own.join(self.now.filter("_n + _before > 1").select(*self.keys), self.keys, "left_semi").drop("_file")
+        alone = self.now.filter("_before = 1")
+        hashes = [r[0] for r in alone.select("_first").distinct().collect()] if old is not None else []
+        if hashes:
+            files = [r[0] for r in old.filter(file.isin(hashes)).select("_file").distinct().collect()]
+            earlier = self.read(files).filter(known & near).join(alone.select(*self.keys), self.keys, "left_semi")
             out = out.unionByName(earlier.select(out.columns))
-        return self._keep(out, now, batch_id)
-
-    def _keep(self, out: DataFrame, now: DataFrame, batch_id: int) -> DataFrame:
-        self.memory.write(now, batch_id)
+        names = own.select(file.alias("_hash"), F.col("_file").alias("_name")).distinct()
+        named = self.now.join(F.broadcast(names), F.col("_file") == F.col("_hash"))
+        self.memory.write(named.select(*self.keys, "_n", F.col("_name").alias("_file")), batch_id)
         return out
 
+    def release(self) -> None:
+        self.now.unpersist()
+
 
 class LastSamples:
     """Samples whose value falls below the one before, which may be the last of the batches before.
@@ -101,15 +112,15 @@ class LastSamples:
     def judge(self, df: DataFrame, batch_id: int) -> DataFrame:
         own = df.drop("_file").filter(dq.selected(self.rule))
         target, plain = self.rule.target_column, list(dict.fromkeys([*self.parts, *self.order, self.rule.target_column]))
-        old = self.memory.before(batch_id, own)
+        old, _ = self.memory.before(batch_id, own)
+        own = own.withColumn("_earlier", F.lit(False))
         if old is not None:
             last = self._last(old.drop("_batch"))
-            own = own.withColumn("_earlier", F.lit(False)).unionByName(last.select(*plain, F.lit(True).alias("_earlier")), allowMissingColumns=True)
-        else:
-            own = own.withColumn("_earlier", F.lit(False))
-        out = dq.falling(own, F.col(target), self.rule, "_fails").filter("_fails and not _earlier").drop("_fails", "_earlier")
-        touched = own.filter("not _earlier").select(*self.parts).distinct()
-        same = reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.col(f"_t_{p}")) for p in self.parts])
-        here = own.join(touched.select(*[F.col(p).alias(f"_t_{p}") for p in self.parts]), same, "left_semi")
-        self.memory.write(self._last(here.select(*plain)), batch_id)
-        return out
+            own = own.unionByName(last.select(*plain, F.lit(True).alias("_earlier")), allowMissingColumns=True)
+        ends = F.lead(F.lit(True)).over(W.partitionBy(*self.parts, F.lit(True)).orderBy(*self.order)).isNull()  # by the window of ``falling``
+        self.found = dq.falling(own, F.col(target), self.rule, "_fails").withColumn("_ends", ends).filter("(_fails or _ends) and not _earlier").persist()
+        self.memory.write(self.found.filter("_ends").select(*plain), batch_id)
+        return self.found.filter("_fails").drop("_fails", "_ends", "_earlier")
+
+    def release(self) -> None:
+        self.found.unpersist()
