@@ -232,6 +232,15 @@ def test_memory_is_read_between_a_batch_s_own_values(spark, tmp_path, monkeypatc
         assert sorted((r["k"] for r in found.collect()), key=str) == sorted(want, key=str)
 
 
+def test_drops_of_events_are_numbered_once(spark):
+    """Events' windows aren't computed anew for each drop."""
+    from tests.test_jobs import shuffled_rows
+    from tslake.plans import queries
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").count()
+    assert shuffled_rows(spark, lambda: queries.stream_dq_order(spark, "/root/testdata/sf0.001")) < 6 * events
+
+
 def test_batches_are_bounded_and_counted(spark, tmp_path):
     src = f"{tmp_path}/in"
     spark.range(120).selectExpr("cast(id as string) uuid", "'g' `group`", "id sample_offset", "'t' timestamp", "0d elapsed_time_s", "'c' channel_id", "1d value", "cast(null as string) value_str").repartition(120, "sample_offset").write.parquet(src)

@@ -462,7 +462,8 @@ def stream_dq_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     rule = dq.Rule("fall", "fall", "value", "monotonic_increasing", params={"format": None})
     samples = A.events_long(spark, sf_dir).drop("series", "props", "event_id").withColumn("elapsed_time_s", F.col("elapsed_time_s").cast("double"))
     day = F.datediff(F.to_timestamp("timestamp"), F.min(F.to_timestamp("timestamp")).over(W.partitionBy("uuid", "group")))
-    drops = [samples.filter(F.least(F.floor(day / 10), F.lit(2)) == k) for k in range(3)]
+    parted = written(samples.withColumn("_part", F.least(F.floor(day / 10), F.lit(2))), ["_part"])  # numbered once for all drops
+    drops = [parted.filter(F.col("_part") == k).drop("_part").repartition("uuid", "group") for k in range(3)]  # a sheet's samples of a drop come in one file
     return _remembered(spark, drops, rule).select(*KEYED, *_r("value"))
 
 

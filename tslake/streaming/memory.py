@@ -61,7 +61,7 @@ class SeenKeys:
     """Rows whose key occurs more than once, in a batch or in all so far; of a key that was alone until now, the earlier row too."""
 
     def __init__(self, spark: SparkSession, folder: str, rule: dq.Rule, read):
-        self.rule, self.keys, self.read = rule, list(rule.params["key_columns"]), read
+        self.rule, self.keys, self.read, self.now = rule, list(rule.params["key_columns"]), read, None
         self.memory = Memory(spark, folder, self.keys)
         self.memory.fold(lambda d: d.groupBy(*self.keys).agg(F.sum("_n").alias("_n"), F.min_by("_file", "_batch").alias("_file")))
 
@@ -91,7 +91,8 @@ class SeenKeys:
         return out
 
     def release(self) -> None:
-        self.now.unpersist()
+        if self.now is not None:
+            self.now.unpersist()
 
 
 class LastSamples:
@@ -102,7 +103,7 @@ class LastSamples:
 
     def __init__(self, spark: SparkSession, folder: str, rule: dq.Rule, columns: list[str]):
         self.rule, (self.parts, self.order) = rule, dq.ordering(rule, columns)
-        self.memory = Memory(spark, folder, self.parts)
+        self.memory, self.found = Memory(spark, folder, self.parts), None
         self.memory.fold(lambda d: self._last(d).select(d.columns))
 
     def _last(self, rows: DataFrame) -> DataFrame:
@@ -123,4 +124,5 @@ class LastSamples:
         return self.found.filter("_fails").drop("_fails", "_ends", "_earlier")
 
     def release(self) -> None:
-        self.found.unpersist()
+        if self.found is not None:
+            self.found.unpersist()
