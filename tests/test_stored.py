@@ -58,6 +58,24 @@ def test_deletes_and_replacements(spark, table):
     assert stored.replace_rows(spark, new, ids(spark, 1), ["id"], more)["rows"] == 2 and readers.read_table(spark, new).count() == 2
 
 
+def test_many_numbers_as_keys_dont_shuffle_the_table(spark, tmp_path, monkeypatch):
+    from tests.test_jobs import shuffled_rows
+
+    monkeypatch.setattr(stored, "BROADCAST_KEYS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        moved, left = [], []
+        for k, most in enumerate((1000, 0)):
+            monkeypatch.setattr(stored, "BROADCAST_NUMBERS", most)
+            at = f"{tmp_path}/{k}"
+            spark.range(5000).selectExpr("id", "id * 2 v").write.parquet(at)
+            moved.append(shuffled_rows(spark, lambda: stored.delete_rows(spark, at, ids(spark, 7, 4000), ["id"])))
+            left.append(sorted(r["id"] for r in readers.read_table(spark, at).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert moved[0] < 100 < moved[1] and left[0] == left[1] == [n for n in range(5000) if n not in (7, 4000)]
+
+
 @pytest.mark.parametrize("at", ["listed", "half", "staged"])
 def test_changes_that_break_off(spark, table, monkeypatch, at):
     """Before a change is listed the table stays as it was; after that it is finished by the next job."""
