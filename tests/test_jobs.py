@@ -346,3 +346,21 @@ def test_kinds_of_sheets_differ_by_where_nulls_are(spark):
     rows = spark.createDataFrame([(u, "g", n) for u in ("a", "b", "c", "d", None) for n in (1, 2)], "uuid string, `group` string, n int")
     got = lookup.with_sheets(rows, known).select("uuid", "n", "x", "y", F.unix_micros("t") - 1_000_000).collect()
     assert {tuple(r) for r in got} == {(u, n, *v) for u, v in (("a", (1, None, 0)), ("b", (None, 1, 0)), ("c", (1, None, 1))) for n in (1, 2)} and len(got) == 6
+
+
+def test_packed_ids_find_what_plain_ones_do(spark, monkeypatch):
+    """Ids many in a row, negative ones and narrower types too; rows without a key are in none of them."""
+    ids = spark.range(1000).select((F.col("id") * 37 - 5000).alias("k"))
+    rows = spark.range(8000).select(F.when(F.col("id") % 50 > 0, F.col("id") - 4000).cast("int").alias("k"), "id")
+    known, n = {i * 37 - 5000 for i in range(1000)}, [None if i % 50 == 0 else i - 4000 for i in range(8000)]
+    for how, held in (("left_semi", True), ("left_anti", False)):
+        got = lookup.meet_packed(rows, ids, "k", 1000, how)
+        assert got.columns == ["k", "id"] and sorted(r["id"] for r in got.collect()) == [i for i in range(8000) if (n[i] in known) is held]
+    sheets = spark.range(500).select(F.concat(F.lit("u"), "id").alias("uuid"), F.lit("g").alias("group"), (F.col("id") % 3).alias("x"), F.when(F.col("id") % 2 > 0, "odd").alias("y"))
+    own = spark.range(2000).select(F.concat(F.lit("u"), F.col("id") % 700).alias("uuid"), F.lit("g").alias("group"), "id")
+    found = []
+    for plain in (100_000, 0):
+        monkeypatch.setattr(lookup, "PLAIN_IDS", plain)
+        got = lookup.with_sheets(own, sheets)
+        found.append((got.columns, sorted(map(str, got.collect())), sorted(r["id"] for r in lookup.of_ids(rows, ids, "k").collect())))
+    assert found[0] == found[1] and len(found[0][1]) == sum(i % 700 < 500 for i in range(2000)) and len(found[0][2]) > 100
