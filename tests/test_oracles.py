@@ -67,7 +67,7 @@ def broadcast_rows(spark, run):
     return got, most
 
 
-@pytest.mark.parametrize(("name", "packed", "most"), [("jobs_gold_tables", False, 5), ("jobs_gold_tables", True, 9)])
+@pytest.mark.parametrize(("name", "packed", "most"), [("jobs_gold_tables", False, 5), ("jobs_gold_tables", True, 9), ("gold_versions", False, 5), ("gold_versions", True, None)])
 def test_jobs_broadcast_little(spark, duck, monkeypatch, name, packed, most):
     """Beyond the bounds jobs broadcast the mapping's few rows alone, though Spark would guess that these files are small; up to
     them ids go many in a row. There are 30 sheets or more."""
